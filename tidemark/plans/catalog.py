@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.timecols import epoch_us, floor_div
+from tidemark.functions.timecols import (calendar_columns, day_of_week, epoch_ms, epoch_us,
+                                        floor_div, ms_to_ntz)
+from tidemark.operators import cleaning as cl
+from tidemark.operators import explore as ex
 from tidemark.operators import matrix as mx
 from tidemark.operators.windows import point_mean, trailing_mean_range, trailing_mean_rows
 from tidemark.schemas import BAR_COLUMNS
@@ -82,3 +85,102 @@ def q_point_avg(spark, sf_dir):
         (floor_div(epoch_us("ts"), 60_000_000) * F.lit(60_000)).alias("event_timestamp"),
         F.col("value").alias("close"))
     return point_mean(ev, "market", "event_timestamp", "close", "avg_close")
+
+
+# --- scans, slices, exploration (S5, F5, A3-A7, A11, O2, O3, U1) -------------
+
+@register("market_slice")
+def q_market_slice(spark, sf_dir):
+    return bars(spark, sf_dir).filter(F.col("market") == TARGET_MARKET)
+
+
+@register("distinct_markets")
+def q_distinct_markets(spark, sf_dir):
+    return ex.distinct_values(bars(spark, sf_dir), "market")
+
+
+@register("bars_per_market")
+def q_bars_per_market(spark, sf_dir):
+    return ex.count_by(bars(spark, sf_dir), "market", out="n_bars")
+
+
+@register("count_by_key")
+def q_count_by_key(spark, sf_dir):
+    return ex.count_by(bars(spark, sf_dir), "datetime", out="n_rows")
+
+
+@register("first_bars")
+def q_first_bars(spark, sf_dir):
+    return ex.first_rows(bars(spark, sf_dir).select("market", "datetime", "open", "close", "volume"),
+                         ["datetime", "market"], 20)
+
+
+@register("latest_bars")
+def q_latest_bars(spark, sf_dir):
+    return ex.latest_per_key(bars(spark, sf_dir).select("market", "datetime", "close", "nbr_trades"),
+                             "market", "datetime", 24)
+
+
+@register("first_close_time")
+def q_first_close_time(spark, sf_dir):
+    return ex.first_by_key(bars(spark, sf_dir), "market", "datetime", "close_time", "first_close_time")
+
+
+@register("union_bars")
+def q_union_bars(spark, sf_dir):
+    b = bars(spark, sf_dir)
+    return ex.union_all([b.filter(F.col("market") == m) for m in [TARGET_MARKET] + FEATURE_MARKETS])
+
+
+@register("clean_bars")
+def q_clean_bars(spark, sf_dir):
+    b = bars(spark, sf_dir)
+    # the same ingest applied twice: cleaning restores one row per bar
+    return cl.clean_bars(b.unionByName(b))
+
+
+@register("drop_null_columns")
+def q_drop_null_columns(spark, sf_dir):
+    return cl.kept_columns(bars(spark, sf_dir))
+
+
+@register("calendar_features")
+def q_calendar_features(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", *calendar_columns("ts"),
+                     day_of_week("ts", monday=0).alias("day_of_week0"))
+
+
+@register("epoch_roundtrip")
+def q_epoch_roundtrip(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    ms = epoch_ms("ts")
+    return ev.select("event_id", ms.alias("epoch_ms"), ms_to_ntz(ms).alias("ts_ms"))
+
+
+@register("feature_summary")
+def q_feature_summary(spark, sf_dir):
+    return ex.summary(bars(spark, sf_dir), "market", ["close", "volume", "nbr_trades"])
+
+
+# --- wide table joins (J3, J4) ----------------------------------------------
+
+WIDE_DRIVER = FEATURE_MARKETS[0]
+WIDE_OTHERS = FEATURE_MARKETS[1:]
+
+
+def long_with_range_avg(spark, sf_dir) -> DataFrame:
+    b = bars(spark, sf_dir).filter(F.col("market").isin(FEATURE_MARKETS))
+    return mx.with_rolling_range(b.select("market", "datetime", "close", "open", "high", "low",
+                                          "nbr_trades", "volume"))
+
+
+@register("driver_left_enrich")
+def q_driver_left_enrich(spark, sf_dir):
+    return mx.wide_enrich(long_with_range_avg(spark, sf_dir), WIDE_DRIVER, WIDE_OTHERS)
+
+
+@register("driver_semi")
+def q_driver_semi(spark, sf_dir):
+    b = bars(spark, sf_dir).filter(F.col("market").isin(FEATURE_MARKETS))
+    return mx.driver_semi(b.select("market", "datetime", "close"), WIDE_DRIVER)

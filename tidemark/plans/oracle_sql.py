@@ -117,4 +117,74 @@ def oracle_queries() -> dict[str, str]:
         "SELECT event_type AS market, (epoch_us(ts) // 60000000) * 60000 AS event_timestamp, "
         f"CAST(sum(CAST(value AS {DEC})) AS DOUBLE) / count(value) AS avg_close "
         "FROM events GROUP BY 1, 2")
+    q.update(_explore_queries())
+    return q
+
+
+def _explore_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    bar_cols = ("market, datetime, open, high, low, close, volume, close_time, qav, nbr_trades, "
+                "taker_base_vol, taker_quote_vol, date, year, month, day, day_of_week")
+    q["market_slice"] = with_bars(f"SELECT {bar_cols} FROM bars WHERE market = {_q(TARGET_MARKET)}")
+    q["distinct_markets"] = with_bars("SELECT DISTINCT market FROM bars")
+    q["bars_per_market"] = with_bars("SELECT market, count(*) AS n_bars FROM bars GROUP BY market")
+    q["count_by_key"] = with_bars("SELECT datetime, count(*) AS n_rows FROM bars GROUP BY datetime")
+    q["first_bars"] = with_bars(
+        "SELECT market, datetime, open, close, volume FROM bars ORDER BY datetime, market LIMIT 20")
+    q["latest_bars"] = with_bars(
+        "SELECT market, datetime, close, nbr_trades FROM ("
+        " SELECT *, row_number() OVER (PARTITION BY market ORDER BY datetime DESC) AS rn FROM bars)"
+        " WHERE rn <= 24")
+    q["first_close_time"] = with_bars(
+        "SELECT market, min(datetime) AS first_datetime, arg_min(close_time, datetime) AS first_close_time "
+        "FROM bars GROUP BY market")
+    q["union_bars"] = with_bars(f"SELECT {bar_cols} FROM bars")
+    q["clean_bars"] = with_bars(
+        f"SELECT DISTINCT {bar_cols} FROM bars WHERE market IS NOT NULL AND datetime IS NOT NULL "
+        "AND open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL "
+        "AND volume IS NOT NULL AND close_time IS NOT NULL AND nbr_trades IS NOT NULL AND close <> 0")
+    cols = [c.strip() for c in bar_cols.split(",")]
+    parts = [f"SELECT {_q(c)} AS column_name, CAST({i} AS INTEGER) AS position "
+             f"FROM (SELECT count(*) FILTER (WHERE {c} IS NULL) AS n FROM bars) WHERE n = 0"
+             for i, c in enumerate(cols)]
+    q["drop_null_columns"] = with_bars("\nUNION ALL\n".join(parts))
+    q["calendar_features"] = (
+        "SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, "
+        "CAST(day(ts) AS INTEGER) AS day, CAST(isodow(ts) AS INTEGER) AS day_of_week, "
+        "CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week0 FROM events")
+    q["epoch_roundtrip"] = (
+        "SELECT event_id, epoch_us(ts) // 1000 AS epoch_ms, epoch_ms(epoch_us(ts) // 1000) AS ts_ms FROM events")
+    summ = []
+    for c in ["close", "volume", "nbr_trades"]:
+        summ.append(
+            f"SELECT market, {_q(c)} AS column_name, count({c}) AS count, "
+            f"CAST(sum(CAST({c} AS {DEC})) AS DOUBLE) / count({c}) AS mean, "
+            f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, "
+            f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM bars GROUP BY market")
+    q["feature_summary"] = with_bars("\nUNION ALL\n".join(summ))
+    # Driver rows left-joined with the other markets, absent values 0
+    drv, others = FEATURE_MARKETS[0], FEATURE_MARKETS[1:]
+    wr = "(PARTITION BY market ORDER BY datetime RANGE BETWEEN 604800000 PRECEDING AND CURRENT ROW)"
+    rolled = (f"rolled AS (SELECT *, {exact_avg('close', wr)} AS rolling_avg_7d "
+              f"FROM bars WHERE market IN ({FEATS_IN}))")
+    sel = ["d.datetime", "CAST(day(epoch_ms(d.datetime)) AS INTEGER) AS day",
+           "CAST(month(epoch_ms(d.datetime)) AS INTEGER) AS month",
+           "CAST(year(epoch_ms(d.datetime)) AS INTEGER) AS year",
+           "CAST(isodow(epoch_ms(d.datetime)) - 1 AS INTEGER) AS day_of_week"]
+    for c in FEATURE_COLUMNS:
+        t = "INTEGER" if c == "nbr_trades" else "DOUBLE"
+        sel.append(f"CAST(d.{c} AS {t}) AS {drv}_{c}")
+    joins = []
+    for i, m in enumerate(others):
+        a = f"o{i}"
+        for c in FEATURE_COLUMNS:
+            t = "INTEGER" if c == "nbr_trades" else "DOUBLE"
+            sel.append(f"CAST(COALESCE({a}.{c}, 0) AS {t}) AS {m}_{c}")
+        joins.append(f"LEFT JOIN (SELECT * FROM rolled WHERE market = {_q(m)}) {a} ON {a}.datetime = d.datetime")
+    q["driver_left_enrich"] = with_bars(
+        f"SELECT {', '.join(sel)} FROM (SELECT * FROM rolled WHERE market = {_q(drv)}) d\n" + "\n".join(joins),
+        extra=rolled)
+    q["driver_semi"] = with_bars(
+        f"SELECT market, datetime, close FROM bars WHERE market IN ({FEATS_IN}) AND market <> {_q(drv)} "
+        f"AND datetime IN (SELECT datetime FROM bars WHERE market = {_q(drv)})")
     return q
