@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timecols import (calendar_columns, day_of_week, epoch_ms, epoch_us,
                                         floor_div, ms_to_ntz)
+from tidemark.operators import chunks as ch
 from tidemark.operators import cleaning as cl
 from tidemark.operators import explore as ex
 from tidemark.operators import matrix as mx
 from tidemark.operators.windows import point_mean, trailing_mean_range, trailing_mean_rows
 from tidemark.schemas import BAR_COLUMNS
-from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events
+from tidemark.sources import replies as rp
+from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
 from tidemark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,3 +186,60 @@ def q_driver_left_enrich(spark, sf_dir):
 def q_driver_semi(spark, sf_dir):
     b = bars(spark, sf_dir).filter(F.col("market").isin(FEATURE_MARKETS))
     return mx.driver_semi(b.select("market", "datetime", "close"), WIDE_DRIVER)
+
+
+# --- raw replies: decode and plan (S1, S2, S7, S15, S16, F1, F9, N3, G1) -----
+
+BALANCE_ASSETS = ["purchase", "signup"]
+SYMBOL_PREFIX = "p"
+FAILING_SYMBOL = "error"
+
+
+@register("kline_array_decode")
+def q_kline_array_decode(spark, sf_dir):
+    good, _ = rp.decode_kline_arrays(rp.kline_array_replies(bars(spark, sf_dir)))
+    return good
+
+
+@register("tolerant_decode")
+def q_tolerant_decode(spark, sf_dir):
+    replies = rp.error_reply_for(rp.kline_array_replies(bars(spark, sf_dir)), FAILING_SYMBOL)
+    good, _ = rp.decode_kline_arrays(replies)
+    return good
+
+
+@register("symbol_list")
+def q_symbol_list(spark, sf_dir):
+    return rp.decode_market_list(rp.market_list_replies(table(spark, sf_dir, "events")))
+
+
+@register("symbol_prefix_filter")
+def q_symbol_prefix_filter(spark, sf_dir):
+    return rp.symbols_with_prefix(q_symbol_list(spark, sf_dir), SYMBOL_PREFIX)
+
+
+@register("kline_message_decode")
+def q_kline_message_decode(spark, sf_dir):
+    return rp.decode_kline_messages(rp.kline_messages(bars(spark, sf_dir)))
+
+
+@register("json_field")
+def q_json_field(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+
+
+@register("price_snapshot")
+def q_price_snapshot(spark, sf_dir):
+    return rp.decode_price_snapshots(rp.price_snapshot_records(table(spark, sf_dir, "events")))
+
+
+@register("nested_balance_filter")
+def q_nested_balance_filter(spark, sf_dir):
+    return rp.balances_for_assets(rp.balance_replies(table(spark, sf_dir, "events")), BALANCE_ASSETS)
+
+
+@register("chunk_plan")
+def q_chunk_plan(spark, sf_dir):
+    ticks = ticks_from_events(table(spark, sf_dir, "events"))
+    return ch.chunk_plan(ch.spans_from_ticks(ticks, "market", "t_us"), interval="1m", gap_ms=0)

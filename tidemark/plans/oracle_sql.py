@@ -118,6 +118,7 @@ def oracle_queries() -> dict[str, str]:
         f"CAST(sum(CAST(value AS {DEC})) AS DOUBLE) / count(value) AS avg_close "
         "FROM events GROUP BY 1, 2")
     q.update(_explore_queries())
+    q.update(_reply_queries())
     return q
 
 
@@ -188,3 +189,44 @@ def _explore_queries() -> dict[str, str]:
         f"SELECT market, datetime, close FROM bars WHERE market IN ({FEATS_IN}) AND market <> {_q(drv)} "
         f"AND datetime IN (SELECT datetime FROM bars WHERE market = {_q(drv)})")
     return q
+
+
+def _reply_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    bar_cols = ("market, datetime, open, high, low, close, volume, close_time, qav, nbr_trades, "
+                "taker_base_vol, taker_quote_vol, date, year, month, day, day_of_week")
+    q["kline_array_decode"] = with_bars(f"SELECT {bar_cols} FROM bars")
+    q["tolerant_decode"] = with_bars(f"SELECT {bar_cols} FROM bars WHERE market <> 'error'")
+    day = "(epoch_us(ts) // 86400000000) * 86400000"
+    q["symbol_list"] = f"SELECT DISTINCT {day} AS server_time, event_type AS symbol FROM events"
+    q["symbol_prefix_filter"] = (f"SELECT DISTINCT {day} AS server_time, event_type AS symbol FROM events "
+                                 "WHERE starts_with(event_type, 'p')")
+    q["kline_message_decode"] = with_bars(
+        "SELECT close_time AS event_timestamp, epoch_ms(close_time) AS event_date, open, high, low, close, "
+        "volume, datetime AS start_timestamp, close_time AS close_timestamp, qav, "
+        "CAST(nbr_trades AS INTEGER) AS nbr_trades, taker_base_vol, taker_quote_vol, market AS symbol FROM bars")
+    q["json_field"] = "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
+    q["price_snapshot"] = (
+        "SELECT event_id, event_type AS currency, strftime(ts, '%Y-%m-%d') AS snapshot_date, "
+        "strftime(ts, '%H:%M:%S') AS snapshot_time, value AS price, "
+        "date_trunc('second', ts) AS snapshot_ts FROM events")
+    q["nested_balance_filter"] = (
+        f"SELECT user_id AS account, event_type AS asset, CAST(sum(CAST(value AS {DEC})) AS DOUBLE) AS free, "
+        "CAST(0 AS DOUBLE) AS locked FROM events WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2")
+    period = ("CAST(floor(CAST((end_ms - start_ms) // 86400000 AS DOUBLE) * 86400000.0 * 60000000.0 "
+              "/ CAST(end_ms - start_ms AS DOUBLE)) AS BIGINT)")
+    q["chunk_plan"] = f"""
+WITH spans AS (
+  SELECT event_type AS symbol, (min(epoch_us(ts)) // 86400000000) * 86400000 AS start_ms,
+         (max(epoch_us(ts)) // 86400000000 + 1) * 86400000 AS end_ms
+  FROM events GROUP BY 1),
+p AS (SELECT *, {period} AS period FROM spans),
+c AS (SELECT symbol, start_ms, end_ms, period,
+             unnest(range(0, CAST(ceil((end_ms - start_ms) / period) AS BIGINT))) AS chunk
+      FROM p WHERE period > 0)
+SELECT symbol, CAST(chunk AS INTEGER) AS chunk, start_ms + chunk * period AS window_start_ms,
+       least(start_ms + chunk * period + period, end_ms) AS window_end_ms,
+       CAST(start_ms + chunk * period AS VARCHAR) AS startTime,
+       CAST(least(start_ms + chunk * period + period, end_ms) AS VARCHAR) AS endTime
+FROM c"""
+    return q
