@@ -16,7 +16,9 @@ from tidemark.functions.timecols import (calendar_columns, day_of_week, epoch_ms
 from tidemark.operators import chunks as ch
 from tidemark.operators import cleaning as cl
 from tidemark.operators import explore as ex
+from tidemark.functions.pricing import buy_signal, limit_price
 from tidemark.operators import matrix as mx
+from tidemark.operators import serving as sv
 from tidemark.operators.windows import point_mean, trailing_mean_range, trailing_mean_rows
 from tidemark.schemas import BAR_COLUMNS
 from tidemark.sources import replies as rp
@@ -243,3 +245,33 @@ def q_nested_balance_filter(spark, sf_dir):
 def q_chunk_plan(spark, sf_dir):
     ticks = ticks_from_events(table(spark, sf_dir, "events"))
     return ch.chunk_plan(ch.spans_from_ticks(ticks, "market", "t_us"), interval="1m", gap_ms=0)
+
+
+# --- serving (A1, A2, F6-F8, F10, M2) -----------------------------------------
+
+BUY_LIMIT = 50.0
+TICK = 0.01
+
+
+def data_as_of(spark, sf_dir):
+    """The "today" of the data: the last event's date (a one-value aggregate)."""
+    return table(spark, sf_dir, "events").agg(F.max("ts").alias("m")).first()["m"].date()
+
+
+@register("serving_window_avg")
+def q_serving_window_avg(spark, sf_dir):
+    wide = q_driver_left_enrich(spark, sf_dir)
+    return sv.window_averages(wide, FEATURE_MARKETS, data_as_of(spark, sf_dir), days=7)
+
+
+@register("buy_signal")
+def q_buy_signal(spark, sf_dir):
+    scored = sv.naive_prediction(q_market_feature_matrix(spark, sf_dir), FEATURE_MARKETS)
+    return scored.select("datetime", "prediction", buy_signal("prediction", BUY_LIMIT).alias("buy"))
+
+
+@register("limit_price")
+def q_limit_price(spark, sf_dir):
+    m = q_market_feature_matrix(spark, sf_dir)
+    col = f"{TARGET_MARKET}_close"
+    return m.select("datetime", col, limit_price(col, 1.01, TICK).alias("order_price"))

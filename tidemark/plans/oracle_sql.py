@@ -119,6 +119,7 @@ def oracle_queries() -> dict[str, str]:
         "FROM events GROUP BY 1, 2")
     q.update(_explore_queries())
     q.update(_reply_queries())
+    q.update(_serving_queries(q))
     return q
 
 
@@ -230,3 +231,32 @@ SELECT symbol, CAST(chunk AS INTEGER) AS chunk, start_ms + chunk * period AS win
        CAST(least(start_ms + chunk * period + period, end_ms) AS VARCHAR) AS endTime
 FROM c"""
     return q
+
+
+def _serving_queries(base: dict[str, str]) -> dict[str, str]:
+    q: dict[str, str] = {}
+    mk = FEATURE_MARKETS
+    avgs = []
+    for m in mk:
+        for c in FEATURE_COLUMNS:
+            x = f"{m}_{c}"
+            e = f"CASE WHEN {x} <> 0 THEN {x} END" if c == "close" else x
+            avgs.append(f"CAST(sum(CAST({e} AS {DEC})) AS DOUBLE) / count({e}) AS {x}")
+    any_close = " OR ".join(f"{m}_close <> 0" for m in mk)
+    q["serving_window_avg"] = f"""
+WITH wide AS ({base["driver_left_enrich"]}),
+as_of_day AS (SELECT CAST(max(ts) AS DATE) + 1 AS end_day FROM events),
+b AS (SELECT end_day, epoch_ms(CAST(end_day - 6 AS TIMESTAMP)) AS lo, epoch_ms(CAST(end_day AS TIMESTAMP)) AS hi FROM as_of_day)
+SELECT CAST(day(any_value(end_day)) AS INTEGER) AS day, CAST(month(any_value(end_day)) AS INTEGER) AS month,
+       CAST(year(any_value(end_day)) AS INTEGER) AS year, CAST(isodow(any_value(end_day)) - 1 AS INTEGER) AS day_of_week,
+       {", ".join(avgs)}
+FROM b LEFT JOIN wide ON wide.datetime BETWEEN b.lo AND b.hi AND ({any_close})"""
+    pred = " + ".join(f"{m}_rolling_avg_7d" for m in mk)
+    q["buy_signal"] = f"""
+WITH m AS ({base["market_feature_matrix"]}), s AS (SELECT datetime, ({pred}) / {float(len(mk))} AS prediction FROM m)
+SELECT datetime, prediction, (prediction < 50.0 AND prediction <> 0) AS buy FROM s"""
+    t = f"{TARGET_MARKET}_close"
+    q["limit_price"] = f"""
+WITH m AS ({base["market_feature_matrix"]})
+SELECT datetime, {t}, round_even({t} * 1.01, 2) AS order_price FROM m"""
+    return q
