@@ -52,3 +52,28 @@ def naive_prediction(matrix: DataFrame, features: list[str], out: str = "predict
     """Mean of the feature markets' trailing averages (a SQL-checkable stand-in score)."""
     s = reduce(lambda a, b: a + b, [F.col(f"{m}_rolling_avg_7d") for m in features])
     return matrix.withColumn(out, s / F.lit(float(len(features))))
+
+
+def daily_requests(wide: DataFrame, markets: list[str], days: int = 7, key: str = "datetime") -> DataFrame:
+    """The serving average for every day at once: each wide row is copied to the
+    (at most ``days``) request days whose window holds it, then one groupBy per
+    request day. Copies are bounded by ``days``; partial aggregation keeps the
+    shuffle at one row per (task, day)."""
+    t = F.col(key)
+    lo = F.ceil(t / F.lit(MS_PER_DAY)).cast("bigint")
+    hi = F.floor(t / F.lit(MS_PER_DAY)).cast("bigint") + F.lit(days - 1)
+    any_close = reduce(lambda a, b: a | b, [F.col(f"{m}_close") != F.lit(0) for m in markets])
+    rows = wide.filter(any_close).withColumn("_end_day", F.explode(F.sequence(lo, hi)))
+    aggs = []
+    for m in markets:
+        for c in FEATURE_COLUMNS:
+            x = F.col(f"{m}_{c}")
+            if c == "close":
+                x = F.when(x != F.lit(0), x)
+            aggs.append(_mean(x).alias(f"{m}_{c}"))
+    g = rows.groupBy("_end_day").agg(*aggs)
+    end = F.date_add(F.lit("1970-01-01").cast("date"), F.col("_end_day").cast("int"))
+    return g.select((F.col("_end_day") * F.lit(MS_PER_DAY)).alias("request_day_ms"),
+                    F.dayofmonth(end).alias("day"), F.month(end).alias("month"), F.year(end).alias("year"),
+                    F.weekday(end).alias("day_of_week"),
+                    *[f"{m}_{c}" for m in markets for c in FEATURE_COLUMNS])

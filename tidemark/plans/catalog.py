@@ -17,10 +17,13 @@ from tidemark.operators import chunks as ch
 from tidemark.operators import cleaning as cl
 from tidemark.operators import explore as ex
 from tidemark.functions.pricing import buy_signal, limit_price
+from tidemark.ml import features as mf
+from tidemark.ml import models as mm
 from tidemark.operators import matrix as mx
 from tidemark.operators import serving as sv
 from tidemark.operators.windows import point_mean, trailing_mean_range, trailing_mean_rows
-from tidemark.schemas import BAR_COLUMNS
+from tidemark.schemas import BAR_COLUMNS, FEATURE_COLUMNS, require_columns
+from tidemark.session import scratch_path
 from tidemark.sources import replies as rp
 from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
 from tidemark.sources.tables import table
@@ -275,3 +278,92 @@ def q_limit_price(spark, sf_dir):
     m = q_market_feature_matrix(spark, sf_dir)
     col = f"{TARGET_MARKET}_close"
     return m.select("datetime", col, limit_price(col, 1.01, TICK).alias("order_price"))
+
+
+# --- machine learning (ML1-ML14, A8-A10, S13) ---------------------------------
+
+TARGET_COL = f"{TARGET_MARKET}_close"
+
+
+def split_matrix(spark, sf_dir) -> DataFrame:
+    return mf.with_split(q_market_feature_matrix(spark, sf_dir), "datetime", 75)
+
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    return split_matrix(spark, sf_dir).select("datetime", "split_bucket", "is_train")
+
+
+@register("scaled_features")
+def q_scaled_features(spark, sf_dir):
+    m = split_matrix(spark, sf_dir)
+    cont = mf.continuous_columns(m.columns, exclude=(TARGET_COL, "datetime"))
+    stats = mf.population_stats(m.filter("is_train"), cont)
+    z = mf.standardise(m, stats)
+    return z.select("datetime", *[F.round(c, 6).alias(c) for c in cont])
+
+
+@register("one_hot_calendar")
+def q_one_hot_calendar(spark, sf_dir):
+    return q_market_feature_matrix(spark, sf_dir).select("datetime", *mf.one_hot_exprs())
+
+
+@register("rmse_per_market")
+def q_rmse_per_market(spark, sf_dir):
+    r = q_trailing_avg_rows7(spark, sf_dir)
+    err = F.col("close") - F.col("rolling_avg_7d")
+    return r.groupBy("market").agg(F.count(F.lit(1)).alias("n"),
+                                   F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse"))
+
+
+@register("r2_per_market")
+def q_r2_per_market(spark, sf_dir):
+    r = q_trailing_avg_rows7(spark, sf_dir)
+    y, err = F.col("close"), F.col("close") - F.col("rolling_avg_7d")
+    g = r.groupBy("market").agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("ss_res"),
+                                F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
+    ss_tot = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    return g.select("market", "n", F.round(F.lit(1.0) - F.col("ss_res") / ss_tot, 6).alias("r2"))
+
+
+def _train(name):
+    def q(spark, sf_dir):
+        _, scored = mm.fit_and_score(split_matrix(spark, sf_dir), name, TARGET_COL)
+        return scored.select("datetime", "label", "prediction")
+    return q
+
+
+register("train_linear")(_train("Linear_Regression"))
+register("train_decision_tree")(_train("Decision_Tree"))
+register("train_random_forest")(_train("Random_Forest"))
+register("train_gbt")(_train("XGBoost"))
+
+
+@register("best_model")
+def q_best_model(spark, sf_dir):
+    return mm.select_best(mm.compare_models(spark, split_matrix(spark, sf_dir), TARGET_COL))
+
+
+@register("model_roundtrip_score")
+def q_model_roundtrip_score(spark, sf_dir):
+    data = mm.labelled(split_matrix(spark, sf_dir), TARGET_COL)
+    model = mm.model_pipeline("Linear_Regression", data.columns, TARGET_COL).fit(data.filter("is_train"))
+    path = scratch_path(spark, "model-linear")
+    mm.save_model(model, path)
+    return mm.load_model(path).transform(data.filter(~F.col("is_train"))).select(
+        "datetime", "label", "prediction")
+
+
+@register("score_requests")
+def q_score_requests(spark, sf_dir):
+    data = mm.labelled(split_matrix(spark, sf_dir), TARGET_COL)
+    model = mm.model_pipeline("Linear_Regression", data.columns, TARGET_COL).fit(data.filter("is_train"))
+    req = sv.daily_requests(q_driver_left_enrich(spark, sf_dir), FEATURE_MARKETS)
+    need = ["day", "month", "year", "day_of_week"] + [
+        f"{m}_{c}" for m in FEATURE_MARKETS for c in FEATURE_COLUMNS]
+    require_columns(req, need, "scoring request")
+    # requests carry Monday = 0; the model was trained with Monday = 1
+    req = req.withColumn("day_of_week", F.col("day_of_week") + F.lit(1))
+    scored = model.transform(req)
+    return scored.select("request_day_ms", "prediction",
+                         buy_signal("prediction", BUY_LIMIT).alias("buy"))

@@ -120,6 +120,7 @@ def oracle_queries() -> dict[str, str]:
     q.update(_explore_queries())
     q.update(_reply_queries())
     q.update(_serving_queries(q))
+    q.update(_ml_queries(q))
     return q
 
 
@@ -260,3 +261,30 @@ SELECT datetime, prediction, (prediction < 50.0 AND prediction <> 0) AS buy FROM
 WITH m AS ({base["market_feature_matrix"]})
 SELECT datetime, {t}, round_even({t} * 1.01, 2) AS order_price FROM m"""
     return q
+
+
+def _ml_queries(base: dict[str, str]) -> dict[str, str]:
+    from tidemark.ml.features import CATEGORIES
+    q: dict[str, str] = {}
+    bucket = "CAST((('0x' || substr(md5(CAST(datetime AS VARCHAR)), 1, 8))::BIGINT) % 100 AS INTEGER)"
+    split = f"SELECT *, {bucket} AS split_bucket, {bucket} < 75 AS is_train FROM m"
+    mtx = base["market_feature_matrix"]
+    q["hash_split"] = f"WITH m AS ({mtx}), s AS ({split}) SELECT datetime, split_bucket, is_train FROM s"
+    cont = [f"{m}_{c}" for m in FEATURE_MARKETS for c in FEATURE_COLUMNS]
+    stats = ", ".join(f"CAST(sum(CAST({c} AS {DEC})) AS DOUBLE) / count({c}) AS m_{c}, "
+                      f"stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}" for c in cont)
+    zs = ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 6) AS {c}" for c in cont)
+    q["scaled_features"] = (f"WITH m AS ({mtx}), s AS ({split}), st AS (SELECT {stats} FROM s WHERE is_train) "
+                            f"SELECT datetime, {zs} FROM s, st")
+    oh = ", ".join(f"CASE WHEN {c} = {v} THEN 1 ELSE 0 END AS {c}_{v}"
+                   for c, vs in CATEGORIES.items() for v in vs[1:])
+    q["one_hot_calendar"] = f"WITH m AS ({mtx}) SELECT datetime, {oh} FROM m"
+    r7 = base["trailing_avg_rows7"]
+    q["rmse_per_market"] = (f"WITH r AS ({r7}) SELECT market, count(*) AS n, "
+                            "round(sqrt(avg((close - rolling_avg_7d) * (close - rolling_avg_7d))), 6) AS rmse "
+                            "FROM r GROUP BY market")
+    q["r2_per_market"] = (f"WITH r AS ({r7}), g AS (SELECT market, count(*) AS n, "
+                          "sum((close - rolling_avg_7d) * (close - rolling_avg_7d)) AS ss_res, "
+                          "sum(close) AS sy, sum(close * close) AS syy FROM r GROUP BY market) "
+                          "SELECT market, n, round(1.0 - ss_res / (syy - sy * sy / n), 6) AS r2 FROM g")
+    return q
