@@ -25,6 +25,7 @@ from tidemark.operators.windows import point_mean, trailing_mean_range, trailing
 from tidemark.schemas import BAR_COLUMNS, FEATURE_COLUMNS, require_columns
 from tidemark.session import scratch_path
 from tidemark.sources import replies as rp
+from tidemark.streaming import klines as sk
 from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
 from tidemark.sources.tables import table
 
@@ -367,3 +368,36 @@ def q_score_requests(spark, sf_dir):
     scored = model.transform(req)
     return scored.select("request_day_ms", "prediction",
                          buy_signal("prediction", BUY_LIMIT).alias("buy"))
+
+
+# --- streaming (K1-K5, S7-S10) -----------------------------------------------
+
+def _landed(spark, sf_dir, name):
+    paths = sk.new_paths(spark, name)
+    sk.land_messages(rp.kline_messages(bars(spark, sf_dir)), paths.landing, files=4)
+    return paths
+
+
+@register("stream_append_market")
+def q_stream_append_market(spark, sf_dir):
+    paths = _landed(spark, sf_dir, "stream-append")
+    sk.run_until_done(sk.append_market_query(spark, paths))
+    return spark.read.parquet(paths.market).drop("event_day")
+
+
+def _wide_stream(spark, sf_dir):
+    paths = _landed(spark, sf_dir, "stream-wide")
+    sk.run_until_done(sk.wide_upsert_query(spark, paths, WIDE_DRIVER, WIDE_OTHERS))
+    return paths
+
+
+@register("stream_trailing_avg")
+def q_stream_trailing_avg(spark, sf_dir):
+    paths = _wide_stream(spark, sf_dir)
+    return spark.read.parquet(paths.averages).select("symbol", "event_timestamp", "close", "rolling_avg_7d")
+
+
+@register("stream_wide_upsert")
+def q_stream_wide_upsert(spark, sf_dir):
+    paths = _wide_stream(spark, sf_dir)
+    return spark.read.parquet(paths.wide).drop("event_day")

@@ -121,6 +121,7 @@ def oracle_queries() -> dict[str, str]:
     q.update(_reply_queries())
     q.update(_serving_queries(q))
     q.update(_ml_queries(q))
+    q.update(_stream_queries(q))
     return q
 
 
@@ -288,3 +289,32 @@ def _ml_queries(base: dict[str, str]) -> dict[str, str]:
                           "sum(close) AS sy, sum(close * close) AS syy FROM r GROUP BY market) "
                           "SELECT market, n, round(1.0 - ss_res / (syy - sy * sy / n), 6) AS r2 FROM g")
     return q
+
+
+def _stream_queries(base: dict[str, str]) -> dict[str, str]:
+    q: dict[str, str] = {"stream_append_market": base["kline_message_decode"]}
+    wr = "(PARTITION BY market ORDER BY close_time RANGE BETWEEN 604800000 PRECEDING AND CURRENT ROW)"
+    q["stream_trailing_avg"] = with_bars(
+        f"SELECT market AS symbol, close_time AS event_timestamp, close, {exact_avg('close', wr)} AS rolling_avg_7d "
+        "FROM bars")
+    drv, others = FEATURE_MARKETS[0], FEATURE_MARKETS[1:]
+    rolled = (f"rolled AS (SELECT *, {exact_avg('close', wr)} AS rolling_avg_7d "
+              f"FROM bars WHERE market IN ({FEATS_IN}))")
+    sel = ["d.close_time AS start_timestamp", "CAST(day(epoch_ms(d.close_time)) AS INTEGER) AS day",
+           "CAST(month(epoch_ms(d.close_time)) AS INTEGER) AS month",
+           "CAST(year(epoch_ms(d.close_time)) AS INTEGER) AS year",
+           "CAST(isodow(epoch_ms(d.close_time)) - 1 AS INTEGER) AS day_of_week"]
+    for c in FEATURE_COLUMNS:
+        t = "INTEGER" if c == "nbr_trades" else "DOUBLE"
+        sel.append(f"CAST(d.{c} AS {t}) AS {drv}_{c}")
+    joins = []
+    for i, m in enumerate(others):
+        a = f"o{i}"
+        for c in FEATURE_COLUMNS:
+            t = "INTEGER" if c == "nbr_trades" else "DOUBLE"
+            sel.append(f"CAST(COALESCE({a}.{c}, 0) AS {t}) AS {m}_{c}")
+        joins.append(f"LEFT JOIN (SELECT * FROM rolled WHERE market = {_q(m)}) {a} ON {a}.close_time = d.close_time")
+    q["stream_wide_upsert"] = with_bars(
+        f"SELECT {', '.join(sel)} FROM (SELECT * FROM rolled WHERE market = {_q(drv)}) d\n" + "\n".join(joins),
+        extra=rolled)
+    return q
