@@ -120,7 +120,9 @@ def decode_kline_messages(messages: DataFrame, zone: str = "UTC", text_col: str
     """Message text → rows of the long ``market`` table. ``k`` is read as a
     string map, so t/T, v/V, q/Q stay distinct under any case setting; values
     use ``try_cast`` so a dirty field becomes NULL instead of failing."""
-    m = messages.select(F.from_json(text_col, KLINE_MESSAGE_SCHEMA).alias("m")).filter(F.col("m").isNotNull())
+    # PERMISSIVE parsing turns unreadable text into a struct of NULLs: drop those
+    m = (messages.select(F.from_json(text_col, KLINE_MESSAGE_SCHEMA).alias("m"))
+         .filter(F.col("m.E").isNotNull() & F.col("m.k").isNotNull()))
     k = F.col("m.k")
 
     def num(key, t="double"):
