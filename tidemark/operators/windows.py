@@ -13,8 +13,8 @@ flagged as not owned, and dropped after the window:
   in a later chunk's halo, and the n-1 rows before a chunk are exactly the n-1
   tail rows before the chunk's first tail row. Tails are at most
   (n-1) × chunks per key — bounded by time span / width, not by data volume —
-  so numbering them per key is cheap; each tail row is joined (equi-join on
-  position) to the chunks whose first tail position is within n-1 after it.
+  so one look-ahead window over the tails of a key finds, for each tail row,
+  the later chunks it must be copied to.
 
 Both are exact. Averages go through a decimal sum divided by the row count, so
 the result does not depend on summation order.
@@ -54,19 +54,19 @@ def trailing_mean_rows(df: DataFrame, key: str, order: str, value: str, rows: in
     if k <= 0:
         return df.withColumn(out, F.col(value).cast("double"))
     cols = [key, order, value]
-    # Tail: the last k rows of every (key, chunk).
+    # Tail: the last k rows of every (key, chunk) (a partial WindowGroupLimit
+    # runs before the shuffle, so only tail candidates move).
     desc = Window.partitionBy(key, _CHUNK).orderBy(F.col(order).desc())
     tails = (base.select(*cols, _CHUNK)
              .withColumn("_rn", F.row_number().over(desc))
              .filter(F.col("_rn") <= k).drop("_rn"))
-    # Number tails per key; their count per key is <= k * chunks, not data size.
-    tails = tails.withColumn(_POS, F.row_number().over(Window.partitionBy(key).orderBy(order)))
-    first_pos = tails.groupBy(key, _CHUNK).agg(F.min(_POS).alias("_first"))
-    first_pos = first_pos.select(F.col(key).alias("_key"), F.col(_CHUNK).alias("_target"), "_first")
-    spread = tails.withColumn("_q", F.explode(F.sequence(F.col(_POS) + 1, F.col(_POS) + k)))
-    halo = (spread.join(first_pos, (spread[key] == first_pos["_key"])
-                        & (spread["_q"] == first_pos["_first"]))
-            .select(*cols, F.col("_target").alias(_CHUNK), F.lit(False).alias(_OWN)))
+    # A tail row belongs to the halo of every later chunk whose first tail row
+    # is among the next k tail rows of the key: the chunks seen in that
+    # look-ahead, minus its own. Tails per key are <= k x chunks per key.
+    ahead = Window.partitionBy(key).orderBy(order).rowsBetween(1, k)
+    targets = F.array_remove(F.collect_set(_CHUNK).over(ahead), F.col(_CHUNK))
+    halo = (tails.withColumn("_ts", targets).withColumn("_t", F.explode("_ts"))
+            .select(*cols, F.col("_t").alias(_CHUNK), F.lit(False).alias(_OWN)))
     return _window_and_keep(base, halo, key, order, value, out,
                             Window.partitionBy(key, _CHUNK).orderBy(order).rowsBetween(-k, 0))
 

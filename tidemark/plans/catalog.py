@@ -25,6 +25,7 @@ from tidemark.operators.windows import point_mean, trailing_mean_range, trailing
 from tidemark.schemas import BAR_COLUMNS, FEATURE_COLUMNS, require_columns
 from tidemark.session import scratch_path
 from tidemark.sources import replies as rp
+from tidemark.sources import store
 from tidemark.streaming import klines as sk
 from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
 from tidemark.sources.tables import table
@@ -42,8 +43,11 @@ def register(name: str):
     return deco
 
 
-def bars(spark: SparkSession, sf_dir: str, bucket="hour") -> DataFrame:
-    return bars_from_events(table(spark, sf_dir, "events"), bucket)
+def bars(spark: SparkSession, sf_dir: str, bucket="hour", stored: bool = False) -> DataFrame:
+    """Bars derived from events; ``stored`` writes them once to the bar store
+    first (for plans that read bars in several branches)."""
+    b = bars_from_events(table(spark, sf_dir, "events"), bucket)
+    return store.snapshot(b) if stored else b
 
 
 @register("bar_scan")
@@ -53,36 +57,36 @@ def q_bar_scan(spark, sf_dir):
 
 @register("market_feature_matrix")
 def q_market_feature_matrix(spark, sf_dir):
-    return mx.feature_matrix(bars(spark, sf_dir), TARGET_MARKET, FEATURE_MARKETS, rows=7)
+    return mx.feature_matrix(bars(spark, sf_dir, stored=True), TARGET_MARKET, FEATURE_MARKETS, rows=7)
 
 
 @register("market_feature_matrix_joins")
 def q_market_feature_matrix_joins(spark, sf_dir):
-    return mx.feature_matrix_joins(bars(spark, sf_dir), TARGET_MARKET, FEATURE_MARKETS, rows=7)
+    return mx.feature_matrix_joins(bars(spark, sf_dir, stored=True), TARGET_MARKET, FEATURE_MARKETS, rows=7)
 
 
 @register("close_time_matrix")
 def q_close_time_matrix(spark, sf_dir):
-    return mx.close_time_matrix(bars(spark, sf_dir), TARGET_MARKET, FEATURE_MARKETS, rows=8)
+    return mx.close_time_matrix(bars(spark, sf_dir, stored=True), TARGET_MARKET, FEATURE_MARKETS, rows=8)
 
 
 @register("trailing_avg_rows7")
 def q_trailing_avg_rows7(spark, sf_dir):
-    b = bars(spark, sf_dir).filter(F.col("market").isin(FEATURE_MARKETS))
+    b = bars(spark, sf_dir, stored=True).filter(F.col("market").isin(FEATURE_MARKETS))
     return trailing_mean_rows(b.select("market", "datetime", "close_time", "close"),
                               "market", "datetime", "close", 7, "rolling_avg_7d")
 
 
 @register("trailing_avg_rows8")
 def q_trailing_avg_rows8(spark, sf_dir):
-    b = bars(spark, sf_dir).filter(F.col("market").isin(FEATURE_MARKETS))
+    b = bars(spark, sf_dir, stored=True).filter(F.col("market").isin(FEATURE_MARKETS))
     return trailing_mean_rows(b.select("market", "datetime", "close_time", "close"),
                               "market", "datetime", "close", 8, "average")
 
 
 @register("trailing_avg_range7d")
 def q_trailing_avg_range7d(spark, sf_dir):
-    b = bars(spark, sf_dir).select("market", "datetime", "close")
+    b = bars(spark, sf_dir, stored=True).select("market", "datetime", "close")
     return trailing_mean_range(b, "market", "datetime", "close", WEEK_MS, "rolling_avg_range7d")
 
 
@@ -136,13 +140,13 @@ def q_first_close_time(spark, sf_dir):
 
 @register("union_bars")
 def q_union_bars(spark, sf_dir):
-    b = bars(spark, sf_dir)
+    b = bars(spark, sf_dir, stored=True)
     return ex.union_all([b.filter(F.col("market") == m) for m in [TARGET_MARKET] + FEATURE_MARKETS])
 
 
 @register("clean_bars")
 def q_clean_bars(spark, sf_dir):
-    b = bars(spark, sf_dir)
+    b = bars(spark, sf_dir, stored=True)
     # the same ingest applied twice: cleaning restores one row per bar
     return cl.clean_bars(b.unionByName(b))
 
@@ -178,7 +182,7 @@ WIDE_OTHERS = FEATURE_MARKETS[1:]
 
 
 def long_with_range_avg(spark, sf_dir) -> DataFrame:
-    b = bars(spark, sf_dir).filter(F.col("market").isin(FEATURE_MARKETS))
+    b = bars(spark, sf_dir, stored=True).filter(F.col("market").isin(FEATURE_MARKETS))
     return mx.with_rolling_range(b.select("market", "datetime", "close", "open", "high", "low",
                                           "nbr_trades", "volume"))
 
@@ -190,7 +194,7 @@ def q_driver_left_enrich(spark, sf_dir):
 
 @register("driver_semi")
 def q_driver_semi(spark, sf_dir):
-    b = bars(spark, sf_dir).filter(F.col("market").isin(FEATURE_MARKETS))
+    b = bars(spark, sf_dir, stored=True).filter(F.col("market").isin(FEATURE_MARKETS))
     return mx.driver_semi(b.select("market", "datetime", "close"), WIDE_DRIVER)
 
 
