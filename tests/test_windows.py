@@ -51,7 +51,7 @@ def test_range_frame_includes_boundary(spark):
     rows = [("a", 0, 1.0), ("a", 7, 2.0), ("a", 8, 4.0), ("a", 15, 8.0), ("b", 15, 5.0)]
     got = as_dict(trailing_mean_range(make(spark, rows), "k", "t", "v", 7, "avg", chunk_width=3), "avg")
     assert got[("a", 7)] == 1.5          # t-7 = 0 is inside the frame
-    assert got[("a", 15)] == (2.0 + 4.0 + 8.0) / 3
+    assert got[("a", 15)] == (4.0 + 8.0) / 2   # frame [8, 15]
     assert got[("b", 15)] == 5.0
 
 
