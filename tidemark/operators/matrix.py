@@ -114,7 +114,7 @@ def wide_enrich(long: DataFrame, driver: str, others: list[str], key: str = "dat
 
 
 def with_rolling_range(long: DataFrame, key: str = "datetime", length: int = 7 * 86_400_000,
-                       out: str = ROLLING, chunk_width: int = DEFAULT_CHUNK_MS) -> DataFrame:
+                       out: str = ROLLING, chunk_width: int | None = None) -> DataFrame:
     """W3 on a long bar/market table: trailing ``length`` ms RANGE mean of close."""
     return trailing_mean_range(long, "market", key, "close", length, out, chunk_width)
 

@@ -28,7 +28,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.timecols import MS_PER_DAY, floor_div
 from tidemark.schemas import PRICE_DECIMAL
 
-DEFAULT_CHUNK_MS = MS_PER_DAY
+# Row frames: a chunk should hold many more rows than the frame (7 days of
+# hourly bars = 168 rows per market-chunk, halo 6). RANGE frames: chunks of
+# RANGE_CHUNK_FACTOR × the frame length, so the copied halo is at most 1/4 of
+# the data (a width of one day under a 7-day frame would copy rows 7 times).
+DEFAULT_CHUNK_MS = 7 * MS_PER_DAY
+RANGE_CHUNK_FACTOR = 4
 _OWN, _CHUNK, _POS = "_tm_own", "_tm_chunk", "_tm_pos"
 
 
@@ -72,9 +77,11 @@ def trailing_mean_rows(df: DataFrame, key: str, order: str, value: str, rows: in
 
 
 def trailing_mean_range(df: DataFrame, key: str, order: str, value: str, length: int,
-                        out: str, chunk_width: int = DEFAULT_CHUNK_MS) -> DataFrame:
+                        out: str, chunk_width: int | None = None) -> DataFrame:
     """``avg(value) OVER (PARTITION BY key ORDER BY order RANGE length PRECEDING)``,
     ``order`` numeric (epoch ms); peers with equal ``order`` are included."""
+    if chunk_width is None:
+        chunk_width = max(1, RANGE_CHUNK_FACTOR * length)
     base = _with_chunk(df, order, chunk_width).withColumn(_OWN, F.lit(True))
     cols = [key, order, value]
     first = F.col(_CHUNK) + 1

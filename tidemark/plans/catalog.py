@@ -385,13 +385,13 @@ def _landed(spark, sf_dir, name):
 @register("stream_append_market")
 def q_stream_append_market(spark, sf_dir):
     paths = _landed(spark, sf_dir, "stream-append")
-    sk.run_until_done(sk.append_market_query(spark, paths))
+    sk.run_until_done(sk.append_market_query(spark, paths, files_per_trigger=2))
     return spark.read.parquet(paths.market).drop("event_day")
 
 
 def _wide_stream(spark, sf_dir):
     paths = _landed(spark, sf_dir, "stream-wide")
-    sk.run_until_done(sk.wide_upsert_query(spark, paths, WIDE_DRIVER, WIDE_OTHERS))
+    sk.run_until_done(sk.wide_upsert_query(spark, paths, WIDE_DRIVER, WIDE_OTHERS, files_per_trigger=2))
     return paths
 
 

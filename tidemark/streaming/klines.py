@@ -6,6 +6,8 @@ Three sinks, all under one root in the shared folder:
 * ``market``   — long history, partitioned by (event_day, batch_id). A batch is
                  written with dynamic partition overwrite, so a replayed batch
                  id rewrites exactly its own partitions (idempotent, no doubles).
+                 Every partitioned write is first clustered on its partition
+                 column: one file per partition and batch, not one per task.
 * ``averages`` — history rows with their trailing 7-day RANGE mean of close.
 * ``wide``     — one row per driver-market event time with every market's 7
                  columns, absent markets 0 (keyed upsert).
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,11 +71,12 @@ def _day(col: str):
     return floor_div(col, MS_PER_DAY)
 
 
-def append_market_query(spark: SparkSession, paths: StreamPaths, trigger_once: bool = True):
+def append_market_query(spark: SparkSession, paths: StreamPaths, trigger_once: bool = True,
+                        files_per_trigger: int = 1):
     """K1 + S7 + S8: decode the stream and append to the ``market`` table
     (file sink: exactly-once through its commit log)."""
-    decoded = decode_kline_messages(message_stream(spark, paths.landing))
-    w = (decoded.withColumn("event_day", _day("event_timestamp"))
+    decoded = decode_kline_messages(message_stream(spark, paths.landing, files_per_trigger))
+    w = (decoded.withColumn("event_day", _day("event_timestamp")).repartition("event_day")
          .writeStream.format("parquet").option("checkpointLocation", paths.checkpoint + "-append")
          .partitionBy("event_day").outputMode("append"))
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="1 second")
@@ -87,13 +91,17 @@ class WideUpsert:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = decode_kline_messages(batch).withColumn("event_day", _day("event_timestamp"))
-        span = rows.agg(F.min("event_day").alias("lo"), F.max("event_timestamp").alias("hi")).first()
-        if span["lo"] is None:
-            return
-        (rows.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("event_day", "batch_id").parquet(self.paths.market))
+        rows = (decode_kline_messages(batch).withColumn("event_day", _day("event_timestamp"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            span = rows.agg(F.min("event_day").alias("lo"), F.max("event_timestamp").alias("hi")).first()
+            if span["lo"] is None:
+                return
+            (rows.withColumn("batch_id", F.lit(batch_id)).repartition("event_day")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("event_day", "batch_id").parquet(self.paths.market))
+        finally:
+            rows.unpersist()
         first_day = span["lo"]
         last_day = (span["hi"] + self.length) // MS_PER_DAY
         # history from one frame length before the first affected day
@@ -101,14 +109,14 @@ class WideUpsert:
         hist = (spark.read.parquet(self.paths.market)
                 .filter(F.col("event_day").between(need_from, last_day)).drop("batch_id"))
         avg = trailing_mean_range(hist, "symbol", "event_timestamp", "close", self.length, "rolling_avg_7d")
-        avg = avg.filter(F.col("event_day").between(first_day, last_day)).persist()
+        avg = avg.filter(F.col("event_day").between(first_day, last_day)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            (avg.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (avg.repartition("event_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_day").parquet(self.paths.averages))
             wide = wide_enrich(avg.withColumnRenamed("symbol", "market"), self.driver, self.others,
                                key="event_timestamp", monday=0)
             (wide.withColumnRenamed("event_timestamp", "start_timestamp")
-             .withColumn("event_day", _day("start_timestamp"))
+             .withColumn("event_day", _day("start_timestamp")).repartition("event_day")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_day").parquet(self.paths.wide))
         finally:
@@ -116,9 +124,9 @@ class WideUpsert:
 
 
 def wide_upsert_query(spark: SparkSession, paths: StreamPaths, driver: str, others: list[str],
-                      trigger_once: bool = True):
+                      trigger_once: bool = True, files_per_trigger: int = 1):
     """K3 + K4 + S9 + S10 as one streaming query with an idempotent batch body."""
-    w = (message_stream(spark, paths.landing).writeStream
+    w = (message_stream(spark, paths.landing, files_per_trigger).writeStream
          .option("checkpointLocation", paths.checkpoint + "-wide")
          .foreachBatch(WideUpsert(paths, driver, others)))
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="1 second")
