@@ -35,9 +35,11 @@ def append_bars(bars: DataFrame, path: str) -> None:
 
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    """S3/S5/S11 with the declared schema (no inference pass), checked."""
-    df = spark.read.schema(BAR_SCHEMA).parquet(path)
-    return require_columns(df, BAR_COLUMNS, "bar store").select(*BAR_COLUMNS)
+    """Check the stored files' own schema first (P9: an older writer
+    without calendar columns fails here, naming them, instead of reading NULLs),
+    then read with the declared schema."""
+    require_columns(spark.read.parquet(path), BAR_COLUMNS, "bar store")
+    return spark.read.schema(BAR_SCHEMA).parquet(path).select(*BAR_COLUMNS)
 
 
 def snapshot(bars: DataFrame, name: str = "bars") -> DataFrame:
