@@ -75,3 +75,20 @@ def test_close_time_matrix_sorted_and_distinct(spark):
     m = mx.close_time_matrix(fixture(spark), "tgt", ["f1", "f2"], rows=8, chunk_width=2 * H)
     ct = [r["close_time"] for r in m.collect()]
     assert ct == sorted(ct) and len(ct) == len(set(ct)) == 11
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+presence = st.lists(st.tuples(st.integers(0, 40), st.sampled_from(["tgt", "f1", "f2"]),
+                              st.integers(1, 500)),
+                    min_size=1, max_size=80, unique_by=lambda r: (r[0], r[1]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=presence, width=st.integers(1, 10))
+def test_one_pass_equals_joins_property(spark, rows, width):
+    bars = with_calendar(bar_rows(spark, [(m, h * H, float(v)) for h, m, v in rows]))
+    a = mx.feature_matrix(bars, "tgt", ["f1", "f2"], rows=7, chunk_width=width * H)
+    b = mx.feature_matrix_joins(bars, "tgt", ["f1", "f2"], rows=7, chunk_width=width * H)
+    assert sorted_rows(a) == sorted_rows(b)

@@ -84,3 +84,13 @@ def test_point_mean_equals_filter_then_window(spark):
     rows = [("a", 100, 1.0), ("a", 100, 3.0), ("a", 200, 5.0)]
     got = {(r["k"], r["t"]): r["avg"] for r in point_mean(make(spark, rows), "k", "t", "v", "avg").collect()}
     assert got == {("a", 100): 2.0, ("a", 200): 5.0}
+
+
+def test_row_frame_never_longer_than_n(spark):
+    # values 0..29 in one key: each frame is exactly the last min(7, t+1) values
+    got = trailing_mean_rows(make(spark, [("a", t, float(t)) for t in range(30)]), "k", "t", "v", 7, "avg",
+                             chunk_width=4).collect()
+    assert len(got) == 30
+    for r in got:
+        first = max(0, r["t"] - 6)
+        assert r["avg"] == sum(range(first, r["t"] + 1)) / (r["t"] - first + 1)

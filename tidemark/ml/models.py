@@ -12,7 +12,8 @@ import math
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler,
+                                VectorIndexer)
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
@@ -24,21 +25,31 @@ ROWS_PER_PARTITION = 100_000
 MODEL_NAMES = ["Linear_Regression", "Decision_Tree", "Random_Forest", "XGBoost"]
 
 
-def regressor(name: str, label: str = "label", seed: int = 42):
+def regressor(name: str, label: str = "label", seed: int = 42, features: str = "features"):
     if name == "Linear_Regression":
-        return LinearRegression(featuresCol="features", labelCol=label, solver="normal")
+        return LinearRegression(featuresCol=features, labelCol=label, solver="normal")
     if name == "Decision_Tree":
         # sklearn grows without a depth limit; MLlib allows at most 30
-        return DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=12, seed=seed)
+        return DecisionTreeRegressor(featuresCol=features, labelCol=label, maxDepth=12, seed=seed)
     if name == "Random_Forest":
-        return RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=100,
+        return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=100,
                                      maxDepth=10, seed=seed)
     if name == "XGBoost":
         # gradient-boosted trees stand in for XGBoost (same interface, not same numbers)
-        return GBTRegressor(featuresCol="features", labelCol=label, maxIter=20, maxDepth=5, seed=seed)
+        return GBTRegressor(featuresCol=features, labelCol=label, maxIter=20, maxDepth=5, seed=seed)
     raise ValueError(f"unsupported model {name!r}")
 
 
+def model_stages(name: str, label: str = "label", seed: int = 42) -> list:
+    """Estimators after the shared features. Tree models first index vector slots
+    with at most 4 distinct values as categorical (ML6) — the one-hot slots."""
+    if name == "Linear_Regression":
+        return [regressor(name, label, seed)]
+    return [VectorIndexer(inputCol="features", outputCol="features_idx", maxCategories=4,
+                          handleInvalid="keep"),
+            regressor(name, label, seed, features="features_idx")]
+
+
 def feature_stages(columns: list[str], target: str, key: str = "datetime"):
     cont = continuous_columns(columns, exclude=(target, key, "label"))
     scaled = [f"{c}__z" for c in cont]
@@ -61,7 +72,7 @@ def learned_one_hot_stages(cols: list[str], handle_invalid: str = "error"):
 
 
 def model_pipeline(name: str, columns: list[str], target: str) -> Pipeline:
-    return Pipeline(stages=feature_stages(columns, target) + [regressor(name)])
+    return Pipeline(stages=feature_stages(columns, target) + model_stages(name))
 
 
 def labelled(matrix: DataFrame, target: str) -> DataFrame:
@@ -91,8 +102,9 @@ class PreparedSplit:
         data.unpersist()
 
     def fit(self, name: str) -> tuple[PipelineModel, DataFrame]:
-        reg = regressor(name).fit(self.train)
-        return PipelineModel(stages=list(self.features.stages) + [reg]), reg.transform(self.test)
+        fitted = Pipeline(stages=model_stages(name)).fit(self.train)
+        model = PipelineModel(stages=list(self.features.stages) + list(fitted.stages))
+        return model, fitted.transform(self.test)
 
     def close(self) -> None:
         self.train.unpersist()

@@ -21,6 +21,11 @@ from tidemark.schemas import CALENDAR_COLUMNS, FEATURE_COLUMNS
 ROLLING = "rolling_avg_7d"
 
 
+def prefixed(market: str, column: str) -> str:
+    """Wide column name: lower-cased market + '_' + column."""
+    return f"{market.lower()}_{column}"
+
+
 def _pick(market: str, column: str):
     """Value of ``column`` on the (unique) row of ``market`` in the group."""
     return F.max(F.when(F.col("market") == F.lit(market), F.col(column)))
@@ -45,12 +50,12 @@ def feature_matrix(bars: DataFrame, target: str, features: list[str], rows: int
             *CALENDAR_COLUMNS]
     b = bars.filter(F.col("market").isin(markets)).select(*need)
     w = with_rolling_rows(b, rows, ROLLING, chunk_width)
-    aggs = [_pick(target, "close").alias(f"{target}_close")]
+    aggs = [_pick(target, "close").alias(f"{target.lower()}_close")]
     aggs += [_pick(target, c).alias(c) for c in CALENDAR_COLUMNS]
     for m in features:
         for c in FEATURE_COLUMNS:
             e = _pick(m, c)
-            aggs.append((e.cast("double") if c == "nbr_trades" else e).alias(f"{m}_{c}"))
+            aggs.append((e.cast("double") if c == "nbr_trades" else e).alias(prefixed(m, c)))
     flags = [_present(m).alias(f"_has_{i}") for i, m in enumerate(markets)]
     g = w.groupBy("datetime").agg(*aggs, *flags)
     keep = reduce(lambda a, b2: a & b2, [F.col(f"_has_{i}") for i in range(len(markets))])
@@ -64,10 +69,10 @@ def feature_matrix_joins(bars: DataFrame, target: str, features: list[str], rows
     merged = with_rolling_rows(bars.filter(F.col("market").isin(list(features))).select(*need),
                                rows, ROLLING, chunk_width)
     out = bars.filter(F.col("market") == target).select(
-        "datetime", F.col("close").alias(f"{target}_close"), *CALENDAR_COLUMNS)
+        "datetime", F.col("close").alias(f"{target.lower()}_close"), *CALENDAR_COLUMNS)
     for m in features:
         side = merged.filter(F.col("market") == m).select(
-            "datetime", *[(F.col(c).cast("double") if c == "nbr_trades" else F.col(c)).alias(f"{m}_{c}")
+            "datetime", *[(F.col(c).cast("double") if c == "nbr_trades" else F.col(c)).alias(prefixed(m, c))
                           for c in FEATURE_COLUMNS])
         out = out.join(side, on="datetime", how="inner")
     return out
@@ -80,8 +85,8 @@ def close_time_matrix(bars: DataFrame, target: str, features: list[str], rows: i
     markets = [target] + list(features)
     b = bars.filter(F.col("market").isin(markets)).select("market", "datetime", "close_time", "close")
     w = with_rolling_rows(b, rows, "average", chunk_width)
-    aggs = [_pick(m, "average").alias(f"{m}_average") for m in features]
-    aggs.append(_pick(target, "close").alias(f"{target}_close_price"))
+    aggs = [_pick(m, "average").alias(prefixed(m, "average")) for m in features]
+    aggs.append(_pick(target, "close").alias(prefixed(target, "close_price")))
     flags = [_present(m).alias(f"_has_{i}") for i, m in enumerate(markets)]
     g = w.groupBy("close_time").agg(*aggs, *flags)
     keep = reduce(lambda a, b2: a & b2, [F.col(f"_has_{i}") for i in range(len(markets))])
@@ -104,13 +109,13 @@ def wide_enrich(long: DataFrame, driver: str, others: list[str], key: str = "dat
             e = _pick(m, c)
             if m != driver:
                 e = F.coalesce(e, F.lit(0))
-            aggs.append((e.cast("int") if c == "nbr_trades" else e.cast("double")).alias(f"{m}_{c}"))
+            aggs.append((e.cast("int") if c == "nbr_trades" else e.cast("double")).alias(prefixed(m, c)))
     g = (long.filter(F.col("market").isin(markets)).groupBy(key)
          .agg(_present(driver).alias("_has_driver"), *aggs)
          .filter(F.col("_has_driver")).drop("_has_driver"))
     year, month, day, dow = calendar_columns(ms_to_ntz(time_col or key), monday)
     return g.select(F.col(key), day, month, year, dow,
-                    *[f"{m}_{c}" for m in markets for c in FEATURE_COLUMNS])
+                    *[prefixed(m, c) for m in markets for c in FEATURE_COLUMNS])
 
 
 def with_rolling_range(long: DataFrame, key: str = "datetime", length: int = 7 * 86_400_000,

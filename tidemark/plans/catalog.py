@@ -43,11 +43,27 @@ def register(name: str):
     return deco
 
 
+_STORES: dict[tuple, str] = {}
+
+
+def bar_store(spark: SparkSession, sf_dir: str, bucket="hour") -> DataFrame:
+    """The bar store of a dataset: derived from events and written once per
+    session to the shared folder (the ingest step); later plans scan it."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), bucket)
+    path = _STORES.get(key)
+    if path is None:
+        path = scratch_path(spark, f"bars-{bucket}")
+        store.write_bars(bars_from_events(table(spark, sf_dir, "events"), bucket), path)
+        _STORES[key] = path
+    return store.read_bars(spark, path)
+
+
 def bars(spark: SparkSession, sf_dir: str, bucket="hour", stored: bool = False) -> DataFrame:
-    """Bars derived from events; ``stored`` writes them once to the bar store
-    first (for plans that read bars in several branches)."""
-    b = bars_from_events(table(spark, sf_dir, "events"), bucket)
-    return store.snapshot(b) if stored else b
+    """Bars derived from events; ``stored`` reads them from the bar store
+    instead (for plans that read bars in several branches)."""
+    if stored:
+        return bar_store(spark, sf_dir, bucket)
+    return bars_from_events(table(spark, sf_dir, "events"), bucket)
 
 
 @register("bar_scan")
