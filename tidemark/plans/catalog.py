@@ -197,10 +197,21 @@ WIDE_DRIVER = FEATURE_MARKETS[0]
 WIDE_OTHERS = FEATURE_MARKETS[1:]
 
 
-def long_with_range_avg(spark, sf_dir) -> DataFrame:
+def long_with_range_avg(spark, sf_dir, lo_ms: int | None = None, hi_ms: int | None = None) -> DataFrame:
+    """Feature-market bars with their 7-day RANGE mean. When only rows in
+    [lo_ms, hi_ms] are wanted, the scan is cut to [lo_ms - 7 days, hi_ms]
+    BELOW the window (Catalyst cannot push a filter through a window on a
+    non-partition column); exact, as no frame reaches further back."""
     b = bars(spark, sf_dir, stored=True).filter(F.col("market").isin(FEATURE_MARKETS))
-    return mx.with_rolling_range(b.select("market", "datetime", "close", "open", "high", "low",
-                                          "nbr_trades", "volume"))
+    if lo_ms is not None:
+        b = b.filter(F.col("datetime") >= F.lit(lo_ms - WEEK_MS))
+    if hi_ms is not None:
+        b = b.filter(F.col("datetime") <= F.lit(hi_ms))
+    out = mx.with_rolling_range(b.select("market", "datetime", "close", "open", "high", "low",
+                                         "nbr_trades", "volume"))
+    if lo_ms is not None:
+        out = out.filter(F.col("datetime") >= F.lit(lo_ms))
+    return out
 
 
 @register("driver_left_enrich")
@@ -278,14 +289,17 @@ TICK = 0.01
 
 
 def data_as_of(spark, sf_dir):
-    """The "today" of the data: the last event's date (a one-value aggregate)."""
-    return table(spark, sf_dir, "events").agg(F.max("ts").alias("m")).first()["m"].date()
+    """The "today" of the data: the day of the last bar (a one-value aggregate
+    over the bar store, not a scan of every tick)."""
+    return bars(spark, sf_dir, stored=True).agg(F.max("date").alias("m")).first()["m"].date()
 
 
 @register("serving_window_avg")
 def q_serving_window_avg(spark, sf_dir):
-    wide = q_driver_left_enrich(spark, sf_dir)
-    return sv.window_averages(wide, FEATURE_MARKETS, data_as_of(spark, sf_dir), days=7)
+    as_of = data_as_of(spark, sf_dir)
+    lo, hi, _ = sv.serving_window(as_of, 7)
+    wide = mx.wide_enrich(long_with_range_avg(spark, sf_dir, lo, hi), WIDE_DRIVER, WIDE_OTHERS)
+    return sv.window_averages(wide, FEATURE_MARKETS, as_of, days=7)
 
 
 @register("buy_signal")
