@@ -7,6 +7,7 @@ later scans are column-pruned and partition-pruned on ``market``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +29,13 @@ def append_bars(bars: DataFrame, path: str) -> None:
     new = bars.dropDuplicates(["market", "datetime"])
     try:
         have = read_bars(bars.sparkSession, path).select("market", "datetime")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        have = None                                 # first write: nothing stored yet
+    if have is not None:
+        # the anti join reads the stored keys before the append commits
         new = new.join(have, on=["market", "datetime"], how="left_anti")
-    except Exception:  # noqa: BLE001 - first write: nothing stored yet
-        pass
     write_bars(new, path, mode="append")
 
 
