@@ -60,3 +60,18 @@ def test_append_sink_exactly_once(spark):
     sk.run_until_done(sk.append_market_query(spark, paths))
     sk.run_until_done(sk.append_market_query(spark, paths))   # restart: nothing new to add
     assert spark.read.parquet(paths.market).count() == msgs.count()
+
+
+def test_redelivered_messages_count_once(spark):
+    paths = sk.new_paths(spark, "test-redeliver")
+    msgs = kline_messages(bars_from_events(table(spark, SF, "events"))).cache()
+    part = F.abs(F.hash("value")) % 3
+    body = sk.WideUpsert(paths, DRIVER, OTHERS)
+    body(msgs.filter(part != 0), 0)
+    body(msgs.filter(part != 1), 1)          # two thirds of these were already delivered
+    avg, wide = batch_result(spark)
+    cols_a = ["symbol", "event_timestamp", "close", "rolling_avg_7d"]
+    assert rows(spark.read.parquet(paths.averages), cols_a) == rows(avg, cols_a)
+    cols_w = sorted(wide.columns)
+    assert rows(spark.read.parquet(paths.wide), cols_w) == rows(wide, cols_w)
+    msgs.unpersist()

@@ -83,6 +83,16 @@ def append_market_query(spark: SparkSession, paths: StreamPaths, trigger_once: b
     return w.start(paths.market)
 
 
+def latest_per_message(history: DataFrame) -> DataFrame:
+    """One row per (symbol, event_timestamp): a message delivered again in a later
+    batch (a reconnect) or corrected replaces the earlier copy. A partial
+    aggregate, so many copies of one message collapse before the shuffle."""
+    cols = [c for c in history.columns if c not in ("symbol", "event_timestamp", "batch_id")]
+    latest = F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r")
+    return history.groupBy("symbol", "event_timestamp").agg(latest).select(
+        "symbol", "event_timestamp", "_r.*")
+
+
 class WideUpsert:
     """The ``foreachBatch`` body: history append, trailing mean, wide merge."""
 
@@ -106,8 +116,8 @@ class WideUpsert:
         last_day = (span["hi"] + self.length) // MS_PER_DAY
         # history from one frame length before the first affected day
         need_from = first_day - (self.length + MS_PER_DAY - 1) // MS_PER_DAY
-        hist = (spark.read.parquet(self.paths.market)
-                .filter(F.col("event_day").between(need_from, last_day)).drop("batch_id"))
+        hist = latest_per_message(spark.read.parquet(self.paths.market)
+                                  .filter(F.col("event_day").between(need_from, last_day)))
         avg = trailing_mean_range(hist, "symbol", "event_timestamp", "close", self.length, "rolling_avg_7d")
         avg = avg.filter(F.col("event_day").between(first_day, last_day)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
