@@ -75,3 +75,26 @@ def test_redelivered_messages_count_once(spark):
     cols_w = sorted(wide.columns)
     assert rows(spark.read.parquet(paths.wide), cols_w) == rows(wide, cols_w)
     msgs.unpersist()
+
+
+def test_stream_scoring_equals_batch_scoring(spark):
+    from tidemark.ml import models as mm
+    from tidemark.plans import catalog as c
+    from tidemark.operators.serving import daily_requests
+    from tidemark.streaming.scoring import score_stream
+    from tidemark.session import scratch_path
+    sf = "/root/testdata/sf0.01"          # sf0.001 has no hour with all five markets
+    data = mm.labelled(c.split_matrix(spark, sf), c.TARGET_COL)
+    model = mm.model_pipeline("Linear_Regression", data.columns, c.TARGET_COL).fit(data.filter("is_train"))
+    req = daily_requests(c.q_driver_left_enrich(spark, sf), c.FEATURE_MARKETS)
+    root = scratch_path(spark, "test-score")
+    req.repartition(3).write.json(f"{root}/requests")
+    q = (score_stream(spark, model, f"{root}/requests", c.FEATURE_MARKETS, c.BUY_LIMIT)
+         .writeStream.format("parquet").option("checkpointLocation", f"{root}/ckpt")
+         .trigger(availableNow=True).start(f"{root}/scored"))
+    sk.run_until_done(q)
+    got = {r["request_day_ms"]: r["prediction"] for r in spark.read.parquet(f"{root}/scored").collect()}
+    want = {r["request_day_ms"]: r["prediction"]
+            for r in model.transform(req.withColumn("day_of_week", F.col("day_of_week") + 1)).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)

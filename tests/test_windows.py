@@ -2,8 +2,8 @@ import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tidemark.operators.windows import (point_mean, trailing_mean_range, trailing_mean_rows,
-                                        trailing_mean_rows_plain)
+from tidemark.operators.windows import (point_mean, trailing_mean_range, trailing_mean_range_plain,
+                                        trailing_mean_rows, trailing_mean_rows_plain)
 
 
 def brute_rows(rows, n):
@@ -47,6 +47,14 @@ def test_rows_frame_matches_single_window_form(spark):
     assert a == b
 
 
+def test_range_frame_matches_single_window_form(spark):
+    rows = [(m, t, float((t * 5 + i) % 17)) for i, m in enumerate("xyz") for t in range(0, 300, 7)]
+    df = make(spark, rows)
+    a = as_dict(trailing_mean_range(df, "k", "t", "v", 30, "avg", chunk_width=11), "avg")
+    b = as_dict(trailing_mean_range_plain(df, "k", "t", "v", 30, "avg"), "avg")
+    assert a == b
+
+
 def test_range_frame_includes_boundary(spark):
     rows = [("a", 0, 1.0), ("a", 7, 2.0), ("a", 8, 4.0), ("a", 15, 8.0), ("b", 15, 5.0)]
     got = as_dict(trailing_mean_range(make(spark, rows), "k", "t", "v", 7, "avg", chunk_width=3), "avg")

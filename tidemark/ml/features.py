@@ -95,6 +95,8 @@ class PopStandardScaler(Estimator, _ScalerParams, DefaultParamsReadable, Default
     def _fit(self, dataset: DataFrame) -> "PopStandardScalerModel":
         ins = self.getInputCols()
         stats = population_stats(dataset, ins)
+        if any(m is None for m, _ in stats.values()):
+            raise ValueError("PopStandardScaler: no non-null training values (empty training split?)")
         return PopStandardScalerModel(inputCols=ins, outputCols=self.getOutputCols(),
                                       means=[stats[c][0] for c in ins],
                                       stds=[stats[c][1] or 0.0 for c in ins])
