@@ -9,6 +9,7 @@ come back to the driver.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -133,16 +134,21 @@ def metrics(scored: DataFrame) -> dict[str, float]:
 
 
 def compare_models(spark: SparkSession, matrix: DataFrame, target: str,
-                   names: list[str] = MODEL_NAMES) -> DataFrame:
+                   names: list[str] = MODEL_NAMES, parallelism: int = 4) -> DataFrame:
     """Train every model on the same featurized split; one metrics row per model
-    and the arg-min of RMSE flagged. Only the metrics reach the driver."""
+    and the arg-min of RMSE flagged. Only the metrics reach the driver.
+
+    Fits are submitted from ``parallelism`` driver threads (as MLlib's tuning
+    estimators do), so the jobs of different models share the executors."""
     prep = PreparedSplit(matrix, target)
-    rows = []
+
+    def one(n: str):
+        _, scored = prep.fit(n)
+        m = metrics(scored)
+        return (n, float(m["rmse"]), float(m["r2"]))
     try:
-        for n in names:
-            _, scored = prep.fit(n)
-            m = metrics(scored)
-            rows.append((n, float(m["rmse"]), float(m["r2"])))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = list(pool.map(one, names))
     finally:
         prep.close()
     best = min(rows, key=lambda r: r[1])[0]
