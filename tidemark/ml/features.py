@@ -120,5 +120,14 @@ class PopStandardScalerModel(Model, _ScalerParams, DefaultParamsReadable, Defaul
         return dataset.withColumns(cols)
 
 
+def vector_frame(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """ML1: (label, features) with the LAST of ``columns`` as the label and the
+    others, in order, as a dense vector (VectorAssembler, no RDD map)."""
+    from pyspark.ml.feature import VectorAssembler
+    *feats, label = columns
+    v = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="error").transform(df)
+    return v.select(*keep, F.col(label).cast("double").alias("label"), "features")
+
+
 def calendar_columns_present(df: DataFrame) -> list[str]:
     return [c for c in CALENDAR_COLUMNS if c in df.columns]

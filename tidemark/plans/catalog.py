@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -389,6 +390,22 @@ def q_model_roundtrip_score(spark, sf_dir):
         "datetime", "label", "prediction")
 
 
+@register("close_time_linear")
+def q_close_time_linear(spark, sf_dir):
+    """The short MLlib path: 8-row averages of the four feature markets (EUR, USDC,
+    DAI, GBP order) → vector, target close as label → 80/20 split → linear model,
+    saved and loaded back → test predictions."""
+    m = q_close_time_matrix(spark, sf_dir)
+    order = [FEATURE_MARKETS[0], FEATURE_MARKETS[3], FEATURE_MARKETS[1], FEATURE_MARKETS[2]]
+    cols = [f"{mk}_average" for mk in order] + [f"{TARGET_MARKET}_close_price"]
+    data = mf.with_split(mf.vector_frame(m, cols, keep=("close_time",)), "close_time", 80)
+    model = LinearRegression(featuresCol="features", labelCol="label").fit(data.filter("is_train"))
+    path = scratch_path(spark, "model-close-time")
+    model.write().overwrite().save(path)
+    loaded = LinearRegressionModel.load(path)
+    return loaded.transform(data.filter(~F.col("is_train"))).select("close_time", "label", "prediction")
+
+
 @register("score_requests")
 def q_score_requests(spark, sf_dir):
     data = mm.labelled(split_matrix(spark, sf_dir), TARGET_COL)
