@@ -37,6 +37,29 @@ def build_session(app: str = "tidemark", cpus: int | str = "*",
     return spark
 
 
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
+    """Settings for a large cluster run (pass as ``extra`` or in spark-defaults).
+
+    The initial shuffle partition count is sized for the biggest shuffle (a few
+    ×100 MB per task over the whole cluster) and AQE coalesces the small ones and
+    splits skewed partitions at runtime; file splits are 256 MB.
+    """
+    slots = executors * cores_per_executor
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.shuffle.partitions": str(slots * 3),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder named by ``spark.checkpoint.dir``.
 
