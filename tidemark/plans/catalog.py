@@ -50,7 +50,7 @@ _STORES: dict[tuple, str] = {}
 def bar_store(spark: SparkSession, sf_dir: str, bucket="hour") -> DataFrame:
     """The bar store of a dataset: derived from events and written once per
     session to the shared folder (the ingest step); later plans scan it."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), bucket)
+    key = (spark.conf.get("spark.app.id", "app"), sf_dir.rstrip("/"), bucket)
     path = _STORES.get(key)
     if path is None:
         path = scratch_path(spark, f"bars-{bucket}")

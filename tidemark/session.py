@@ -67,13 +67,14 @@ def shared_dir(spark: SparkSession) -> str:
     configures. Only when it is unset (local tests) do we create one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    try:  # classic sessions: let DataFrame.checkpoint() use the same folder
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001 - no SparkContext behind a remote session
+        pass
     return root.rstrip("/")
 
 
