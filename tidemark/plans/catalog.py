@@ -12,14 +12,14 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.pricing import buy_signal, limit_price
 from tidemark.functions.timecols import (calendar_columns, day_of_week, epoch_ms, epoch_us,
                                         floor_div, ms_to_ntz)
+from tidemark.ml import features as mf
+from tidemark.ml import models as mm
 from tidemark.operators import chunks as ch
 from tidemark.operators import cleaning as cl
 from tidemark.operators import explore as ex
-from tidemark.functions.pricing import buy_signal, limit_price
-from tidemark.ml import features as mf
-from tidemark.ml import models as mm
 from tidemark.operators import matrix as mx
 from tidemark.operators import serving as sv
 from tidemark.operators.windows import point_mean, trailing_mean_range, trailing_mean_rows
@@ -27,9 +27,9 @@ from tidemark.schemas import BAR_COLUMNS, FEATURE_COLUMNS, require_columns
 from tidemark.session import scratch_path
 from tidemark.sources import replies as rp
 from tidemark.sources import store
-from tidemark.streaming import klines as sk
 from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
 from tidemark.sources.tables import table
+from tidemark.streaming import klines as sk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,7 +69,8 @@ def bars(spark: SparkSession, sf_dir: str, bucket="hour", stored: bool = False)
 
 @register("bar_scan")
 def q_bar_scan(spark, sf_dir):
-    return bars(spark, sf_dir).select(*BAR_COLUMNS)
+    """A scan of the stored bar table with its declared schema."""
+    return bars(spark, sf_dir, stored=True).select(*BAR_COLUMNS)
 
 
 @register("market_feature_matrix")
