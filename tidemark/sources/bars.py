@@ -74,17 +74,3 @@ def bars_from_ticks(ticks: DataFrame, bucket="hour", zone: str = "UTC") -> DataF
 
 def bars_from_events(events: DataFrame, bucket="hour", zone: str = "UTC") -> DataFrame:
     return bars_from_ticks(ticks_from_events(events), bucket, zone)
-
-
-def bars_from_lineitem(lineitem: DataFrame, bucket="day") -> DataFrame:
-    """A larger bar source for scale runs: market = returnflag||linestatus,
-    price = extendedprice, qty = quantity, time = shipdate. Ship days hold many
-    equal timestamps, so only order-free columns (high/low/volume/count) are
-    meaningful there; open/close pick by an arbitrary tie."""
-    ticks = lineitem.select(
-        F.concat("l_returnflag", "l_linestatus").alias("market"),
-        epoch_us("l_shipdate").alias("t_us"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").cast("int").alias("qty"),
-    )
-    return bars_from_ticks(ticks, bucket)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.schemas import BAR_COLUMNS, BAR_SCHEMA, require_columns
 from tidemark.session import scratch_path
@@ -53,7 +52,3 @@ def snapshot(bars: DataFrame, name: str = "bars") -> DataFrame:
     path = scratch_path(spark, name)
     write_bars(bars, path)
     return read_bars(spark, path)
-
-
-def market_filter(df: DataFrame, markets: list[str]) -> DataFrame:
-    return df.filter(F.col("market").isin(markets))
