@@ -39,3 +39,8 @@ def test_gap_zero_tiles_span(spark, days, interval):
     for a, b in zip(p, p[1:]):
         assert a[3] == b[2]                      # contiguous, no overlap, no hole
     assert all(w[3] > w[2] for w in p)
+
+
+def test_span_shorter_than_a_day_is_one_window(spark):
+    s = ms(dt.datetime(2020, 1, 1))
+    assert plan(spark, [("X", s, s + 3_600_000)], "1m", 0) == [("X", 0, s, s + 3_600_000)]

@@ -68,3 +68,11 @@ def test_price_snapshot_roundtrip(spark):
     r = rp.decode_price_snapshots(rp.price_snapshot_records(ev)).collect()[0]
     assert (r["currency"], r["snapshot_date"], r["snapshot_time"], r["price"]) == (
         "BTCEUR", "2023-08-02", "16:07:01", 26931.6484111)
+
+
+def test_short_inner_array_does_not_fail_the_job(spark):
+    reply = '[[1691110800000,"1.0"],' + GOLDEN[1:]
+    good, bad = rp.decode_kline_arrays(spark.createDataFrame([("A", 0, reply)], "symbol string, window_start long, reply string"))
+    rows = sorted(good.collect(), key=lambda r: r["datetime"])
+    assert bad.count() == 0 and len(rows) == 2
+    assert rows[0]["open"] == 1.0 and rows[0]["close"] is None

@@ -27,6 +27,8 @@ def chunk_plan(spans: DataFrame, interval: str = "1h", gap_ms: int = 0) -> DataF
     days = floor_div(total, MS_PER_DAY)
     period = F.floor(days.cast("double") * F.lit(float(MS_PER_DAY))
                      * F.lit(float(rec_ms * BARS_PER_CALL)) / total.cast("double")).cast("bigint")
+    # a span under one whole day has no day count to divide: one window covers it
+    period = F.when(period > 0, period).otherwise(total)
     p = spans.withColumn("_period", period).withColumn("_step", F.col("_period") + F.lit(gap_ms))
     n = F.ceil((F.col("end_ms") - F.col("start_ms")) / F.col("_step")).cast("bigint")
     p = p.filter(F.col("_period") > 0).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))

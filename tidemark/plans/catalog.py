@@ -361,7 +361,8 @@ def q_r2_per_market(spark, sf_dir):
     g = r.groupBy("market").agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("ss_res"),
                                 F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
     ss_tot = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    return g.select("market", "n", F.round(F.lit(1.0) - F.col("ss_res") / ss_tot, 6).alias("r2"))
+    # a constant series has no variance: R² is undefined (NULL), not an error
+    return g.select("market", "n", F.round(F.lit(1.0) - F.try_divide(F.col("ss_res"), ss_tot), 6).alias("r2"))
 
 
 def _train(name):

@@ -223,7 +223,7 @@ WITH spans AS (
   SELECT event_type AS symbol, (min(epoch_us(ts)) // 86400000000) * 86400000 AS start_ms,
          (max(epoch_us(ts)) // 86400000000 + 1) * 86400000 AS end_ms
   FROM events GROUP BY 1),
-p AS (SELECT *, {period} AS period FROM spans),
+p AS (SELECT *, CASE WHEN {period} > 0 THEN {period} ELSE end_ms - start_ms END AS period FROM spans),
 c AS (SELECT symbol, start_ms, end_ms, period,
              unnest(range(0, CAST(ceil((end_ms - start_ms) / period) AS BIGINT))) AS chunk
       FROM p WHERE period > 0)

@@ -39,7 +39,7 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("market"),
         epoch_us("ts").alias("t_us"),
         F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").cast("int").alias("qty"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("qty"),
     )
 
 

@@ -71,7 +71,9 @@ def decode_kline_arrays(replies: DataFrame, zone: str = "UTC") -> tuple[DataFram
     rows = parsed.filter(F.col("_rows").isNotNull()).select(
         F.col("symbol").alias("market"), F.explode("_rows").alias("a"))
     typed = {"datetime": "bigint", "close_time": "bigint", "nbr_trades": "bigint"}
-    cols = [F.element_at("a", i + 1).try_cast(typed.get(name, "double")).alias(name)
+    # try_element_at: a short inner array gives NULL fields (dropped later by
+    # the required-value rule) instead of failing the job under ANSI mode
+    cols = [F.try_element_at("a", F.lit(i + 1)).try_cast(typed.get(name, "double")).alias(name)
             for i, name in enumerate(KLINE_FIELDS) if name != "unused_field"]
     b = rows.select("market", *cols)
     date = ms_to_ntz("datetime", zone)
