@@ -76,3 +76,10 @@ def test_short_inner_array_does_not_fail_the_job(spark):
     rows = sorted(good.collect(), key=lambda r: r["datetime"])
     assert bad.count() == 0 and len(rows) == 2
     assert rows[0]["open"] == 1.0 and rows[0]["close"] is None
+
+
+def test_malformed_snapshot_time_is_null(spark):
+    recs = spark.createDataFrame(
+        [(1, '{"Currency":"X","date":"2023-13-45","time":"16:07:01","price":"1.5"}')], "event_id long, record string")
+    r = rp.decode_price_snapshots(recs).collect()[0]
+    assert r["snapshot_ts"] is None and r["price"] == 1.5

@@ -151,11 +151,17 @@ def price_snapshot_records(events: DataFrame) -> DataFrame:
 
 def decode_price_snapshots(records: DataFrame) -> DataFrame:
     r = records.select("event_id", F.from_json("record", PRICE_SNAPSHOT_SCHEMA).alias("r"))
+    d, t = F.col("r.date"), F.col("r.time")
+
+    def part(c, start, n, typ="int"):
+        return F.substring(c, start, n).try_cast(typ)
+    # zone-free and tolerant: a malformed date or time gives NULL, not a failed job
+    ts = F.try_make_timestamp_ntz(part(d, 1, 4), part(d, 6, 2), part(d, 9, 2),
+                                  part(t, 1, 2), part(t, 4, 2), part(t, 7, 2, "decimal(8,6)"))
     return r.select(
-        "event_id", F.col("r.Currency").alias("currency"), F.col("r.date").alias("snapshot_date"),
-        F.col("r.time").alias("snapshot_time"), F.col("r.price").try_cast("double").alias("price"),
-        F.to_timestamp_ntz(F.concat_ws(" ", "r.date", "r.time"), F.lit("yyyy-MM-dd HH:mm:ss"))
-        .alias("snapshot_ts"))
+        "event_id", F.col("r.Currency").alias("currency"), d.alias("snapshot_date"),
+        t.alias("snapshot_time"), F.col("r.price").try_cast("double").alias("price"),
+        ts.alias("snapshot_ts"))
 
 
 # --- account balances (S16, N4) ----------------------------------------------
