@@ -34,7 +34,7 @@ def test_learned_one_hot_drops_smallest_and_rejects_unseen(spark):
         model.transform(spark.createDataFrame([(3,)], "day int")).collect()
 
 
-def test_model_roundtrip_and_selection(spark, tmp_path):
+def test_model_roundtrip_and_selection(spark):
     from tidemark.ml import models as mm
     rows = [(i, float(i % 28 + 1), 1, 2024, i % 7 + 1, 10.0 + i, 5.0 + (i * 7) % 11, 100.0 + 2 * i)
             for i in range(200)]
@@ -43,7 +43,8 @@ def test_model_roundtrip_and_selection(spark, tmp_path):
     m = with_split(m.withColumn("day", F.col("day").cast("int")), "datetime")
     model, scored = mm.fit_and_score(m, "Linear_Regression", "t_close")
     assert mm.metrics(scored)["rmse"] < 1e-4          # t = 80 + 2*a_close exactly (labels ~1e2)
-    path = str(tmp_path / "lr")
+    from tidemark.session import scratch_path
+    path = scratch_path(spark, "test-model")
     mm.save_model(model, path)
     again = mm.load_model(path).transform(mm.labelled(m, "t_close").filter(~F.col("is_train")))
     assert sorted(r["prediction"] for r in again.collect()) == pytest.approx(
