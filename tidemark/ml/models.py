@@ -134,16 +134,20 @@ def metrics(scored: DataFrame) -> dict[str, float]:
 
 
 def compare_models(spark: SparkSession, matrix: DataFrame, target: str,
-                   names: list[str] = MODEL_NAMES, parallelism: int = 4) -> DataFrame:
+                   names: list[str] = MODEL_NAMES, parallelism: int = 4,
+                   fitted: dict | None = None) -> DataFrame:
     """Train every model on the same featurized split; one metrics row per model
     and the arg-min of RMSE flagged. Only the metrics reach the driver.
 
     Fits are submitted from ``parallelism`` driver threads (as MLlib's tuning
-    estimators do), so the jobs of different models share the executors."""
+    estimators do), so the jobs of different models share the executors. Pass a
+    dict as ``fitted`` to receive the fitted pipeline of every model by name."""
     prep = PreparedSplit(matrix, target)
 
     def one(n: str):
-        _, scored = prep.fit(n)
+        model, scored = prep.fit(n)
+        if fitted is not None:
+            fitted[n] = model
         m = metrics(scored)
         return (n, float(m["rmse"]), float(m["r2"]))
     try:
