@@ -83,3 +83,19 @@ def test_malformed_snapshot_time_is_null(spark):
         [(1, '{"Currency":"X","date":"2023-13-45","time":"16:07:01","price":"1.5"}')], "event_id long, record string")
     r = rp.decode_price_snapshots(recs).collect()[0]
     assert r["snapshot_ts"] is None and r["price"] == 1.5
+
+
+def test_trades_reply_decode(spark):
+    # two recorded trades (fixed sample values)
+    reply = ('[{"symbol": "BTCUSDT", "id": 339393, "orderId": 1967061, "orderListId": -1, "price": "27496.98000000", '
+             '"qty": "0.01000000", "quoteQty": "274.96980000", "commission": "0.00000000", "commissionAsset": "BTC", '
+             '"time": 1696863456261, "isBuyer": true, "isMaker": false, "isBestMatch": true},'
+             '{"symbol": "BTCUSDT", "id": 340144, "orderId": 1969225, "orderListId": -1, "price": "28206.43000000", '
+             '"qty": "0.00100000", "quoteQty": "28.20643000", "commission": "0.00000000", "commissionAsset": "BTC", '
+             '"time": 1696866465324, "isBuyer": true, "isMaker": false, "isBestMatch": true}]')
+    rows = sorted(rp.decode_trades(spark.createDataFrame([(reply,)], "reply string")).collect(),
+                  key=lambda r: r["trade_id"])
+    assert [(r["trade_id"], r["price"], r["qty"], r["quote_qty"]) for r in rows] == [
+        (339393, 27496.98, 0.01, 274.9698), (340144, 28206.43, 0.001, 28.20643)]
+    assert rows[0]["is_buyer"] and not rows[0]["is_maker"] and rows[0]["commission_asset"] == "BTC"
+    assert str(rows[1]["trade_time"]) == "2023-10-09 15:47:45.324000"

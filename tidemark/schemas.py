@@ -75,6 +75,21 @@ BALANCE_REPLY_SCHEMA = T.StructType([
     ]))),
 ])
 
+TRADES_REPLY_SCHEMA = T.ArrayType(T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("id", T.LongType()),
+    T.StructField("orderId", T.LongType()),
+    T.StructField("price", T.StringType()),
+    T.StructField("qty", T.StringType()),
+    T.StructField("quoteQty", T.StringType()),
+    T.StructField("commission", T.StringType()),
+    T.StructField("commissionAsset", T.StringType()),
+    T.StructField("time", T.LongType()),
+    T.StructField("isBuyer", T.BooleanType()),
+    T.StructField("isMaker", T.BooleanType()),
+    T.StructField("isBestMatch", T.BooleanType()),
+]))
+
 MARKET_LIST_SCHEMA = T.StructType([
     T.StructField("serverTime", T.LongType()),
     T.StructField("symbols", T.ArrayType(T.StructType([

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.timecols import MS_PER_DAY, calendar_columns, epoch_us, floor_div, ms_to_ntz
 from tidemark.schemas import (BALANCE_REPLY_SCHEMA, BAR_COLUMNS, KLINE_FIELDS, KLINE_MESSAGE_SCHEMA,
                               MARKET_LIST_SCHEMA, MARKET_TABLE_SCHEMA, PRICE_DECIMAL,
-                              PRICE_SNAPSHOT_SCHEMA)
+                              PRICE_SNAPSHOT_SCHEMA, TRADES_REPLY_SCHEMA)
 
 
 def dec_text(c) -> Column:
@@ -184,3 +184,18 @@ def balances_for_assets(replies: DataFrame, assets: list[str]) -> DataFrame:
             .select("account", F.col("b.asset").alias("asset"),
                     F.col("b.free").try_cast("double").alias("free"),
                     F.col("b.locked").try_cast("double").alias("locked")))
+
+
+def decode_trades(replies: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Account trade list replies (JSON arrays of trade objects) → one typed row
+    per trade; decimal strings become doubles, ``time`` also a timestamp."""
+    t = replies.select(F.explode(F.from_json("reply", TRADES_REPLY_SCHEMA)).alias("t"))
+    return t.select(
+        F.col("t.symbol").alias("symbol"), F.col("t.id").alias("trade_id"),
+        F.col("t.orderId").alias("order_id"),
+        *[F.col(f"t.{c}").try_cast("double").alias(n) for c, n in
+          [("price", "price"), ("qty", "qty"), ("quoteQty", "quote_qty"), ("commission", "commission")]],
+        F.col("t.commissionAsset").alias("commission_asset"), F.col("t.time").alias("time"),
+        ms_to_ntz(F.col("t.time"), zone).alias("trade_time"),
+        F.col("t.isBuyer").alias("is_buyer"), F.col("t.isMaker").alias("is_maker"),
+        F.col("t.isBestMatch").alias("is_best_match"))
