@@ -428,7 +428,7 @@ def q_score_requests(spark, sf_dir):
 
 def _landed(spark, sf_dir, name):
     paths = sk.new_paths(spark, name)
-    sk.land_messages(rp.kline_messages(bars(spark, sf_dir)), paths.landing, files=4)
+    sk.land_messages(rp.kline_messages(bars(spark, sf_dir, stored=True)), paths.landing, files=4)
     return paths
 
 
