@@ -91,8 +91,8 @@ class PreparedSplit:
         n = data.count()
         # iterative fitters run one job per pass; size the partitions to the rows
         # (small matrices in few tasks, large ones stay spread out)
-        parts = max(1, min(data.rdd.getNumPartitions(), math.ceil(n / ROWS_PER_PARTITION)))
-        data = data.coalesce(parts)
+        # (coalesce never raises the partition count)
+        data = data.coalesce(max(1, math.ceil(n / ROWS_PER_PARTITION)))
         train = data.filter("is_train")
         self.features = Pipeline(stages=feature_stages(matrix.columns, target, key)).fit(train)
         keep = [key, "label", "features"]
