@@ -102,3 +102,19 @@ def test_row_frame_never_longer_than_n(spark):
     for r in got:
         first = max(0, r["t"] - 6)
         assert r["avg"] == sum(range(first, r["t"] + 1)) / (r["t"] - first + 1)
+
+
+def test_auto_chunk_width_follows_the_densest_key(spark):
+    from tidemark.operators.windows import chunk_width_for
+    # key a: 200 rows over 100 units (density 2); key b: 10 rows over 100 units
+    rows = [("a", t // 2, float(t)) for t in range(200)] + [("b", t * 10, 1.0) for t in range(10)]
+    rows = list({(k, t): (k, t, v) for k, t, v in rows}.values())   # unique (key, order)
+    df = make(spark, rows)
+    width = chunk_width_for(df, "k", "t", rows_per_chunk=20)
+    assert 5 <= width <= 20
+    a = as_dict(trailing_mean_rows(df, "k", "t", "v", 7, "avg", chunk_width="auto"), "avg")
+    b = as_dict(trailing_mean_rows_plain(df, "k", "t", "v", 7, "avg"), "avg")
+    assert a == b
+    c = as_dict(trailing_mean_range(df, "k", "t", "v", 15, "avg", chunk_width="auto"), "avg")
+    d = as_dict(trailing_mean_range_plain(df, "k", "t", "v", 15, "avg"), "avg")
+    assert c == d

@@ -43,17 +43,36 @@ def exact_mean(value: str, w) -> Column:
     return s / F.count(F.col(value)).over(w)
 
 
+def chunk_width_for(df: DataFrame, key: str, order: str, rows_per_chunk: int = 2_000_000,
+                    minimum: int = 1) -> int:
+    """Chunk width (in ``order`` units) giving the densest key about
+    ``rows_per_chunk`` rows per chunk: one partial aggregate, one row back."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
+                                  (F.max(order) - F.min(order) + F.lit(1)).alias("span"))
+    r = per_key.agg(F.max(F.col("n") / F.col("span")).alias("density")).first()
+    density = r["density"] or 0.0
+    if density <= 0:
+        return max(minimum, DEFAULT_CHUNK_MS)
+    return max(minimum, int(rows_per_chunk / density))
+
+
+def _resolve(df: DataFrame, key: str, order: str, width) -> int:
+    return chunk_width_for(df, key, order) if width == "auto" else int(width)
+
+
 def _with_chunk(df: DataFrame, order: str, width: int) -> DataFrame:
     return df.withColumn(_CHUNK, floor_div(order, width))
 
 
 def trailing_mean_rows(df: DataFrame, key: str, order: str, value: str, rows: int,
-                       out: str, chunk_width: int = DEFAULT_CHUNK_MS) -> DataFrame:
+                       out: str, chunk_width: int | str = DEFAULT_CHUNK_MS) -> DataFrame:
     """``avg(value) OVER (PARTITION BY key ORDER BY order ROWS rows-1 PRECEDING)``.
 
     Frames at the start of a key are shorter (as in SQL). ``order`` must be
     unique within ``key`` (the bar contract) for the result to be defined.
+    ``chunk_width="auto"`` sizes chunks from the densest key (see chunk_width_for).
     """
+    chunk_width = _resolve(df, key, order, chunk_width)
     k = rows - 1
     base = _with_chunk(df, order, chunk_width).withColumn(_OWN, F.lit(True))
     if k <= 0:
@@ -77,11 +96,15 @@ def trailing_mean_rows(df: DataFrame, key: str, order: str, value: str, rows: in
 
 
 def trailing_mean_range(df: DataFrame, key: str, order: str, value: str, length: int,
-                        out: str, chunk_width: int | None = None) -> DataFrame:
+                        out: str, chunk_width: int | str | None = None) -> DataFrame:
     """``avg(value) OVER (PARTITION BY key ORDER BY order RANGE length PRECEDING)``,
     ``order`` numeric (epoch ms); peers with equal ``order`` are included."""
     if chunk_width is None:
         chunk_width = max(1, RANGE_CHUNK_FACTOR * length)
+    elif chunk_width == "auto":
+        # dense keys get narrower chunks, but never narrower than the frame:
+        # below that every row would be copied into several chunks
+        chunk_width = max(length, _resolve(df, key, order, "auto"), 1)
     base = _with_chunk(df, order, chunk_width).withColumn(_OWN, F.lit(True))
     cols = [key, order, value]
     first = F.col(_CHUNK) + 1
