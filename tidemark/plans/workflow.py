@@ -65,3 +65,27 @@ def run_daily(spark: SparkSession, sf_dir: str, limit: float = 50.0, markup: flo
     return DailyResult(matrix_path, model_path, rows, best,
                        out["prediction"] if out else None, out["buy"] if out else None,
                        price["p"] if price else None)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m tidemark.plans.workflow SF_DIR [--cpus N] [--limit X]``"""
+    import argparse
+    import json
+
+    from tidemark.session import build_session
+
+    ap = argparse.ArgumentParser(description="run the daily market flow on one dataset")
+    ap.add_argument("sf_dir")
+    ap.add_argument("--cpus", default="*")
+    ap.add_argument("--limit", type=float, default=50.0)
+    a = ap.parse_args(argv)
+    spark = build_session("tidemark-daily", a.cpus)
+    try:
+        r = run_daily(spark, a.sf_dir, limit=a.limit)
+        print(json.dumps(r.__dict__, default=str))
+    finally:
+        spark.stop()
+
+
+if __name__ == "__main__":
+    main()
