@@ -237,13 +237,13 @@ FAILING_SYMBOL = "error"
 
 @register("kline_array_decode")
 def q_kline_array_decode(spark, sf_dir):
-    good, _ = rp.decode_kline_arrays(rp.kline_array_replies(bars(spark, sf_dir)))
+    good, _ = rp.decode_kline_arrays(rp.kline_array_replies(bars(spark, sf_dir, stored=True)))
     return good
 
 
 @register("tolerant_decode")
 def q_tolerant_decode(spark, sf_dir):
-    replies = rp.error_reply_for(rp.kline_array_replies(bars(spark, sf_dir)), FAILING_SYMBOL)
+    replies = rp.error_reply_for(rp.kline_array_replies(bars(spark, sf_dir, stored=True)), FAILING_SYMBOL)
     good, _ = rp.decode_kline_arrays(replies)
     return good
 
@@ -260,7 +260,7 @@ def q_symbol_prefix_filter(spark, sf_dir):
 
 @register("kline_message_decode")
 def q_kline_message_decode(spark, sf_dir):
-    return rp.decode_kline_messages(rp.kline_messages(bars(spark, sf_dir)))
+    return rp.decode_kline_messages(rp.kline_messages(bars(spark, sf_dir, stored=True)))
 
 
 @register("json_field")
