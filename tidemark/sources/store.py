@@ -11,7 +11,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import BAR_COLUMNS, BAR_SCHEMA, require_columns
-from tidemark.session import scratch_path
 
 
 def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -44,11 +43,3 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
     then read with the declared schema."""
     require_columns(spark.read.parquet(path), BAR_COLUMNS, "bar store")
     return spark.read.schema(BAR_SCHEMA).parquet(path).select(*BAR_COLUMNS)
-
-
-def snapshot(bars: DataFrame, name: str = "bars") -> DataFrame:
-    """Materialise ``bars`` once in the shared folder and read it back."""
-    spark = bars.sparkSession
-    path = scratch_path(spark, name)
-    write_bars(bars, path)
-    return read_bars(spark, path)
