@@ -98,3 +98,13 @@ def test_stream_scoring_equals_batch_scoring(spark):
             for r in model.transform(req.withColumn("day_of_week", F.col("day_of_week") + 1)).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_timed_run_stops_and_keeps_progress(spark):
+    # K1/K5: a processing-time trigger stopped after a fixed duration
+    paths = sk.new_paths(spark, "test-timed")
+    sk.land_messages(kline_messages(bars_from_events(table(spark, SF, "events"))), paths.landing, files=2)
+    q = sk.append_market_query(spark, paths, trigger_once=False)
+    sk.run_until_done(q, timeout_s=20)
+    assert not q.isActive
+    assert spark.read.parquet(paths.market).count() > 0
