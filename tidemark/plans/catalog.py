@@ -383,10 +383,20 @@ def q_best_model(spark, sf_dir):
     return mm.select_best(mm.compare_models(spark, split_matrix(spark, sf_dir), TARGET_COL))
 
 
+def _fitted_linear(spark, sf_dir):
+    """Linear pipeline fitted on the persisted, featurized train split."""
+    prep = mm.PreparedSplit(split_matrix(spark, sf_dir), TARGET_COL)
+    try:
+        model, _ = prep.fit("Linear_Regression")
+    finally:
+        prep.close()
+    return model
+
+
 @register("model_roundtrip_score")
 def q_model_roundtrip_score(spark, sf_dir):
     data = mm.labelled(split_matrix(spark, sf_dir), TARGET_COL)
-    model = mm.model_pipeline("Linear_Regression", data.columns, TARGET_COL).fit(data.filter("is_train"))
+    model = _fitted_linear(spark, sf_dir)
     path = scratch_path(spark, "model-linear")
     mm.save_model(model, path)
     return mm.load_model(path).transform(data.filter(~F.col("is_train"))).select(
@@ -411,8 +421,7 @@ def q_close_time_linear(spark, sf_dir):
 
 @register("score_requests")
 def q_score_requests(spark, sf_dir):
-    data = mm.labelled(split_matrix(spark, sf_dir), TARGET_COL)
-    model = mm.model_pipeline("Linear_Regression", data.columns, TARGET_COL).fit(data.filter("is_train"))
+    model = _fitted_linear(spark, sf_dir)
     req = sv.daily_requests(q_driver_left_enrich(spark, sf_dir), FEATURE_MARKETS)
     need = ["day", "month", "year", "day_of_week"] + [
         f"{m}_{c}" for m in FEATURE_MARKETS for c in FEATURE_COLUMNS]
