@@ -13,12 +13,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timecols import MS_PER_DAY, calendar_columns, epoch_us, floor_div, ms_to_ntz
+from tidemark.functions.timecols import MS_PER_DAY, MS_PER_HOUR, calendar_columns, epoch_us, floor_div, ms_to_ntz
 from tidemark.schemas import (BALANCE_REPLY_SCHEMA, BAR_COLUMNS, KLINE_FIELDS, KLINE_MESSAGE_SCHEMA,
                               MARKET_LIST_SCHEMA, MARKET_TABLE_SCHEMA, PRICE_DECIMAL,
                               PRICE_SNAPSHOT_SCHEMA, TRADES_REPLY_SCHEMA)
 
 
+# Fixed value: bars per reply page of the exchange's history endpoint.
+BARS_PER_REPLY = 1000
+
+
 def dec_text(c) -> Column:
     """Decimal string with 8 places, as the exchange formats prices."""
     return (F.col(c) if isinstance(c, str) else c).cast(PRICE_DECIMAL).cast("string")
@@ -34,9 +38,13 @@ def _json_num(c: Column) -> Column:
 
 # --- kline arrays (S1, P1-P3, F9) --------------------------------------------
 
-def kline_array_replies(bars: DataFrame, per_ms: int = MS_PER_DAY) -> DataFrame:
+def kline_array_replies(bars: DataFrame, bar_ms: int = MS_PER_HOUR,
+                        bars_per_reply: int = BARS_PER_REPLY) -> DataFrame:
     """One reply per (market, request window): a JSON array of 12-element bar
-    arrays mixing numbers and decimal strings. Columns: symbol, window_start, reply."""
+    arrays mixing numbers and decimal strings. A window spans ``bars_per_reply``
+    bar widths, so a reply (one ``collect_list`` group) never holds more than
+    that many bars, whatever the interval. Columns: symbol, window_start, reply."""
+    per_ms = bar_ms * bars_per_reply
     elem = F.concat(
         F.lit("["), _json_num(F.col("datetime")), F.lit(","),
         _json_str(dec_text("open")), F.lit(","), _json_str(dec_text("high")), F.lit(","),
