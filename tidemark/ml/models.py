@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.ml.features import PopStandardScaler, continuous_columns, one_hot_names, one_hot_sql
 
 ROWS_PER_PARTITION = 100_000
+# The candidate model names as the selection step reports them.
 MODEL_NAMES = ["Linear_Regression", "Decision_Tree", "Random_Forest", "XGBoost"]
 
 
