@@ -108,3 +108,15 @@ def test_timed_run_stops_and_keeps_progress(spark):
     sk.run_until_done(q, timeout_s=20)
     assert not q.isActive
     assert spark.read.parquet(paths.market).count() > 0
+
+
+def test_append_sink_drops_redelivered_messages_within_watermark(spark):
+    paths = sk.new_paths(spark, "test-dedup")
+    msgs = kline_messages(bars_from_events(table(spark, SF, "events")))
+    sk.land_messages(msgs, paths.landing, files=1)
+    sk.land_messages(msgs, paths.landing, files=1, mode="append")   # every message delivered twice
+    q = sk.append_market_query(spark, paths, files_per_trigger=1, dedup_within="60 days")
+    sk.run_until_done(q)
+    got = spark.read.parquet(paths.market)
+    assert got.count() == msgs.count()
+    assert got.select("symbol", "event_timestamp").distinct().count() == msgs.count()

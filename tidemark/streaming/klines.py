@@ -57,10 +57,10 @@ def new_paths(spark: SparkSession, name: str = "klines") -> StreamPaths:
     return StreamPaths(scratch_path(spark, name))
 
 
-def land_messages(messages: DataFrame, path: str, files: int = 4) -> None:
+def land_messages(messages: DataFrame, path: str, files: int = 4, mode: str = "overwrite") -> None:
     """Write message text as files, rows spread round-robin (arrival order is
-    deliberately unrelated to event time)."""
-    messages.repartition(files).write.mode("overwrite").text(path)
+    deliberately unrelated to event time); ``mode="append"`` adds more files."""
+    messages.repartition(files).write.mode(mode).text(path)
 
 
 def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -72,10 +72,21 @@ def _day(col: str):
 
 
 def append_market_query(spark: SparkSession, paths: StreamPaths, trigger_once: bool = True,
-                        files_per_trigger: int = 1):
+                        files_per_trigger: int = 1, dedup_within: str | None = None):
     """K1 + S7 + S8: decode the stream and append to the ``market`` table
-    (file sink: exactly-once through its commit log)."""
+    (file sink: exactly-once through its commit log).
+
+    ``dedup_within`` (e.g. "2 days") drops a message re-delivered within that
+    event-time delay of the newest message seen, with Spark's
+    ``dropDuplicatesWithinWatermark``; its state is bounded by the delay, and
+    messages arriving later than the delay behind the newest are dropped as late.
+    """
     decoded = decode_kline_messages(message_stream(spark, paths.landing, files_per_trigger))
+    if dedup_within:
+        decoded = (decoded.withColumn("_event_ts", F.timestamp_millis("event_timestamp"))
+                   .withWatermark("_event_ts", dedup_within)
+                   .dropDuplicatesWithinWatermark(["symbol", "event_timestamp"])
+                   .drop("_event_ts"))
     w = (decoded.withColumn("event_day", _day("event_timestamp")).repartition("event_day")
          .writeStream.format("parquet").option("checkpointLocation", paths.checkpoint + "-append")
          .partitionBy("event_day").outputMode("append"))
