@@ -24,7 +24,7 @@ from tidemark.operators import matrix as mx
 from tidemark.operators import serving as sv
 from tidemark.operators.windows import point_mean, trailing_mean_range, trailing_mean_rows
 from tidemark.schemas import BAR_COLUMNS, FEATURE_COLUMNS, require_columns
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import replies as rp
 from tidemark.sources import store
 from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
@@ -334,7 +334,8 @@ def q_hash_split(spark, sf_dir):
 
 @register("scaled_features")
 def q_scaled_features(spark, sf_dir):
-    m = split_matrix(spark, sf_dir)
+    # fit (statistics) and apply both read the matrix: compute it once
+    m = materialize(split_matrix(spark, sf_dir))
     cont = mf.continuous_columns(m.columns, exclude=(TARGET_COL, "datetime"))
     stats = mf.population_stats(m.filter("is_train"), cont)
     z = mf.standardise(m, stats)

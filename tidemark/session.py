@@ -81,3 +81,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one job's output."""
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder (reliable
+    ``checkpoint()``, never ``localCheckpoint``) and continue from the written
+    copy: later actions reuse it and a lost executor does not recompute the
+    lineage."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
