@@ -44,3 +44,16 @@ def test_gap_zero_tiles_span(spark, days, interval):
 def test_span_shorter_than_a_day_is_one_window(spark):
     s = ms(dt.datetime(2020, 1, 1))
     assert plan(spark, [("X", s, s + 3_600_000)], "1m", 0) == [("X", 0, s, s + 3_600_000)]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(days=st.integers(2, 400), gap_days=st.integers(1, 3))
+def test_gap_windows_advance_by_period_plus_gap(spark, days, gap_days):
+    s = ms(dt.datetime(2020, 1, 1))
+    e = s + days * DAY
+    p = plan(spark, [("X", s, e)], "1h", gap_days * DAY)
+    assert p[0][2] == s and all(s <= w[2] < w[3] <= e for w in p)
+    steps = {b[2] - a[2] for a, b in zip(p, p[1:])}
+    assert len(steps) <= 1                                   # one constant stride
+    for a, b in zip(p, p[1:]):
+        assert b[2] - a[3] >= gap_days * DAY - 1             # the skipped gap, never overlap
