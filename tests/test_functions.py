@@ -49,3 +49,15 @@ def test_limit_price_half_even_and_per_row_tick(spark):
 def test_buy_signal_ignores_zero_prediction(spark):
     df = spark.createDataFrame([(0.0,), (10.0,), (60.0,)], "p double")
     assert [r["b"] for r in df.select(buy_signal("p", 50.0).alias("b")).collect()] == [False, True, False]
+
+
+def test_cluster_conf_and_materialize(spark):
+    from tidemark.session import cluster_conf, materialize
+    conf = cluster_conf(executors=10, cores_per_executor=4)
+    assert conf["spark.sql.shuffle.partitions"] == "120"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    df = spark.range(0, 1000).withColumn("x", F.col("id") * 2).groupBy((F.col("id") % 7).alias("k")).count()
+    m = materialize(df)
+    assert sorted(m.collect()) == sorted(df.collect())
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan                      # lineage cut: reads the checkpoint
