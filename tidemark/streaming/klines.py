@@ -7,7 +7,8 @@ Three sinks, all under one root in the shared folder:
                  written with dynamic partition overwrite, so a replayed batch
                  id rewrites exactly its own partitions (idempotent, no doubles).
                  Every partitioned write is first clustered on its partition
-                 column: one file per partition and batch, not one per task.
+                 column (and symbol, so a hot day still spreads over tasks):
+                 a few files per partition and batch, not one per task.
 * ``averages`` — history rows with their trailing 7-day RANGE mean of close.
 * ``wide``     — one row per driver-market event time with every market's 7
                  columns, absent markets 0 (keyed upsert).
@@ -118,7 +119,7 @@ class WideUpsert:
             span = rows.agg(F.min("event_day").alias("lo"), F.max("event_timestamp").alias("hi")).first()
             if span["lo"] is None:
                 return
-            (rows.withColumn("batch_id", F.lit(batch_id)).repartition("event_day")
+            (rows.withColumn("batch_id", F.lit(batch_id)).repartition("event_day", "symbol")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_day", "batch_id").parquet(self.paths.market))
         finally:
@@ -132,7 +133,7 @@ class WideUpsert:
         avg = trailing_mean_range(hist, "symbol", "event_timestamp", "close", self.length, "rolling_avg_7d")
         avg = avg.filter(F.col("event_day").between(first_day, last_day)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            (avg.repartition("event_day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (avg.repartition("event_day", "symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_day").parquet(self.paths.averages))
             wide = wide_enrich(avg.withColumnRenamed("symbol", "market"), self.driver, self.others,
                                key="event_timestamp", monday=0)
