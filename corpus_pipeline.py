@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, queries, simhash
+from tidemark.llm import decontaminate, exact_dedup, quality, queries, simhash
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, quality.ratings(table(spark, sf_dir, "labels")))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.DigestIndex(spark).keep(docs)
 
@@ -22,13 +26,19 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_first(docs, shingle=4, max_bits=4)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.pieces(docs)
 
 
 STAGES = [
+    ("quality", quality_stage),
     ("exact_dedup", exact_dedup_stage),
     ("simhash_near_dedup", simhash_stage),
+    ("decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]
 

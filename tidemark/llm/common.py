@@ -57,7 +57,7 @@ def write_file(path: str, attempt: str, chunks: Iterable[bytes]) -> int:
     folder, name = posixpath.split(bare)
     fs.create_dir(folder, recursive=True)
     temp, size = f"{folder}/.{name}.{attempt}.tmp", 0
-    with fs.open_output_stream(temp) as out:
+    with fs.open_output_stream(temp, compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
             size += len(chunk)

@@ -9,11 +9,17 @@ from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, huffman, packing, simhash, token_counts
+from tidemark.llm import decontaminate, exact_dedup, huffman, packing, quality, simhash, token_counts, toxicity, url_filter, warc
 from tidemark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# (verdict, host, path prefix): the longest fitting rule decides
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+# globs over host and path, for urls that no rule fits
+URL_ALLOW = ["**.html"]
+URL_BLOCK = ["m.*/**", "*.example.net/*/?", "*.example.net/*/??", "**.exe", "**.zip", "**/wp-login*", "**/admin/**"]
+
 
 def op1_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = huffman.encode_and_read(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
@@ -25,6 +31,16 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its score, expected grade, P(grade >= 1) and whether it is kept."""
+    return quality.select(table(spark, sf_dir, "documents"), quality.ratings(table(spark, sf_dir, "labels")))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, URL_ALLOW, URL_BLOCK, default="allow")
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def pieces(docs: DataFrame) -> DataFrame:
     packed = packing.pack(docs, tokenizer_file("word_bpe_49k.json"), end_id=2, capacity=4096)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -39,6 +55,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each benchmark item that a document holds; clean documents have none."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.write_and_read(table(spark, sf_dir, "pages"), min_revisit=100)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024)
 
@@ -46,8 +76,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_huffman_ids": op1_huffman_ids,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
+    "op4_url_filter": op4_url_filter,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_toxicity": op8_toxicity,
+    "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -58,5 +93,35 @@ WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        count(*) OVER (PARTITION BY text_sha256) AS group_size, nth = 1 AS kept, text_sha256
 FROM n
+""",
+    "op4_url_filter": r"""
+WITH parts AS (SELECT page_id,
+           CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '^(.*?)://([^/?#]*)', 2, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+           CASE WHEN contains(url, '://') THEN regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)', 3, 's') ELSE '' END AS path
+         FROM pages),
+     ruled AS (SELECT *, CASE
+           WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+           WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+           WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+           WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+           WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule,
+           host || path AS place FROM parts)
+SELECT page_id, host, path, rule, CASE
+       WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN ends_with(place, '.html') THEN 'allow'
+       WHEN regexp_full_match(place, 'm\.[^/]*/.*', 's') OR regexp_full_match(place, '[^/]*\.example\.net/[^/]*/[^/]{1,2}', 's')
+            OR ends_with(place, '.exe') OR ends_with(place, '.zip') OR regexp_full_match(place, '.*/wp-login[^/]*', 's') OR contains(place, '/admin/') THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM ruled
+""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+     d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+     n AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id,
+                  row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS nth FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND nth > 1 AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND nth > 1 THEN first_id END AS refers_to
+FROM n
 """,
 }
