@@ -144,7 +144,7 @@ def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]], allow:
         for batch in batches:
             strings = [(h + p).encode("utf-8", "surrogatepass") for h, p in zip(batch["host"].to_pylist(), batch["path"].to_pylist())]
             hits = automaton.matches(strings)
-            rule = first(hits[:, :2 * n_rules].reshape(-1, n_rules, 2).any(axis=2))
+            rule = first(hits[:, :2 * n_rules].reshape(len(hits), n_rules, 2).any(axis=2))
             glob = first(hits[:, 2 * n_rules:])
             ruled = rule < n_rules
             yield pa.RecordBatch.from_arrays(
