@@ -7,8 +7,12 @@ hold a third of the data. Instead every row gets a time chunk
 rows a chunk's first frames reach back to (its *halo*) are copied into it,
 flagged as not owned, and dropped after the window:
 
-* RANGE frames of length R: a row at time t is needed by the chunks that start
-  in (t, t+R]; it is copied to each of them (one copy when width >= R).
+* RANGE frames of length R: a row at time t enters the running sum at t and
+  leaves it at t + R + 1. Each row is exploded once into these two entries, and
+  into the same two in every later chunk that starts in (t, t+R] (one, when
+  width >= R); there it enters before the chunk's first row. A running decimal
+  sum and count over (key, chunk) then give every frame: linear in the rows,
+  whatever the frame holds, in one pass over the input.
 * ROW frames of n rows: only the last n-1 rows of a chunk (its *tail*) can be
   in a later chunk's halo, and the n-1 rows before a chunk are exactly the n-1
   tail rows before the chunk's first tail row. Tails are at most
@@ -35,6 +39,7 @@ from tidemark.schemas import PRICE_DECIMAL
 DEFAULT_CHUNK_MS = 7 * MS_PER_DAY
 RANGE_CHUNK_FACTOR = 4
 _OWN, _CHUNK, _POS = "_tm_own", "_tm_chunk", "_tm_pos"
+_ENTRIES = f"array<struct<chunk:bigint,at:bigint,v:{PRICE_DECIMAL},n:bigint,own:boolean>>"
 
 
 def exact_mean(value: str, w) -> Column:
@@ -105,15 +110,28 @@ def trailing_mean_range(df: DataFrame, key: str, order: str, value: str, length:
         # dense keys get narrower chunks, but never narrower than the frame:
         # below that every row would be copied into several chunks
         chunk_width = max(length, _resolve(df, key, order, "auto"), 1)
-    base = _with_chunk(df, order, chunk_width).withColumn(_OWN, F.lit(True))
-    cols = [key, order, value]
-    first = F.col(_CHUNK) + 1
-    last = floor_div(F.col(order) + F.lit(length), chunk_width)
-    halo = (base.select(*cols, _CHUNK)
-            .withColumn("_t", F.explode(F.when(last >= first, F.sequence(first, last))))
-            .select(*cols, F.col("_t").alias(_CHUNK), F.lit(False).alias(_OWN)))
-    return _window_and_keep(base, halo, key, order, value, out,
-                            Window.partitionBy(key, _CHUNK).orderBy(order).rangeBetween(-length, 0))
+    width, t, v = F.lit(int(chunk_width)), F.col(order).cast("long"), F.col(value).cast(PRICE_DECIMAL)
+    own, last = floor_div(order, chunk_width), floor_div(F.col(order) + F.lit(length), chunk_width)
+    leaves = t + F.lit(length + 1)
+
+    def entry(chunk, at, sign, owner: bool):
+        return F.struct(chunk.cast("long").alias("chunk"), at.alias("at"), (v * F.lit(sign).cast("decimal(1,0)")).cast(PRICE_DECIMAL).alias("v"),
+                        F.when(v.isNull(), 0).otherwise(sign).cast("long").alias("n"), F.lit(owner).alias("own"))
+
+    # a row without ``order`` has only its own entry: its frame is its peers
+    later = F.coalesce(F.when(last > own, F.sequence(own + 1, last)), F.array().cast("array<long>"))
+    entries = F.concat(F.array(entry(own, t, 1, True)),
+                       F.transform(later, lambda c: entry(c, c * width - F.lit(1), 1, False)),
+                       F.coalesce(F.when(t.isNotNull(), F.array(entry(last, leaves, -1, False))), F.array().cast(_ENTRIES)))
+    # an entry leaves in the chunk its frame ends in; if t + R + 1 is the next chunk's start it leaves nothing there
+    exploded = df.select("*", F.explode(entries).alias("_tm_e"))
+    kept = exploded.select(key, *[F.when(F.col("_tm_e.own"), F.col(c)).alias(c) for c in df.columns if c != key],
+                           F.col("_tm_e.chunk").alias(_CHUNK), F.col("_tm_e.at").alias(_POS), F.col("_tm_e.v").alias("_tm_v"),
+                           F.col("_tm_e.n").alias("_tm_n"), F.col("_tm_e.own").alias(_OWN))
+    w = Window.partitionBy(key, _CHUNK).orderBy(_POS).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    total, count = F.sum("_tm_v").over(w), F.sum("_tm_n").over(w)
+    return (kept.withColumn(out, F.when(count > 0, total.cast("double") / count))
+            .filter(F.col(_OWN)).select(*[c for c in df.columns if c != out], out))
 
 
 def _window_and_keep(base: DataFrame, halo: DataFrame, key: str, order: str, value: str,
