@@ -51,3 +51,45 @@ def test_model_roundtrip_and_selection(spark):
         sorted(r["prediction"] for r in scored.collect()))
     scores = mm.compare_models(spark, m, "t_close", ["Linear_Regression", "Decision_Tree"])
     assert mm.select_best(scores).first()["best_model"] == "Linear_Regression"
+
+
+CALENDAR_ROW = "day int, month int, year int, day_of_week int, a_close double"
+
+
+def test_unseen_year_and_missing_value_raise(spark):
+    from tidemark.ml.features import CALENDAR, OneHotVector
+    train = spark.createDataFrame([(1, 1, 2019, 1, 5.0), (2, 1, 2020, 2, 6.0)], CALENDAR_ROW)
+    model = OneHotVector(calendarCols=CALENDAR, inputCols=["a_close"]).fit(train)
+    got = {r["year"]: r["features"].toArray().tolist() for r in model.transform(train).collect()}
+    assert got == {2019: [0.0, 0.0, 0.0, 5.0], 2020: [1.0, 1.0, 1.0, 6.0]}       # one month: no slot
+    for bad in [(1, 1, 2031, 1, 5.0), (1, 2, 2019, 1, 5.0), (1, 1, None, 1, 5.0), (1, 1, 2019, 1, None)]:
+        row = spark.createDataFrame([bad], CALENDAR_ROW)
+        assert not row.select(model.accepts(["a_close"])).first()[0]
+        with pytest.raises(Exception, match="unseen category or missing value"):
+            model.transform(row).collect()
+
+
+def test_the_same_model_at_any_input_partitioning(spark):
+    from tidemark.ml import models as mm
+    rows = [(i, i % 28 + 1, 1, 2024, i % 7 + 1, 10.0 + i, float((i * 13) % 17)) for i in range(160)]
+    m = with_split(spark.createDataFrame(rows, "datetime long, day int, month int, year int, day_of_week int, a_close double, t_close double"), "datetime")
+    small = {"numTrees": 5, "maxDepth": 6}
+    a, b = (mm.fit_and_score(m.repartition(n), "Random_Forest", "t_close", **small)[1] for n in (1, 8))
+    assert sorted((r["datetime"], r["prediction"]) for r in a.collect()) == sorted((r["datetime"], r["prediction"]) for r in b.collect())
+
+
+def test_defaults_are_parameters():
+    from tidemark.ml.models import DEFAULTS, regressor
+    assert regressor("Decision_Tree").getMaxDepth() == 30 and regressor("Decision_Tree", maxDepth=3).getMaxDepth() == 3
+    forest = regressor("Random_Forest")
+    assert forest.getFeatureSubsetStrategy() == "all" and forest.getMaxDepth() == 30
+    assert regressor("Gradient_Boosted_Trees").getMaxIter() == 100 and "XGBoost" not in DEFAULTS
+
+
+def test_metrics_of_large_prices_do_not_cancel(spark):
+    from tidemark.ml.models import metrics, select_best
+    rows = [(3e7 + k * 1e-3, 3e7 + k * 1e-3 + 1e-4) for k in range(100)]
+    got = metrics(spark.createDataFrame(rows, "label double, prediction double"))
+    assert got["r2"] == pytest.approx(1 - 1e-8 * 100 / (833.25e-6 * 100), abs=1e-3)
+    scores = spark.createDataFrame([("a", float("nan")), ("b", 2.0)], "model string, rmse double")
+    assert select_best(scores).first()["best_model"] == "b"

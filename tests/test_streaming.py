@@ -81,7 +81,7 @@ def test_stream_scoring_equals_batch_scoring(spark):
     from tidemark.ml import models as mm
     from tidemark.plans import catalog as c
     from tidemark.operators.serving import daily_requests
-    from tidemark.streaming.scoring import score_stream
+    from tidemark.streaming.scoring import rejected_stream, score_stream
     from tidemark.session import scratch_path
     sf = "/root/testdata/sf0.01"          # sf0.001 has no hour with all five markets
     data = mm.labelled(c.split_matrix(spark, sf), c.TARGET_COL)
@@ -95,8 +95,14 @@ def test_stream_scoring_equals_batch_scoring(spark):
     sk.run_until_done(q)
     got = {r["request_day_ms"]: r["prediction"] for r in spark.read.parquet(f"{root}/scored").collect()}
     want = {r["request_day_ms"]: r["prediction"]
-            for r in model.transform(req.withColumn("day_of_week", F.col("day_of_week") + 1)).collect()}
+            for r in model.transform(req.withColumn("day_of_week", F.col("day_of_week") + 1).where(mm.accepts(model))).collect()}
     assert got.keys() == want.keys()
+    q = (rejected_stream(spark, model, f"{root}/requests", c.FEATURE_MARKETS)
+         .writeStream.format("parquet").option("checkpointLocation", f"{root}/ckpt-rejects")
+         .trigger(availableNow=True).start(f"{root}/rejects"))
+    sk.run_until_done(q)
+    rejects = {r["request_day_ms"] for r in spark.read.parquet(f"{root}/rejects").collect()}
+    assert rejects and rejects.isdisjoint(got) and len(rejects) + len(got) == req.count()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 

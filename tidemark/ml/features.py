@@ -6,20 +6,15 @@ from __future__ import annotations
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCols, HasOutputCols
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.param.shared import HasInputCols, HasOutputCol, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import FEATURE_COLUMNS, PRICE_DECIMAL
 
-# Fixed category lists of the calendar one-hot (the first of each is dropped).
-CATEGORIES = {
-    "day": list(range(1, 32)),
-    "month": list(range(1, 13)),
-    "year": list(range(2019, 2031)),
-    "day_of_week": list(range(1, 8)),
-}
+CALENDAR = ["day", "month", "year", "day_of_week"]
 
 
 def split_bucket(key) -> Column:
@@ -39,25 +34,24 @@ def continuous_columns(columns: list[str], exclude: tuple[str, ...] = ()) -> lis
     return [c for c in columns if c not in exclude and any(s in c for s in FEATURE_COLUMNS)]
 
 
-def one_hot_exprs(categories: dict[str, list[int]] = CATEGORIES, drop_first: bool = True) -> list[Column]:
-    out = []
-    for col, values in categories.items():
-        for v in (values[1:] if drop_first else values):
-            out.append(F.when(F.col(col) == F.lit(v), F.lit(1)).otherwise(F.lit(0)).alias(f"{col}_{v}"))
-    return out
+def learned_categories(df: DataFrame, cols: list[str] = CALENDAR) -> DataFrame:
+    """(column_name, category) of every value that occurs, without the smallest of
+    each column (the dropped one): one aggregate, a row per distinct value."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("int").alias("category")) for c in cols]))
+    seen = df.select(pairs.alias("p")).where(F.col("p.category").isNotNull()).select("p.*").distinct()
+    least = seen.groupBy("column_name").agg(F.min("category").alias("least"))
+    return seen.join(least, "column_name").where("category > least").select("column_name", "category")
 
 
-def one_hot_sql(categories: dict[str, list[int]] = CATEGORIES, drop_first: bool = True) -> str:
-    """The same one-hot as a SQLTransformer statement (persistable in a pipeline)."""
-    parts = []
-    for col, values in categories.items():
-        for v in (values[1:] if drop_first else values):
-            parts.append(f"CAST(CASE WHEN {col} = {v} THEN 1 ELSE 0 END AS DOUBLE) AS {col}_{v}")
-    return "SELECT *, " + ", ".join(parts) + " FROM __THIS__"
-
-
-def one_hot_names(categories: dict[str, list[int]] = CATEGORIES, drop_first: bool = True) -> list[str]:
-    return [f"{c}_{v}" for c, vs in categories.items() for v in (vs[1:] if drop_first else vs)]
+def one_hot_long(df: DataFrame, fitted_on: DataFrame, key: str, cols: list[str] = CALENDAR) -> DataFrame:
+    """(key, feature, hot) for each row and each category learned from ``fitted_on``;
+    all but the smallest category of a column make a feature."""
+    cats = learned_categories(fitted_on, cols).groupBy("column_name").agg(F.collect_set("category").alias("categories"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("int").alias("value")) for c in cols]))
+    return (df.select(F.col(key), pairs.alias("p")).select(key, "p.*").join(F.broadcast(cats), "column_name")   # a row per calendar column
+            .select(key, "column_name", "value", F.explode("categories").alias("category"))
+            .select(key, F.concat_ws("_", "column_name", F.col("category").cast("string")).alias("feature"),
+                    F.coalesce((F.col("value") == F.col("category")).cast("int"), F.lit(0)).alias("hot")))
 
 
 def population_stats(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
@@ -120,6 +114,61 @@ class PopStandardScalerModel(Model, _ScalerParams, DefaultParamsReadable, Defaul
         return dataset.withColumns(cols)
 
 
+class _VectorParams(HasInputCols, HasOutputCol):
+    calendarCols = Param(Params._dummy(), "calendarCols", "integer columns to one-hot encode", typeConverter=TypeConverters.toListString)
+
+
+class OneHotVector(Estimator, _VectorParams, DefaultParamsReadable, DefaultParamsWritable):
+    """One dense vector: one-hot of ``calendarCols`` (categories learned from the
+    fitted rows, the smallest dropped, one category alone gives no slot) and
+    ``inputCols`` as they are. An unseen category or a NULL raises."""
+
+    @keyword_only
+    def __init__(self, *, calendarCols=None, inputCols=None, outputCol="features"):
+        super().__init__()
+        self._setDefault(outputCol="features")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "OneHotVectorModel":
+        cols = self.getOrDefault(self.calendarCols)
+        # distinct calendar values: at most a few dozen per column
+        row = dataset.agg(*[F.sort_array(F.collect_set(F.col(c).cast("int"))).alias(c) for c in cols]).first()
+        return OneHotVectorModel(calendarCols=cols, inputCols=self.getInputCols(), outputCol=self.getOutputCol(),
+                                 categories=[",".join(map(str, row[c])) for c in cols])
+
+
+class OneHotVectorModel(Model, _VectorParams, DefaultParamsReadable, DefaultParamsWritable):
+    categories = Param(Params._dummy(), "categories", "learned categories of each column, comma-separated",
+                       typeConverter=TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, *, calendarCols=None, inputCols=None, outputCol="features", categories=None):
+        super().__init__()
+        self._setDefault(outputCol="features")
+        self._set(**self._input_kwargs)
+
+    def _known(self) -> list[tuple[str, list[int]]]:
+        return [(c, [int(x) for x in listed.split(",") if x])
+                for c, listed in zip(self.getOrDefault(self.calendarCols), self.getOrDefault(self.categories))]
+
+    def accepts(self, values: list[str]) -> Column:
+        """Whether a row has learned categories and none of ``values`` is missing."""
+        ok = F.lit(True)
+        for c, known in self._known():
+            ok = ok & (F.coalesce(F.col(c).isin(known), F.lit(False)) if known else F.lit(False))
+        for c in values:
+            ok = ok & F.col(c).isNotNull()
+        return ok
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        slots = [(F.col(c) == F.lit(v)).cast("double") for c, known in self._known() for v in known[1:]]
+        slots += [F.col(c).cast("double") for c in self.getInputCols()]
+        message = F.concat(F.lit("unseen category or missing value in a row: "), F.to_json(F.struct(*self.getOrDefault(self.calendarCols))))
+        vector = array_to_vector(F.when(self.accepts(self.getInputCols()), F.array(*slots))
+                                 .otherwise(F.raise_error(message).cast("array<double>")))
+        return dataset.withColumn(self.getOutputCol(), vector)
+
+
 def vector_frame(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """ML1: (label, features) with the LAST of ``columns`` as the label and the
     others, in order, as a dense vector (VectorAssembler, no RDD map)."""

@@ -13,52 +13,56 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler,
-                                VectorIndexer)
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorIndexer
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.ml.features import PopStandardScaler, continuous_columns, one_hot_names, one_hot_sql
-
-ROWS_PER_PARTITION = 100_000
-# The candidate model names as the selection step reports them.
-MODEL_NAMES = ["Linear_Regression", "Decision_Tree", "Random_Forest", "XGBoost"]
-
-
-def regressor(name: str, label: str = "label", seed: int = 42, features: str = "features"):
-    if name == "Linear_Regression":
-        return LinearRegression(featuresCol=features, labelCol=label, solver="normal")
-    if name == "Decision_Tree":
-        # sklearn grows without a depth limit; MLlib allows at most 30
-        return DecisionTreeRegressor(featuresCol=features, labelCol=label, maxDepth=12, seed=seed)
-    if name == "Random_Forest":
-        return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=100,
-                                     maxDepth=10, seed=seed)
-    if name == "XGBoost":
-        # gradient-boosted trees stand in for XGBoost (same interface, not same numbers)
-        return GBTRegressor(featuresCol=features, labelCol=label, maxIter=20, maxDepth=5, seed=seed)
-    raise ValueError(f"unsupported model {name!r}")
-
-
-def model_stages(name: str, label: str = "label", seed: int = 42) -> list:
+from tidemark.ml.features import CALENDAR, OneHotVector, PopStandardScaler, continuous_columns
+from tidemark.session import materialize
+
+# Candidate models and their default parameters. Trees grow until their leaves
+# are pure or MLlib's deepest level (30); forests look at every feature; boosting
+# runs 100 rounds of depth 6 with rate 0.3.
+DEFAULTS: dict[str, dict] = {
+    "Linear_Regression": {"solver": "normal"},
+    "Decision_Tree": {"maxDepth": 30},
+    "Random_Forest": {"maxDepth": 30, "numTrees": 100, "featureSubsetStrategy": "all"},
+    "Gradient_Boosted_Trees": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3},
+}
+MODEL_NAMES = list(DEFAULTS)
+_CLASSES = {"Linear_Regression": LinearRegression, "Decision_Tree": DecisionTreeRegressor,
+            "Random_Forest": RandomForestRegressor, "Gradient_Boosted_Trees": GBTRegressor}
+
+
+def regressor(name: str, label: str = "label", seed: int = 42, features: str = "features", **params):
+    """The named regressor; ``params`` override its DEFAULTS."""
+    if name not in DEFAULTS:
+        raise ValueError(f"unsupported model {name!r}")
+    own = {**DEFAULTS[name], **params}
+    if name != "Linear_Regression":
+        own.setdefault("seed", seed)
+    return _CLASSES[name](featuresCol=features, labelCol=label, **own)
+
+
+def model_stages(name: str, label: str = "label", seed: int = 42, **params) -> list:
     """Estimators after the shared features. Tree models first index vector slots
     with at most 4 distinct values as categorical (ML6) — the one-hot slots."""
     if name == "Linear_Regression":
-        return [regressor(name, label, seed)]
+        return [regressor(name, label, seed, **params)]
     return [VectorIndexer(inputCol="features", outputCol="features_idx", maxCategories=4,
                           handleInvalid="keep"),
-            regressor(name, label, seed, features="features_idx")]
+            regressor(name, label, seed, features="features_idx", **params)]
 
 
 def feature_stages(columns: list[str], target: str, key: str = "datetime"):
+    """Calendar one-hot learned from the fitted rows (an unseen value raises),
+    standardised continuous columns, one vector (a NULL raises)."""
     cont = continuous_columns(columns, exclude=(target, key, "label"))
     scaled = [f"{c}__z" for c in cont]
-    return [SQLTransformer(statement=one_hot_sql()),
-            PopStandardScaler(inputCols=cont, outputCols=scaled),
-            VectorAssembler(inputCols=one_hot_names() + scaled, outputCol="features",
-                            handleInvalid="keep")]
+    return [PopStandardScaler(inputCols=cont, outputCols=scaled),
+            OneHotVector(calendarCols=CALENDAR, inputCols=scaled, outputCol="features")]
 
 
 def learned_one_hot_stages(cols: list[str], handle_invalid: str = "error"):
@@ -73,8 +77,14 @@ def learned_one_hot_stages(cols: list[str], handle_invalid: str = "error"):
     return [pad, idx, enc]
 
 
-def model_pipeline(name: str, columns: list[str], target: str) -> Pipeline:
-    return Pipeline(stages=feature_stages(columns, target) + model_stages(name))
+def model_pipeline(name: str, columns: list[str], target: str, **params) -> Pipeline:
+    return Pipeline(stages=feature_stages(columns, target) + model_stages(name, **params))
+
+
+def accepts(model: PipelineModel) -> Column:
+    """Whether the fitted pipeline can score a row: every feature is there and its calendar values were learned."""
+    scaler, vector = model.stages[0], model.stages[1]
+    return vector.accepts(scaler.getInputCols())
 
 
 def labelled(matrix: DataFrame, target: str) -> DataFrame:
@@ -83,70 +93,66 @@ def labelled(matrix: DataFrame, target: str) -> DataFrame:
 
 class PreparedSplit:
     """The shared preprocessor fitted once on the train rows, and both splits
-    featurized once and persisted (every regressor reads the same vectors)."""
+    featurized once and persisted (every regressor reads the same vectors).
+
+    The matrix is written once to the shared folder, dealt by key and sorted, so
+    a fit does not depend on how its rows were partitioned before (a forest draws
+    its samples by partition and place).
+    """
 
     def __init__(self, matrix: DataFrame, target: str, key: str = "datetime"):
-        # the matrix is computed once: the scaler fit and both featurized
-        # splits read this copy
-        data = labelled(matrix, target).persist(StorageLevel.MEMORY_AND_DISK)
-        n = data.count()
-        # iterative fitters run one job per pass; size the partitions to the rows
-        # (small matrices in few tasks, large ones stay spread out)
-        # (coalesce never raises the partition count)
-        data = data.coalesce(max(1, math.ceil(n / ROWS_PER_PARTITION)))
-        train = data.filter("is_train")
+        self.key = key
+        self.data = materialize(labelled(matrix, target).repartition(key).sortWithinPartitions(key))
+        train = self.data.filter("is_train")
         self.features = Pipeline(stages=feature_stages(matrix.columns, target, key)).fit(train)
         keep = [key, "label", "features"]
         self.train = self.features.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-        self.test = (self.features.transform(data.filter(~F.col("is_train"))).select(*keep)
-                     .persist(StorageLevel.MEMORY_AND_DISK))
-        self.train.count(), self.test.count()
-        data.unpersist()
+        self.test = self.features.transform(self.data.filter(~F.col("is_train"))).select(*keep)
 
-    def fit(self, name: str) -> tuple[PipelineModel, DataFrame]:
-        fitted = Pipeline(stages=model_stages(name)).fit(self.train)
+    def fit(self, name: str, **params) -> tuple[PipelineModel, DataFrame]:
+        """The fitted pipeline and its scores of the test rows."""
+        fitted = Pipeline(stages=model_stages(name, **params)).fit(self.train)
         model = PipelineModel(stages=list(self.features.stages) + list(fitted.stages))
         return model, fitted.transform(self.test)
 
     def close(self) -> None:
         self.train.unpersist()
-        self.test.unpersist()
 
 
-def fit_and_score(matrix: DataFrame, name: str, target: str) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the hash-split train rows, score the test rows."""
+def fit_and_score(matrix: DataFrame, name: str, target: str, **params) -> tuple[PipelineModel, DataFrame]:
+    """Fit on the hash-split train rows, score the test rows (read from the written matrix)."""
     prep = PreparedSplit(matrix, target)
-    model, _ = prep.fit(name)
-    prep.close()
-    scored = model.transform(labelled(matrix, target).filter(~F.col("is_train")))
-    return model, scored
+    try:
+        return prep.fit(name, **params)
+    finally:
+        prep.close()
 
 
 def metrics(scored: DataFrame) -> dict[str, float]:
     """RMSE and R² in one aggregate pass (partial sums, one row back)."""
     y, e = F.col("label"), F.col("label") - F.col("prediction")
-    r = scored.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.sum(y).alias("sy"),
-                   F.sum(y * y).alias("syy")).first()
+    r = scored.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.var_pop(y).alias("var")).first()
     n = r["n"] or 0
     if n == 0:
         return {"rmse": float("nan"), "r2": float("nan")}
-    ss_tot = r["syy"] - r["sy"] * r["sy"] / n
+    ss_tot = r["var"] * n                          # centred: no cancellation for large prices
     return {"rmse": (r["sse"] / n) ** 0.5, "r2": 1.0 - r["sse"] / ss_tot if ss_tot else float("nan")}
 
 
 def compare_models(spark: SparkSession, matrix: DataFrame, target: str,
                    names: list[str] = MODEL_NAMES, parallelism: int = 4,
-                   fitted: dict | None = None) -> DataFrame:
+                   fitted: dict | None = None, params: dict[str, dict] | None = None) -> DataFrame:
     """Train every model on the same featurized split; one metrics row per model
     and the arg-min of RMSE flagged. Only the metrics reach the driver.
 
     Fits are submitted from ``parallelism`` driver threads (as MLlib's tuning
     estimators do), so the jobs of different models share the executors. Pass a
-    dict as ``fitted`` to receive the fitted pipeline of every model by name."""
+    dict as ``fitted`` to receive the fitted pipeline of every model by name, and
+    ``params`` to override a model's DEFAULTS."""
     prep = PreparedSplit(matrix, target)
 
     def one(n: str):
-        model, scored = prep.fit(n)
+        model, scored = prep.fit(n, **(params or {}).get(n, {}))
         if fitted is not None:
             fitted[n] = model
         m = metrics(scored)
@@ -156,7 +162,7 @@ def compare_models(spark: SparkSession, matrix: DataFrame, target: str,
             rows = list(pool.map(one, names))
     finally:
         prep.close()
-    best = min(rows, key=lambda r: r[1])[0]
+    best = min(rows, key=lambda r: (math.isnan(r[1]), r[1]))[0]      # NaN last, as min_by ranks it
     return spark.createDataFrame([(n, r, q, n == best) for n, r, q in rows],
                                  "model string, rmse double, r2 double, is_best boolean")
 

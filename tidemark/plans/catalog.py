@@ -344,7 +344,9 @@ def q_scaled_features(spark, sf_dir):
 
 @register("one_hot_calendar")
 def q_one_hot_calendar(spark, sf_dir):
-    return q_market_feature_matrix(spark, sf_dir).select("datetime", *mf.one_hot_exprs())
+    """(datetime, feature, hot): categories learned from the train rows."""
+    train = split_matrix(spark, sf_dir).filter("is_train")
+    return mf.one_hot_long(train, train, "datetime")
 
 
 @register("rmse_per_market")
@@ -359,9 +361,8 @@ def q_rmse_per_market(spark, sf_dir):
 def q_r2_per_market(spark, sf_dir):
     r = q_trailing_avg_rows7(spark, sf_dir)
     y, err = F.col("close"), F.col("close") - F.col("rolling_avg_7d")
-    g = r.groupBy("market").agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("ss_res"),
-                                F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
-    ss_tot = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    g = r.groupBy("market").agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("ss_res"), F.var_pop(y).alias("var"))
+    ss_tot = F.col("var") * F.col("n")                # centred: no cancellation for large prices
     # a constant series has no variance: R² is undefined (NULL), not an error
     return g.select("market", "n", F.round(F.lit(1.0) - F.try_divide(F.col("ss_res"), ss_tot), 6).alias("r2"))
 
@@ -376,7 +377,7 @@ def _train(name):
 register("train_linear")(_train("Linear_Regression"))
 register("train_decision_tree")(_train("Decision_Tree"))
 register("train_random_forest")(_train("Random_Forest"))
-register("train_gbt")(_train("XGBoost"))
+register("train_gbt")(_train("Gradient_Boosted_Trees"))
 
 
 @register("best_model")
@@ -429,9 +430,11 @@ def q_score_requests(spark, sf_dir):
     require_columns(req, need, "scoring request")
     # requests carry Monday = 0; the model was trained with Monday = 1
     req = req.withColumn("day_of_week", F.col("day_of_week") + F.lit(1))
-    scored = model.transform(req)
-    return scored.select("request_day_ms", "prediction",
-                         buy_signal("prediction", BUY_LIMIT).alias("buy"))
+    req = materialize(req.withColumn("accepted", mm.accepts(model)))
+    scored = model.transform(req.where("accepted"))
+    # a request that the model cannot score (a missing value, an unseen calendar value) is answered without a prediction
+    return (scored.select("request_day_ms", "accepted", "prediction", buy_signal("prediction", BUY_LIMIT).alias("buy"))
+            .unionByName(req.where("not accepted").select("request_day_ms", "accepted"), allowMissingColumns=True))
 
 
 # --- streaming (K1-K5, S7-S10) -----------------------------------------------

@@ -265,7 +265,6 @@ SELECT datetime, {t}, round_even({t} * 1.01, 2) AS order_price FROM m"""
 
 
 def _ml_queries(base: dict[str, str]) -> dict[str, str]:
-    from tidemark.ml.features import CATEGORIES
     q: dict[str, str] = {}
     bucket = "CAST((('0x' || substr(md5(CAST(datetime AS VARCHAR)), 1, 8))::BIGINT) % 100 AS INTEGER)"
     split = f"SELECT *, {bucket} AS split_bucket, {bucket} < 75 AS is_train FROM m"
@@ -277,17 +276,19 @@ def _ml_queries(base: dict[str, str]) -> dict[str, str]:
     zs = ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 6) AS {c}" for c in cont)
     q["scaled_features"] = (f"WITH m AS ({mtx}), s AS ({split}), st AS (SELECT {stats} FROM s WHERE is_train) "
                             f"SELECT datetime, {zs} FROM s, st")
-    oh = ", ".join(f"CASE WHEN {c} = {v} THEN 1 ELSE 0 END AS {c}_{v}"
-                   for c, vs in CATEGORIES.items() for v in vs[1:])
-    q["one_hot_calendar"] = f"WITH m AS ({mtx}) SELECT datetime, {oh} FROM m"
+    parts = " UNION ALL ".join(f"SELECT datetime, '{c}' AS c, CAST({c} AS INTEGER) AS v FROM t" for c in ("day", "month", "year", "day_of_week"))
+    q["one_hot_calendar"] = (f"WITH m AS ({mtx}), s AS ({split}), t AS (SELECT * FROM s WHERE is_train), l AS ({parts}), "
+                             "k AS (SELECT DISTINCT c, v, min(v) OVER (PARTITION BY c) AS least FROM l) "
+                             "SELECT l.datetime, l.c || '_' || k.v AS feature, CAST(l.v = k.v AS INTEGER) AS hot "
+                             "FROM l JOIN k ON l.c = k.c WHERE k.v > k.least")
     r7 = base["trailing_avg_rows7"]
     q["rmse_per_market"] = (f"WITH r AS ({r7}) SELECT market, count(*) AS n, "
                             "round(sqrt(avg((close - rolling_avg_7d) * (close - rolling_avg_7d))), 6) AS rmse "
                             "FROM r GROUP BY market")
     q["r2_per_market"] = (f"WITH r AS ({r7}), g AS (SELECT market, count(*) AS n, "
                           "sum((close - rolling_avg_7d) * (close - rolling_avg_7d)) AS ss_res, "
-                          "sum(close) AS sy, sum(close * close) AS syy FROM r GROUP BY market) "
-                          "SELECT market, n, round(1.0 - ss_res / (syy - sy * sy / n), 6) AS r2 FROM g")
+                          "var_pop(close) AS var FROM r GROUP BY market) "
+                          "SELECT market, n, round(1.0 - ss_res / (var * n), 6) AS r2 FROM g")
     return q
 
 

@@ -9,6 +9,7 @@ limit price. Only metrics and the one serving row reach the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ class DailyResult:
 
 
 def run_daily(spark: SparkSession, sf_dir: str, limit: float = 50.0, markup: float = 1.01,
-              tick: float = 0.01, models: list[str] = mm.MODEL_NAMES) -> DailyResult:
+              tick: float = 0.01, models: list[str] = mm.MODEL_NAMES, as_of: date | None = None) -> DailyResult:
+    """``as_of``: the serving day (default: the data's last). Its request is scored for the day after, without
+    a prediction if the model has not learned that day's calendar values."""
     from tidemark.plans import catalog as cat   # the registered stand-in sources
 
     # load + preprocess: bar store, then the wide matrix as a table
@@ -51,12 +54,14 @@ def run_daily(spark: SparkSession, sf_dir: str, limit: float = 50.0, markup: flo
     mm.save_model(fitted[best], model_path)
 
     # serving: averages over the last 7 days of the wide table, scored
-    as_of = cat.data_as_of(spark, sf_dir)
+    as_of = as_of or cat.data_as_of(spark, sf_dir)
     lo, hi, _ = sv.serving_window(as_of, 7)
     wide = mx.wide_enrich(cat.long_with_range_avg(spark, sf_dir, lo, hi), cat.WIDE_DRIVER, cat.WIDE_OTHERS)
     request = sv.window_averages(wide, cat.FEATURE_MARKETS, as_of, days=7)
     request = request.withColumn("day_of_week", F.col("day_of_week") + F.lit(1))  # Monday = 1 in training
-    out = (mm.load_model(model_path).transform(request)
+    model = mm.load_model(model_path)
+    # a day whose month or year the training rows did not have cannot be scored
+    out = (model.transform(request.where(mm.accepts(model)))
            .select("prediction", buy_signal("prediction", limit).alias("buy")).first())
     # order price from the latest target close (a one-row aggregate)
     price = (bars.filter(F.col("market") == cat.TARGET_MARKET)
@@ -76,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
 
     ap = argparse.ArgumentParser(description="run the daily market flow on one dataset")
     ap.add_argument("sf_dir")
-    ap.add_argument("--cpus", default="*")
+    ap.add_argument("--cpus", default=None, help="run locally on N cores; without it the master of spark-submit or spark-defaults holds")
     ap.add_argument("--limit", type=float, default=50.0)
     a = ap.parse_args(argv)
     spark = build_session("tidemark-daily", a.cpus)

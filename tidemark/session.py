@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "tidemark", cpus: int | str = "*",
+def build_session(app: str = "tidemark", cpus: int | str | None = "*",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     """Session with UTC time, AQE (coalescing + skew join) and the UI off.
 
-    ``shuffle_partitions`` defaults to the core count for local runs; on a
-    cluster leave it to the cluster config and let AQE coalesce.
+    ``cpus``: run locally on so many cores; None leaves the master (and the
+    driver's memory) to spark-submit or spark-defaults. ``shuffle_partitions``
+    defaults to the core count for local runs; on a cluster leave it to the
+    cluster config and let AQE coalesce.
     """
+    builder = SparkSession.builder.appName(app)
+    if cpus is not None:
+        builder = builder.master(f"local[{cpus}]").config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
     builder = (
-        SparkSession.builder.master(f"local[{cpus}]").appName(app)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -26,7 +33,6 @@ def build_session(app: str = "tidemark", cpus: int | str = "*",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -60,15 +66,28 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str
     }
 
 
+_SCRATCH: list[str] = []
+
+
+def is_local(master: str) -> bool:
+    """Driver and executors are one process (``local-cluster`` has executors of its own)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is the shared (HDFS/object store) location the cluster
-    configures. Only when it is unset (local tests) do we create one.
+    configures; without it a session that is not local is refused, as each
+    executor would write to its own disk. A local session gets a temporary
+    folder that is removed when the driver ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not is_local(spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     try:  # classic sessions: let DataFrame.checkpoint() use the same folder
         if spark.sparkContext.getCheckpointDir() is None:
@@ -80,7 +99,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one job's output."""
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what this driver wrote through ``scratch_path``, once no plan reads it any more; how many paths went."""
+    jvm, removed = spark._jvm, 0
+    conf = spark._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 def materialize(df):
