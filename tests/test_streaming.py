@@ -116,13 +116,44 @@ def test_timed_run_stops_and_keeps_progress(spark):
     assert spark.read.parquet(paths.market).count() > 0
 
 
-def test_append_sink_drops_redelivered_messages_within_watermark(spark):
+def test_redelivered_messages_are_read_once_whatever_their_delay(spark):
     paths = sk.new_paths(spark, "test-dedup")
     msgs = kline_messages(bars_from_events(table(spark, SF, "events")))
     sk.land_messages(msgs, paths.landing, files=1)
     sk.land_messages(msgs, paths.landing, files=1, mode="append")   # every message delivered twice
-    q = sk.append_market_query(spark, paths, files_per_trigger=1, dedup_within="60 days")
-    sk.run_until_done(q)
-    got = spark.read.parquet(paths.market)
-    assert got.count() == msgs.count()
-    assert got.select("symbol", "event_timestamp").distinct().count() == msgs.count()
+    sk.run_until_done(sk.append_market_query(spark, paths, files_per_trigger=1))
+    got = sk.read_market(spark, paths)
+    assert spark.read.parquet(paths.market).count() == 2 * msgs.count()
+    assert got.count() == msgs.count() == got.select("symbol", "event_timestamp").distinct().count()
+
+
+def test_a_correction_in_the_same_batch_replaces_the_message(spark):
+    paths = sk.new_paths(spark, "test-correct")
+    day = 20_000 * sk.MS_PER_DAY
+    history = spark.createDataFrame([("a", day, 1.0, 0, 0), ("a", day, 2.0, 0, 5), ("a", day, 3.0, 0, 2), ("b", day, 9.0, 1, 0), ("b", day, 8.0, 0, 7)],
+                                    "symbol string, event_timestamp long, close double, batch_id long, arrival long")
+    for n in (1, 3):
+        got = {r["symbol"]: r["close"] for r in sk.latest_per_message(history.repartition(n)).collect()}
+        assert got == {"a": 2.0, "b": 9.0}
+    assert paths.market.endswith("/market")
+
+
+def test_a_very_late_row_touches_only_its_own_days(spark):
+    import os
+    paths = sk.new_paths(spark, "test-late")
+    bars = bars_from_events(table(spark, SF, "events")).cache()
+    first = bars.agg(F.min("datetime")).first()[0]
+    late = bars.filter(F.col("datetime") == first).limit(1)
+    body = sk.WideUpsert(paths, DRIVER, OTHERS, length_ms=2 * sk.MS_PER_DAY)
+    body(kline_messages(bars.join(late.select("market", "datetime"), ["market", "datetime"], "left_anti")), 0)
+
+    def stamps():
+        root = paths.averages.removeprefix("file:")
+        return {d: max(os.stat(f"{root}/{d}/{f}").st_mtime_ns for f in os.listdir(f"{root}/{d}")) for d in os.listdir(root) if d.startswith("event_day=")}
+    before = stamps()
+    body(kline_messages(late), 1)
+    after = stamps()
+    changed = {int(d.split("=")[1]) for d in after if after[d] != before.get(d)}
+    own = late.first()["close_time"] // sk.MS_PER_DAY
+    assert changed and changed <= {own, own + 1, own + 2} and len(after) > 5
+    bars.unpersist()

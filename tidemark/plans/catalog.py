@@ -456,20 +456,21 @@ def q_score_requests(spark, sf_dir):
 
 def _landed(spark, sf_dir, name):
     paths = sk.new_paths(spark, name)
-    sk.land_messages(rp.kline_messages(bars(spark, sf_dir, stored=True)), paths.landing, files=4)
-    return paths
+    # two batches, each of half the files
+    sk.land_messages(rp.kline_messages(bars(spark, sf_dir, stored=True)), paths.landing)
+    return paths, max(1, spark.sparkContext.defaultParallelism // 2)
 
 
 @register("stream_append_market")
 def q_stream_append_market(spark, sf_dir):
-    paths = _landed(spark, sf_dir, "stream-append")
-    sk.run_until_done(sk.append_market_query(spark, paths, files_per_trigger=2))
-    return spark.read.parquet(paths.market).drop("event_day")
+    paths, files = _landed(spark, sf_dir, "stream-append")
+    sk.run_until_done(sk.append_market_query(spark, paths, files_per_trigger=files))
+    return sk.read_market(spark, paths).drop("event_day")
 
 
 def _wide_stream(spark, sf_dir):
-    paths = _landed(spark, sf_dir, "stream-wide")
-    sk.run_until_done(sk.wide_upsert_query(spark, paths, WIDE_DRIVER, WIDE_OTHERS, files_per_trigger=2))
+    paths, files = _landed(spark, sf_dir, "stream-wide")
+    sk.run_until_done(sk.wide_upsert_query(spark, paths, WIDE_DRIVER, WIDE_OTHERS, files_per_trigger=files))
     return paths
 
 

@@ -6,19 +6,20 @@ Three sinks, all under one root in the shared folder:
 * ``market``   — long history, partitioned by (event_day, batch_id). A batch is
                  written with dynamic partition overwrite, so a replayed batch
                  id rewrites exactly its own partitions (idempotent, no doubles).
-                 Every partitioned write is first clustered on its partition
-                 column (and symbol, so a hot day still spreads over tasks):
-                 a few files per partition and batch, not one per task.
+                 Every partitioned write is first clustered on its day and
+                 ``DAY_SLICES`` hash slices of its rows, so the current day, which
+                 gets nearly all rows, spreads over tasks; small batches are
+                 coalesced to a few files by adaptive execution.
 * ``averages`` — history rows with their trailing 7-day RANGE mean of close.
 * ``wide``     — one row per driver-market event time with every market's 7
                  columns, absent markets 0 (keyed upsert).
 
 Spark rejects non-time windows on streams, so the trailing mean and the wide
 merge run in ``foreachBatch``. Each batch recomputes every day its rows can
-change — from its first day to 7 days after its last — from the stored
+change — each of its own days and the 7 after it, as a set — from the stored
 history, and overwrites those day partitions. The result does not depend on
-arrival order: a late row re-derives every average and wide row it touches.
-Work per batch is bounded by the batch's time span + 7 days, not by history.
+arrival order: a late row re-derives every average and wide row it touches, and
+no day between it and the rest. Only the day folders needed are opened.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timecols import MS_PER_DAY, floor_div
 from tidemark.operators.matrix import wide_enrich
@@ -36,6 +38,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.replies import decode_kline_messages
 
 WEEK_MS = 7 * MS_PER_DAY
+DAY_SLICES = 16      # tasks that one day's rows may spread over
 
 
 @dataclass
@@ -58,9 +61,11 @@ def new_paths(spark: SparkSession, name: str = "klines") -> StreamPaths:
     return StreamPaths(scratch_path(spark, name))
 
 
-def land_messages(messages: DataFrame, path: str, files: int = 4, mode: str = "overwrite") -> None:
+def land_messages(messages: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
     """Write message text as files, rows spread round-robin (arrival order is
-    deliberately unrelated to event time); ``mode="append"`` adds more files."""
+    deliberately unrelated to event time), by default one for each core;
+    ``mode="append"`` adds more files."""
+    files = files or messages.sparkSession.sparkContext.defaultParallelism
     messages.repartition(files).write.mode(mode).text(path)
 
 
@@ -72,23 +77,18 @@ def _day(col: str):
     return floor_div(col, MS_PER_DAY)
 
 
-def append_market_query(spark: SparkSession, paths: StreamPaths, trigger_once: bool = True,
-                        files_per_trigger: int = 1, dedup_within: str | None = None):
-    """K1 + S7 + S8: decode the stream and append to the ``market`` table
-    (file sink: exactly-once through its commit log).
+def _slice(*cols: str):
+    """Hash slice of a row: rows of one day spread over ``DAY_SLICES`` tasks."""
+    return F.pmod(F.xxhash64(*cols), F.lit(DAY_SLICES))
+
 
-    ``dedup_within`` (e.g. "2 days") drops a message re-delivered within that
-    event-time delay of the newest message seen, with Spark's
-    ``dropDuplicatesWithinWatermark``; its state is bounded by the delay, and
-    messages arriving later than the delay behind the newest are dropped as late.
-    """
+def append_market_query(spark: SparkSession, paths: StreamPaths, trigger_once: bool = True, files_per_trigger: int = 1):
+    """K1 + S7 + S8: decode the stream and append to the ``market`` table
+    (file sink: exactly-once through its commit log). A message delivered twice
+    is stored twice, whatever its delay; ``read_market`` returns it once."""
     decoded = decode_kline_messages(message_stream(spark, paths.landing, files_per_trigger))
-    if dedup_within:
-        decoded = (decoded.withColumn("_event_ts", F.timestamp_millis("event_timestamp"))
-                   .withWatermark("_event_ts", dedup_within)
-                   .dropDuplicatesWithinWatermark(["symbol", "event_timestamp"])
-                   .drop("_event_ts"))
-    w = (decoded.withColumn("event_day", _day("event_timestamp")).repartition("event_day")
+    w = (decoded.withColumn("event_day", _day("event_timestamp"))
+         .repartition("event_day", _slice("symbol", "event_timestamp"))
          .writeStream.format("parquet").option("checkpointLocation", paths.checkpoint + "-append")
          .partitionBy("event_day").outputMode("append"))
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="1 second")
@@ -96,15 +96,31 @@ def append_market_query(spark: SparkSession, paths: StreamPaths, trigger_once: b
 
 
 def latest_per_message(history: DataFrame) -> DataFrame:
-    """One row per (symbol, event_timestamp): a message delivered again in a later
-    batch (a reconnect) or corrected replaces the earlier copy. A partial
-    aggregate, so many copies of one message collapse before the shuffle."""
-    cols = [c for c in history.columns if c not in ("symbol", "event_timestamp", "batch_id")]
-    latest = F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r")
+    """One row per (symbol, event_timestamp): a message delivered again (a
+    reconnect) or corrected, in a later batch or later in the same one, replaces
+    the earlier copy. A partial aggregate, so many copies of one message collapse
+    before the shuffle."""
+    order = [c for c in ("batch_id", "arrival") if c in history.columns]
+    cols = [c for c in history.columns if c not in ("symbol", "event_timestamp", *order)]
+    rank = F.struct(*[F.col(c) for c in (*order, *cols)])      # equal ranks are equal rows
+    latest = F.max_by(F.struct(*cols), rank).alias("_r")
     return history.groupBy("symbol", "event_timestamp").agg(latest).select(
         "symbol", "event_timestamp", "_r.*")
 
 
+def read_market(spark: SparkSession, paths: StreamPaths) -> DataFrame:
+    """The stored history, each message once."""
+    return latest_per_message(spark.read.parquet(paths.market))
+
+
+def day_history(spark: SparkSession, path: str, days: list[int], schema: T.StructType) -> DataFrame:
+    """Rows of the given days: only their folders are listed and no schema is inferred."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [f"{path}/event_day={d}" for d in days if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/event_day={d}"))]
+    return spark.read.schema(schema).option("basePath", path).parquet(*there)
+
+
 class WideUpsert:
     """The ``foreachBatch`` body: history append, trailing mean, wide merge."""
 
@@ -114,31 +130,30 @@ class WideUpsert:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = (decode_kline_messages(batch).withColumn("event_day", _day("event_timestamp"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
+                .withColumn("arrival", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK))
         try:
-            span = rows.agg(F.min("event_day").alias("lo"), F.max("event_timestamp").alias("hi")).first()
-            if span["lo"] is None:
+            stored = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            batch_days = [r["event_day"] for r in rows.select("event_day").distinct().collect()]     # a row per day of the batch
+            if not batch_days:
                 return
-            (rows.withColumn("batch_id", F.lit(batch_id)).repartition("event_day", "symbol")
+            (stored.repartition("event_day", _slice("symbol", "event_timestamp"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_day", "batch_id").parquet(self.paths.market))
         finally:
             rows.unpersist()
-        first_day = span["lo"]
-        last_day = (span["hi"] + self.length) // MS_PER_DAY
-        # history from one frame length before the first affected day
-        need_from = first_day - (self.length + MS_PER_DAY - 1) // MS_PER_DAY
-        hist = latest_per_message(spark.read.parquet(self.paths.market)
-                                  .filter(F.col("event_day").between(need_from, last_day)))
+        reach = (self.length + MS_PER_DAY - 1) // MS_PER_DAY
+        affected = sorted({d + k for d in batch_days for k in range(reach + 1)})
+        needed = sorted({d - k for d in affected for k in range(reach + 1)})      # one frame length before
+        hist = latest_per_message(day_history(spark, self.paths.market, needed, stored.schema))
         avg = trailing_mean_range(hist, "symbol", "event_timestamp", "close", self.length, "rolling_avg_7d")
-        avg = avg.filter(F.col("event_day").between(first_day, last_day)).persist(StorageLevel.MEMORY_AND_DISK)
+        avg = avg.filter(F.col("event_day").isin(affected)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            (avg.repartition("event_day", "symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (avg.repartition("event_day", _slice("symbol", "event_timestamp")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_day").parquet(self.paths.averages))
             wide = wide_enrich(avg.withColumnRenamed("symbol", "market"), self.driver, self.others,
                                key="event_timestamp", monday=0)
             (wide.withColumnRenamed("event_timestamp", "start_timestamp")
-             .withColumn("event_day", _day("start_timestamp")).repartition("event_day")
+             .withColumn("event_day", _day("start_timestamp")).repartition("event_day", _slice("start_timestamp"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("event_day").parquet(self.paths.wide))
         finally:
