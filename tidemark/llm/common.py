@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tidemark.session import scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
+TEXT_BYTES = 4 << 20    # text that a task turns into Python objects at once
 
 
 def text_or_empty(column: str | Column) -> Column:
@@ -85,6 +87,19 @@ def binary_array(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
                                             [None, pa.py_buffer(ends), pa.py_buffer(values)]).cast(pa.binary())
 
 
+def text_batches(batches: Iterator[pa.RecordBatch], limit: int = TEXT_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of text (one row at
+    least), so a task's memory does not follow the length of the texts."""
+    for batch in batches:
+        at = runs(pc.binary_length(batch[column]).fill_null(0).to_numpy())
+        a = 0
+        while a < batch.num_rows:
+            b = max(a + 1, int(np.searchsorted(at, at[a] + limit, "right")) - 1)
+            yield batch.slice(a, b - a)
+            a = b
+        pa.default_memory_pool().release_unused()
+
+
 def batches_of(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
     """Index ranges of ``texts`` with about ``limit`` characters each (one text at least)."""
     start, size = 0, 0

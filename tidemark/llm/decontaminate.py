@@ -32,14 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, id_text, ragged_gather, runs, stored, text_or_empty
+from tidemark.llm.common import batches_of, id_text, ragged_gather, runs, stored, text_batches, text_or_empty
 
 K1, B = 1.2, 0.75
 ITEM_BLOCK = 2          # items under one upper bound, more if there are over MAX_BLOCKS of them
 MAX_BLOCKS = 128
 INDEX_BYTES = 4 << 20
 LEAST_WORDS = 32
-BATCH_CHARS = 1 << 23
+BATCH_CHARS = 1 << 22
 BOUND_CELLS = 1 << 22
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -207,7 +207,7 @@ def item_indexes(items: DataFrame, shingle: int, index_bytes: int = INDEX_BYTES)
     items = items.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty("text").alias("text"))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_batches(batches):
             for text in batch["text"].to_pylist():
                 words = words_of(text)
                 yield pa.RecordBatch.from_pydict({"term": sorted(set(words)) + [""], "n": [0] * len(set(words)) + [len(words)]},
@@ -236,7 +236,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: fl
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(shared.value, shingle)
-            for batch in batches:
+            for batch in text_batches(batches):
                 ids, rows = batch["doc_id"].to_pylist(), searcher.leaks(batch["text"].to_pylist(), threshold, overlap)
                 types = [pa.int64(), pa.int64(), *[pa.float64()] * 4, pa.int64()]
                 columns = list(zip(*((ids[r[0]], *r[1:]) for r in rows))) or [[]] * 7

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import binary_array, id_text, open_fs, runs, shuffle_count, stored, write_file
+from tidemark.llm.common import binary_array, id_text, open_fs, runs, shuffle_count, stored, text_batches, write_file
 from tidemark.llm.tokens import word_tokenizer
 from tidemark.session import scratch_path
 
@@ -159,7 +159,7 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> DataF
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(tokenizer_path)
         width = id_type(tokenizer.vocab_size, end_id)
-        for batch in batches:
+        for batch in text_batches(batches):
             ids, at = tokenizer.encode(batch["text"].to_pylist())
             if end_id is not None:
                 ids, at = np.insert(ids, at[1:], end_id), at + np.arange(len(at))

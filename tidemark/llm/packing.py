@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import binary_array, id_text, runs
+from tidemark.llm.common import binary_array, id_text, runs, text_batches
 from tidemark.llm.tokens import word_tokenizer
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -145,7 +145,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, capacity:
                 held += offset
                 number += 1
 
-        for batch in batches:
+        for batch in text_batches(batches):
             ids, at = tokenizer.encode(batch["text"].to_pylist())
             if end_id is not None:
                 ids, at = np.insert(ids, at[1:], end_id), at + np.arange(len(at))

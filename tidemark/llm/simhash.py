@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, runs, stored
+from tidemark.llm.common import id_text, runs, stored, text_batches
 from tidemark.llm.components import components
 
 HASHES = 1 << 18        # shingle hashes counted at once
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, fp) of ``docs`` (doc_id, text), fp the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_batches(batches):
             fps = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, id_text, runs
+from tidemark.llm.common import batches_of, id_text, runs, text_batches
 from tidemark.llm.tokens import byte_alphabet, pieces
 
 # White space as the pre-tokenizer sees it: without the separator controls.
@@ -120,7 +120,7 @@ def merge_counts(symbols: np.ndarray, offsets: np.ndarray, ranks: PairRanks) ->
 class TokenCounter:
     """Token counts of whole texts for a byte-level BPE tokenizer file."""
 
-    def __init__(self, path: str, cache_chunks: int = 500_000):
+    def __init__(self, path: str, cache_chunks: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
@@ -185,7 +185,7 @@ class TokenCounter:
 _COUNTERS: dict[tuple, TokenCounter] = {}
 
 
-def token_counter(path: str, cache_chunks: int = 500_000) -> TokenCounter:
+def token_counter(path: str, cache_chunks: int = 300_000) -> TokenCounter:
     """One counter and cache for each path and Python worker."""
     key = (path, cache_chunks)
     if key not in _COUNTERS:
@@ -198,7 +198,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = token_counter(tokenizer_path)
-        for batch in batches:
+        for batch in text_batches(batches):
             n = counter.count(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["n_bytes"], pa.array(n), pa.array(n > limit)],
                                              ["doc_id", "n_bytes", "n_tokens", "over_limit"])

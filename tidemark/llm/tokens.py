@@ -24,7 +24,7 @@ _L, _N = "a-zªµº\xdf-\xf6\xf8-\xff", "0-9²³¹¼½¾"
 _LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
 
 PIECE_CHARS = 1 << 20   # long texts are encoded piece by piece, cut at single spaces
-BATCH_CHARS = 1 << 23
+BATCH_CHARS = 1 << 22
 
 
 def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
@@ -53,7 +53,7 @@ class WordTokenizer:
     tokenizer of any other make always does.
     """
 
-    def __init__(self, path: str, cache_words: int = 600_000):
+    def __init__(self, path: str, cache_words: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         with open(path, encoding="utf-8") as f:
@@ -164,7 +164,7 @@ def byte_alphabet() -> dict[int, str]:
 _TOKENIZERS: dict[tuple, WordTokenizer] = {}
 
 
-def word_tokenizer(path: str, cache_words: int = 600_000) -> WordTokenizer:
+def word_tokenizer(path: str, cache_words: int = 300_000) -> WordTokenizer:
     """One tokenizer and cache for each path and Python worker."""
     key = (path, cache_words)
     if key not in _TOKENIZERS:
