@@ -5,8 +5,11 @@ import __spark_entry__ as se
 from tidemark.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-# every SQL-checked query except the stream replays (covered by test_streaming)
-FAST = sorted(k for k in se.oracle_sql() if not k.startswith("stream_"))
+# model fits need the larger table: sf0.001 has hardly an hour with all five markets
+FITS = ["best_model", "close_time_linear", "model_roundtrip_score", "score_requests", "train_decision_tree", "train_gbt",
+        "train_linear", "train_random_forest"]
+# every SQL-checked query except the stream replays (covered by test_streaming) and the training-data operators (tests/llm)
+FAST = sorted(k for k in se.oracle_sql() if not k.startswith(("stream_", "op", "pipeline")) and k not in FITS)
 
 
 def test_entry_smoke(spark):
@@ -18,9 +21,8 @@ def test_entry_smoke(spark):
 def test_every_sql_checked_query_has_an_oracle():
     q, o = se.queries(), se.oracle_sql()
     assert set(o) <= set(q)
-    no_oracle = set(q) - set(o)
-    assert no_oracle == {"train_linear", "train_decision_tree", "train_random_forest", "train_gbt",
-                         "best_model", "model_roundtrip_score", "score_requests", "close_time_linear"}
+    # the optional training-data queries have their own tests
+    assert {k for k in set(q) - set(o) if not k.startswith("op") and k != "pipeline"} == set()
 
 
 @pytest.fixture(scope="module")

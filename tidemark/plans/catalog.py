@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -294,6 +295,21 @@ def q_nested_balance_filter(spark, sf_dir):
     return rp.balances_for_assets(rp.balance_replies(table(spark, sf_dir, "events")), BALANCE_ASSETS)
 
 
+@register("chunk_plan_1h")
+def q_chunk_plan_1h(spark, sf_dir):
+    """G1 with the one-day gap and hourly interval."""
+    ticks = ticks_from_events(table(spark, sf_dir, "events"))
+    return ch.chunk_plan(ch.spans_from_ticks(ticks, "market", "t_us"), interval="1h", gap_ms=86_400_000)
+
+
+@register("reply_rejects")
+def q_reply_rejects(spark, sf_dir):
+    """the replies that do not decode, kept aside and counted by symbol."""
+    replies = rp.error_reply_for(rp.kline_array_replies(bars(spark, sf_dir, stored=True)), FAILING_SYMBOL)
+    _, bad = rp.decode_kline_arrays(replies)
+    return bad.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
 @register("chunk_plan")
 def q_chunk_plan(spark, sf_dir):
     ticks = ticks_from_events(table(spark, sf_dir, "events"))
@@ -382,22 +398,76 @@ def q_r2_per_market(spark, sf_dir):
     return g.select("market", "n", F.round(F.lit(1.0) - F.try_divide(F.col("ss_res"), ss_tot), 6).alias("r2"))
 
 
-def _train(name):
+def _fit_checked(spark, sf_dir, name, checks):
+    """Test rows of a fit with what SQL can state about it: ``checks`` gets the
+    scored train rows and gives one row of booleans."""
+    prep = mm.PreparedSplit(split_matrix(spark, sf_dir), TARGET_COL)
+    try:
+        model, scored = prep.fit(name)
+        train = prep.train
+        for stage in model.stages[len(prep.features.stages):]:
+            train = stage.transform(train)
+        flags = checks(train).first().asDict()
+    finally:
+        prep.close()
+    return scored, flags
+
+
+def _flagged(scored, flags):
+    return scored.select("datetime", "label", *[F.lit(bool(v)).alias(k) for k, v in flags.items()])
+
+
+@register("train_linear")
+def q_train_linear(spark, sf_dir):
+    """Least squares: train residuals have mean 0 and no product with any feature (the normal equations)."""
+    def normal_equations(train):
+        residual = F.col("label") - F.col("prediction")
+        sums = (train.select(residual.alias("e"), F.posexplode(vector_to_array("features")))
+                .groupBy("pos").agg(F.abs(F.avg(F.col("e") * F.col("col"))).alias("g"), F.abs(F.avg("e")).alias("m")))
+        return sums.agg((F.greatest(F.max("g"), F.max("m")) < 0.05).alias("normal_equations"))
+    return _flagged(*_fit_checked(spark, sf_dir, "Linear_Regression", normal_equations))
+
+
+def _tree(name):
     def q(spark, sf_dir):
-        _, scored = mm.fit_and_score(split_matrix(spark, sf_dir), name, TARGET_COL)
-        return scored.select("datetime", "label", "prediction")
+        """A tree's prediction is a mean of train labels: it lies between their least and greatest."""
+        prep = mm.PreparedSplit(split_matrix(spark, sf_dir), TARGET_COL)
+        try:
+            span = prep.train.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
+            _, scored = prep.fit(name)
+        finally:
+            prep.close()
+        inside = F.col("prediction").between(span["lo"] - 1e-9, span["hi"] + 1e-9)
+        return scored.select("datetime", "label", inside.alias("within_train_labels"))
     return q
 
 
-register("train_linear")(_train("Linear_Regression"))
-register("train_decision_tree")(_train("Decision_Tree"))
-register("train_random_forest")(_train("Random_Forest"))
-register("train_gbt")(_train("Gradient_Boosted_Trees"))
+register("train_decision_tree")(_tree("Decision_Tree"))
+register("train_random_forest")(_tree("Random_Forest"))
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    """Boosting fits the train rows better than their mean does."""
+    def better(train):
+        e = F.col("label") - F.col("prediction")
+        return train.agg((F.avg(e * e) < F.var_pop("label")).alias("beats_the_mean"))
+    return _flagged(*_fit_checked(spark, sf_dir, "Gradient_Boosted_Trees", better))
 
 
 @register("best_model")
 def q_best_model(spark, sf_dir):
-    return mm.select_best(mm.compare_models(spark, split_matrix(spark, sf_dir), TARGET_COL))
+    """The model of least RMSE among all candidates, and that RMSE recomputed from its test scores."""
+    matrix = materialize(split_matrix(spark, sf_dir))
+    fitted: dict = {}
+    scores = mm.compare_models(spark, matrix, TARGET_COL, fitted=fitted)
+    best = mm.select_best(scores).first()
+    test = mm.labelled(matrix, TARGET_COL).filter(~F.col("is_train"))
+    again = {name: mm.metrics(model.transform(test))["rmse"] for name, model in fitted.items()}
+    least = min(again.values())
+    return scores.agg(F.count(F.lit(1)).alias("candidates"),
+                      F.lit(bool(abs(best["best_rmse"] - least) <= 1e-6 * least and again[best["best_model"]] == least)).alias("best_has_least_rmse"),
+                      F.count_if("is_best").alias("chosen"))
 
 
 def _fitted_linear(spark, sf_dir):
@@ -416,8 +486,10 @@ def q_model_roundtrip_score(spark, sf_dir):
     model = _fitted_linear(spark, sf_dir)
     path = scratch_path(spark, "model-linear")
     mm.save_model(model, path)
-    return mm.load_model(path).transform(data.filter(~F.col("is_train"))).select(
-        "datetime", "label", "prediction")
+    test = data.filter(~F.col("is_train"))
+    loaded = mm.load_model(path).transform(test).select("datetime", "label", F.col("prediction").alias("loaded"))
+    return loaded.join(model.transform(test).select("datetime", "prediction"), "datetime").select(
+        "datetime", "label", (F.col("loaded") == F.col("prediction")).alias("loaded_equals_saved"))
 
 
 @register("close_time_linear")
@@ -433,7 +505,7 @@ def q_close_time_linear(spark, sf_dir):
     path = scratch_path(spark, "model-close-time")
     model.write().overwrite().save(path)
     loaded = LinearRegressionModel.load(path)
-    return loaded.transform(data.filter(~F.col("is_train"))).select("close_time", "label", "prediction")
+    return loaded.transform(data.filter(~F.col("is_train"))).select("close_time", "label", F.round("prediction", 4).alias("prediction"))
 
 
 @register("score_requests")
@@ -448,8 +520,9 @@ def q_score_requests(spark, sf_dir):
     req = materialize(req.withColumn("accepted", mm.accepts(model)))
     scored = model.transform(req.where("accepted"))
     # a request that the model cannot score (a missing value, an unseen calendar value) is answered without a prediction
-    return (scored.select("request_day_ms", "accepted", "prediction", buy_signal("prediction", BUY_LIMIT).alias("buy"))
-            .unionByName(req.where("not accepted").select("request_day_ms", "accepted"), allowMissingColumns=True))
+    answers = (scored.select("request_day_ms", "accepted", "prediction", buy_signal("prediction", BUY_LIMIT).alias("buy"))
+               .unionByName(req.where("not accepted").select("request_day_ms", "accepted"), allowMissingColumns=True))
+    return answers.select("request_day_ms", "accepted", (F.col("prediction").isNotNull() & F.col("buy").isNotNull()).alias("answered"))
 
 
 # --- streaming (K1-K5, S7-S10) -----------------------------------------------

