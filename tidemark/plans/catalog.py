@@ -109,6 +109,13 @@ def q_trailing_avg_range7d(spark, sf_dir):
     return trailing_mean_range(b, "market", "datetime", "close", WEEK_MS, "rolling_avg_range7d")
 
 
+@register("tick_avg_range7d")
+def q_tick_avg_range7d(spark, sf_dir):
+    """W3 on raw ticks: frames of thousands of rows."""
+    ev = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("market"), epoch_ms("ts").alias("t_ms"), "value")
+    return trailing_mean_range(ev, "market", "t_ms", "value", WEEK_MS, "avg_range7d")
+
+
 @register("point_avg")
 def q_point_avg(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select(

@@ -113,6 +113,9 @@ def oracle_queries() -> dict[str, str]:
         f"FROM bars WHERE market IN ({FEATS_IN})")
     q["trailing_avg_range7d"] = with_bars(
         f"SELECT market, datetime, close, {exact_avg('close', wr)} AS rolling_avg_range7d FROM bars")
+    wt = "(PARTITION BY market ORDER BY t_ms RANGE BETWEEN 604800000 PRECEDING AND CURRENT ROW)"
+    q["tick_avg_range7d"] = ("WITH t AS (SELECT event_id, event_type AS market, epoch_us(ts) // 1000 AS t_ms, value FROM events) "
+                             f"SELECT event_id, market, t_ms, value, {exact_avg('value', wt)} AS avg_range7d FROM t")
     q["point_avg"] = (
         "SELECT event_type AS market, (epoch_us(ts) // 60000000) * 60000 AS event_timestamp, "
         f"CAST(sum(CAST(value AS {DEC})) AS DOUBLE) / count(value) AS avg_close "
