@@ -28,10 +28,10 @@ def test_label_model_without_double_counting():
 
 
 def test_mined_terms_and_votes():
-    terms = tx.text_terms(["Vequmo x.", "vequta y", "vequna z", "vequla", "plain x", "plain y"])
-    assert "^vequ" in terms[0] and "vequmo" in terms[0]
-    assert tx.mine(terms, np.array([1, 1, 1, 1, 0, 0], bool), least=4, lift=2)[0] == "^vequ"
-    votes = tx.votes(["you are an idiot!!", "fine"], tx.text_terms(["you are an idiot!!", "fine"]), ["idiot", "fine"])
+    texts = ["Vequmo x.", "vequta y", "vequna z", "vequla", "plain x", "plain y"]
+    assert tx.text_terms(texts[0]) == {"vequmo", "^vequ", "^vequm", "x"}
+    assert tx.mine(texts, np.array([1, 1, 1, 1, 0, 0], bool), least=4, lift=2)[0] == "^vequ"
+    votes = tx.votes(["you are an idiot!!", "fine"], ["idiot", "fine"])
     assert votes[0].tolist() == [True, False, True, False, True, False] and votes[1].tolist() == [False, True, False, False, False, False]
 
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 from tidemark.llm.common import batches_of, ragged_gather, runs
 
-BATCH_CHARS = 1 << 23
+BATCH_CHARS = 1 << 22
 _UPPER, _LOWER, _DIGIT = re.compile(r"[A-Z\xc0-\xde]+"), re.compile(r"[a-z\xdf-\xff]+"), re.compile(r"[0-9]+")
 
 
@@ -49,16 +49,16 @@ class Rows:
     common ones; without it, common ones carry the fit.
     """
 
-    def __init__(self, index: np.ndarray, value: np.ndarray, offsets: np.ndarray, least: int = 1, scaled: bool = True):
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    def __init__(self, index: np.ndarray, value: np.ndarray, offsets: np.ndarray, size: int, least: int = 1, scaled: bool = True):
         self.n = len(offsets) - 1
-        used, inverse, times = np.unique(index, return_inverse=True, return_counts=True)
-        keep = times >= least
-        here = keep[inverse]
-        self.used, self.columns = used[keep], int(keep.sum())
-        self.index, self.row, value = (np.cumsum(keep) - 1)[inverse[here]], row[here], value[here]
-        self.scale = np.sqrt(np.bincount(self.index, value ** 2, self.columns) / max(1, self.n)) if scaled else np.ones(self.columns)
-        self.value = value / self.scale[self.index]
+        keep = np.bincount(index, minlength=size) >= max(1, least)
+        here = keep[index]
+        self.used, self.columns = np.flatnonzero(keep), int(keep.sum())
+        self.index = (np.cumsum(keep, dtype=np.int32) - 1)[index[here]]
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(offsets))[here]
+        self.value = value[here].astype(np.float32)
+        self.scale = np.sqrt(np.bincount(self.index, self.value ** 2, self.columns) / max(1, self.n)) if scaled else np.ones(self.columns)
+        self.value /= self.scale.astype(np.float32)[self.index]
 
     def weights(self, w: np.ndarray, size: int) -> np.ndarray:
         """Weights of the unscaled features, by feature number."""
@@ -113,10 +113,10 @@ def sum_by_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def text_rows(each: list[tuple[np.ndarray, np.ndarray]], least: int = 1, scaled: bool = True) -> Rows:
+def text_rows(each: list[tuple[np.ndarray, np.ndarray]], size: int, least: int = 1, scaled: bool = True) -> Rows:
     """``Rows`` of the (features, values) of each text."""
     at = runs(np.array([len(i) for i, _ in each], np.int64))
-    return Rows(np.concatenate([i for i, _ in each]), np.concatenate([v for _, v in each]), at, least, scaled)
+    return Rows(np.concatenate([i for i, _ in each]), np.concatenate([v for _, v in each]), at, size, least, scaled)
 
 
 def word_features(texts: list[str], lower: bool, features: Callable[[str], list[int]], repeat_bucket: int | None = None,
@@ -135,4 +135,4 @@ def word_features(texts: list[str], lower: bool, features: Callable[[str], list[
             if repeat_bucket is not None:
                 index, weight = np.append(index, repeat_bucket), np.append(weight, int((here[1:] == here[:-1]).sum()))
             index, inverse = np.unique(index, return_inverse=True)
-            yield index, np.bincount(inverse, weight, len(index)), b - a
+            yield index.astype(np.int32), np.bincount(inverse, weight, len(index)).astype(np.float32), b - a

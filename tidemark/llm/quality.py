@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, stored
+from tidemark.llm.common import id_text, stored, text_batches
 from tidemark.llm.linear import batch_words, bucket, fista, shape, sigmoid, sum_by_text, text_rows, word_features
 
 BITS = 18
@@ -64,7 +64,7 @@ def link_gradient(grades: np.ndarray, n_thresholds: int):
 def fit(texts: list[str], grades: np.ndarray, l1: float = 1e-4, l2: float = 1e-6, steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """(weights by bucket, ordered thresholds)."""
     top = int(grades.max())
-    rows = text_rows([(i, n / max(1, size)) for i, n, size in word_features(texts, False, features, REPEATED)], least=2, scaled=False)
+    rows = text_rows([(i, n / max(1, size)) for i, n, size in word_features(texts, False, features, REPEATED)], 1 << BITS, least=2, scaled=False)
     share = np.clip(np.array([(grades >= k).mean() for k in range(1, top + 1)]), 1e-3, 1 - 1e-3)
     gap = np.arange(top) * 1e-6
     w, cuts = fista(rows, link_gradient(grades, top), -np.log(share / (1 - share)), lambda t: np.maximum.accumulate(t - gap) + gap, 0.5, l1, l2, steps)
@@ -106,7 +106,7 @@ def grade(docs: DataFrame, graded: DataFrame, at_least: int = 1, sample_rows: in
         index, value, thresholds = model.value
         w = np.zeros(1 << BITS)
         w[index] = value
-        for batch in batches:
+        for batch in text_batches(batches):
             score = score_texts(batch["text"].to_pylist(), w)
             tails = sigmoid(score[:, None] - thresholds[None, :])
             none = np.full(len(score), not len(thresholds))

@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text
+from tidemark.llm.common import id_text, text_batches
 from tidemark.llm.linear import batch_words, bucket, fista, sigmoid, text_rows, word_features
 
 BITS = 18
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 2000
 PREFIXES = (4, 5)
 LEAST_ROWS = 4          # rows of the sample that a feature must occur in
 LEXICON = ["idiot", "idiots", "moron", "morons", "stupid", "dumb", "loser", "losers", "scum", "trash", "garbage", "pathetic", "worthless",
@@ -57,33 +57,37 @@ def word_terms(word: str) -> list[str]:
     return [t for core in cores(word) for t in (core, *("^" + core[:n] for n in PREFIXES if len(core) > n))]
 
 
-def text_terms(texts: list[str]) -> list[set[str]]:
-    return [{t for w in set(text.lower().split()) for t in word_terms(w)} for text in texts]
+def text_terms(text: str) -> set[str]:
+    return {t for w in set(text.lower().split()) for t in word_terms(w)}
 
 
-def mine(terms: list[set[str]], toxic: np.ndarray, most: int = 250, least: int = 4, lift: float = 4.0) -> list[str]:
+def mine(texts: list[str], toxic: np.ndarray, most: int = 250, least: int = 4, lift: float = 4.0) -> list[str]:
     """Terms that fire at least ``lift`` times as often in toxic rows, by chi-square."""
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     hits1, hits0 = Counter(), Counter()
-    for own, y in zip(terms, toxic):
-        (hits1 if y else hits0).update(own)
+    for text, y in zip(texts, toxic):
+        if y:
+            hits1.update(text_terms(text))
+    hits1 = Counter({t: k for t, k in hits1.items() if k >= least})
+    for text, y in zip(texts, toxic):
+        if not y:
+            hits0.update(t for t in text_terms(text) if t in hits1)
     found = []
     for term, k in hits1.items():
         p1, p0 = (k + 0.5) / (n1 + 1), (hits0[term] + 0.5) / (n0 + 1)
-        if k >= least and p1 >= lift * p0:
+        if p1 >= lift * p0:
             p = (k + hits0[term]) / (n1 + n0)
             found.append((-(k / n1 - hits0[term] / n0) ** 2 / (p * (1 - p) + 1e-9), term))
     return [t for _, t in sorted(found)[:most]]
 
 
-def votes(texts: list[str], terms: list[set[str]], voters: list[str]) -> np.ndarray:
+def votes(texts: list[str], voters: list[str]) -> np.ndarray:
     """Boolean (row, voter): lexicon, mined and pattern voters."""
     number = {v: k for k, v in enumerate(voters)}
     out = np.zeros((len(texts), len(voters) + len(PATTERNS)), bool)
-    for i, own in enumerate(terms):
-        out[i, [number[t] for t in own if t in number]] = True
-    for k, pattern in enumerate(PATTERNS.values()):
-        out[:, len(voters) + k] = [bool(pattern.search(t)) for t in texts]
+    for i, text in enumerate(texts):
+        out[i, [number[t] for t in text_terms(text) if t in number]] = True
+        out[i, len(voters):] = [bool(p.search(text)) for p in PATTERNS.values()]
     return out
 
 
@@ -167,10 +171,10 @@ def fit_linear(texts: list[str], target: np.ndarray, l1: float = 1.6, l2: float
 
     share = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
     start = np.array([np.log(share / (1 - share))])
-    rows = text_rows(each, LEAST_ROWS)
+    rows = text_rows(each, 1 << BITS, LEAST_ROWS)
     w, _ = fista(rows, gradient, start, lambda b: b, 0.25, l1 / np.sqrt(max(1, len(texts))), 0.0, steps)
     chosen = rows.used[np.abs(w) > 1e-6]
-    rows = text_rows([(i[k], n[k]) for i, n in each for k in [np.isin(i, chosen)]], 1)
+    rows = text_rows([(i[k], n[k]) for i, n in each for k in [np.isin(i, chosen)]], 1 << BITS)
     w, bias = fista(rows, gradient, start, lambda b: b, 0.25, 0.0, l2, 4 * steps)
     return rows.weights(w, 1 << BITS), float(bias[0])
 
@@ -181,10 +185,9 @@ def fit(texts: list[str], known: np.ndarray) -> tuple[np.ndarray, float]:
     if not (known == 1).any() or not (known == 0).any():
         share = float((known == 1).sum()) / max(1, int(labelled.sum()))
         return np.zeros(1 << BITS), float(np.log(np.clip(share, 1e-9, 1 - 1e-9) / (1 - np.clip(share, 1e-9, 1 - 1e-9))))
-    terms = text_terms(texts)
-    mined = mine([t for t, k in zip(terms, labelled) if k], known[labelled] == 1)
+    mined = mine([t for t, k in zip(texts, labelled) if k], known[labelled] == 1)
     voters = list(dict.fromkeys([*LEXICON, *mined]))
-    posterior, _ = label_model(votes(texts, terms, voters), known)
+    posterior, _ = label_model(votes(texts, voters), known)
     return fit_linear(texts, posterior)
 
 
@@ -226,7 +229,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         index, value, offset = model.value
         w = np.zeros(1 << BITS)
         w[index] = value
-        for batch in batches:
+        for batch in text_batches(batches):
             score = score_texts(batch["text"].to_pylist(), w, offset)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                                              ["doc_id", "held_out", "score", "predicted"])
