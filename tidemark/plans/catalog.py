@@ -29,7 +29,7 @@ from tidemark.session import materialize, scratch_path
 from tidemark.sources import replies as rp
 from tidemark.sources import store
 from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
-from tidemark.sources.tables import table
+from tidemark.sources.tables import read_with_schema, table
 from tidemark.streaming import klines as sk
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,6 +302,35 @@ def q_nested_balance_filter(spark, sf_dir):
     return rp.balances_for_assets(rp.balance_replies(table(spark, sf_dir, "events")), BALANCE_ASSETS)
 
 
+@register("trade_list_decode")
+def q_trade_list_decode(spark, sf_dir):
+    """Trade lists (one reply per event, its value as price) decoded to typed rows."""
+    ev = table(spark, sf_dir, "events")
+    trade = F.struct(F.col("event_type").alias("symbol"), F.col("event_id").alias("id"), F.col("user_id").alias("orderId"),
+                     F.format_string("%.8f", "value").alias("price"), F.lit("2.00000000").alias("qty"), F.lit("junk").alias("quoteQty"),
+                     F.lit("0.00100000").alias("commission"), F.lit("unit").alias("commissionAsset"), epoch_ms("ts").alias("time"),
+                     (F.col("event_id") % 2 == 0).alias("isBuyer"), F.lit(False).alias("isMaker"), F.lit(True).alias("isBestMatch"))
+    return rp.decode_trades(ev.select(F.to_json(F.array(trade)).alias("reply"))).select(
+        "trade_id", "symbol", "order_id", F.round("price", 6).alias("price"), "qty", "quote_qty", "time", "is_buyer", "is_maker")
+
+
+@register("json_reader")
+def q_json_reader(spark, sf_dir):
+    """S3: the format/options reader with a declared schema, over bars kept as JSON lines."""
+    b = bars(spark, sf_dir, stored=True).select("market", "datetime", "open", "close", "nbr_trades")
+    path = scratch_path(spark, "bars-json")
+    b.write.json(path)
+    return read_with_schema(spark, path, "json", "market string, datetime long, open double, close double, nbr_trades long")
+
+
+@register("dropped_columns")
+def q_dropped_columns(spark, sf_dir):
+    """F3 as a frame: the columns that hold a NULL are gone, all rows stay."""
+    b = bars(spark, sf_dir, stored=True).select("market", "datetime", "close", "volume", "nbr_trades")
+    return cl.drop_null_columns(b.withColumn("volume", F.when(F.pmod(floor_div("datetime", 3_600_000), F.lit(24)) != 3, F.col("volume")))
+                                .withColumn("empty", F.lit(None).cast("double")))
+
+
 @register("chunk_plan_1h")
 def q_chunk_plan_1h(spark, sf_dir):
     """G1 with the one-day gap and hourly interval."""

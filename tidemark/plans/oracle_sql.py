@@ -236,6 +236,11 @@ SELECT symbol, CAST(chunk AS INTEGER) AS chunk, start_ms + chunk * period AS win
        CAST(start_ms + chunk * period AS VARCHAR) AS startTime,
        CAST(least(start_ms + chunk * period + period, end_ms) AS VARCHAR) AS endTime
 FROM c"""
+    q["trade_list_decode"] = ("SELECT event_id AS trade_id, event_type AS symbol, user_id AS order_id, round(CAST(printf('%.8f', value) AS DOUBLE), 6) AS price, "
+                              "CAST(2 AS DOUBLE) AS qty, CAST(NULL AS DOUBLE) AS quote_qty, epoch_us(ts) // 1000 AS time, event_id % 2 = 0 AS is_buyer, "
+                              "false AS is_maker FROM events")
+    q["json_reader"] = with_bars("SELECT market, datetime, open, close, nbr_trades FROM bars")
+    q["dropped_columns"] = with_bars("SELECT market, datetime, close, nbr_trades FROM bars")
     hourly = period.replace("60000000.0", "3600000000.0")
     q["chunk_plan_1h"] = f"""
 WITH spans AS (
