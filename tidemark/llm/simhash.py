@@ -191,7 +191,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Data
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component, with all their columns."""
-    groups = simhash_groups(docs, shingle, max_bits)
-    kept = stored(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep_id")).distinct(), "op6-kept", "snappy")
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")), "left_semi")
+    """The rows of ``docs`` whose doc_id names its component, with all their
+    columns (ids that leave are few, so Spark may broadcast them below its size
+    limit instead of shuffling the texts)."""
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    groups = simhash_groups(docs, shingle, max_bits).groupBy("doc_id").agg(F.max(stays).alias("stays"))
+    gone = stored(groups.where("not stays").select(F.col("doc_id").alias("__gone_id")), "op6-gone", "snappy")
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")), "left_anti")
