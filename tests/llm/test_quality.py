@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import quality
-from tidemark.llm.linear import sigmoid
+from tidemark.llm.linear import WordWeights, sigmoid
 from tidemark.sources.tables import table
 
 SF = "/root/testdata/sf0.01"
@@ -33,7 +33,7 @@ def test_ordered_grades_are_learned():
     texts = [" ".join(rng.choice(pools[g] + ["the", "of"], 30)) for g in grades]
     weights, cuts = quality.fit(texts[:400], grades[:400])
     assert (np.diff(cuts) >= 0).all()
-    scores = quality.score_texts(texts[400:], weights)
+    scores = quality.score_texts(texts[400:], WordWeights(weights, quality.features))
     assert ((scores[:, None] >= cuts).sum(axis=1) == grades[400:]).mean() > 0.95
 
 
@@ -41,7 +41,7 @@ def test_scores_by_definition():
     rng = np.random.default_rng(2)
     weights = rng.normal(size=1 << quality.BITS)
     texts = ["", "a", "a a b", "X x!! 12 12 12", "  a\n\na "]
-    for text, got in zip(texts, quality.score_texts(texts, weights)):
+    for text, got in zip(texts, quality.score_texts(texts, WordWeights(weights, quality.features))):
         words = text.split()
         total = sum(weights[quality.features(w)].sum() for w in words) + weights[quality.REPEATED] * sum(a == b for a, b in zip(words, words[1:]))
         assert got == pytest.approx(total / max(1, len(words)))

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import decontaminate, quality
+from tidemark.llm.linear import WordWeights
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 from tidemark.sources.tables import table
 
@@ -154,9 +155,10 @@ def test_pipeline_equals_its_plain_form(spark, duck, texts, word_ids):
     graded = quality.ratings(table(spark, SF, "labels"))
     sample, grades = quality.rated_sample(docs, graded, quality.SAMPLE_ROWS)
     weights, cuts = quality.fit(sample, grades)
+    by_word = WordWeights(weights, quality.features)
     kept = {}
     for d, t in texts.items():
-        score = quality.score_texts([t], weights)[0]
+        score = quality.score_texts([t], by_word)[0]
         if 1 / (1 + np.exp(cuts[0] - score)) >= 0.6:
             kept[d] = t
     assert 0 < len(kept) < len(texts)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import toxicity as tx
+from tidemark.llm.linear import WordWeights
 from tidemark.sources.tables import table
 
 SF = "/root/testdata/sf0.01"
@@ -38,7 +39,7 @@ def test_mined_terms_and_votes():
 def test_scores_by_definition():
     weights = np.random.default_rng(4).normal(size=1 << tx.BITS)
     texts = ["", "idiot", "Idiot idiot, IDIOT scumbag", "a\nb a"]
-    for text, got in zip(texts, tx.score_texts(texts, weights, -0.5)):
+    for text, got in zip(texts, tx.score_texts(texts, WordWeights(weights, tx.features, cache_words=2), -0.5)):
         total = sum(weights[tx.features(w)].sum() for w in set(text.lower().split()))
         assert got == pytest.approx(1 / (1 + np.exp(0.5 - total)))
 

@@ -104,6 +104,22 @@ def fista(rows: Rows, gradient: Callable[[np.ndarray, np.ndarray], tuple[np.ndar
     return w, f
 
 
+class WordWeights:
+    """Summed weight of a word's features; a bounded cache keeps those of words seen."""
+
+    def __init__(self, weights: np.ndarray, features: Callable[[str], list[int]], cache_words: int = 300_000):
+        used = np.flatnonzero(weights)
+        self.weights = dict(zip(used.tolist(), weights[used].tolist()))
+        self.features, self.cache_words, self.cache = features, cache_words, {}
+
+    def of(self, words: list[str]) -> np.ndarray:
+        known, weight, features = self.cache, self.weights.get, self.features
+        out = np.fromiter((known[w] if w in known else sum([weight(f, 0.0) for f in features(w)]) for w in words), np.float64, len(words))
+        if len(known) < self.cache_words:
+            known.update(zip(words[:self.cache_words - len(known)], out.tolist()))
+        return out
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_text, stored, text_batches
-from tidemark.llm.linear import batch_words, bucket, fista, shape, sigmoid, sum_by_text, text_rows, word_features
+from tidemark.llm.linear import WordWeights, batch_words, bucket, fista, shape, sigmoid, sum_by_text, text_rows, word_features
 
 BITS = 18
 SAMPLE_ROWS = 4000
@@ -71,16 +71,17 @@ def fit(texts: list[str], grades: np.ndarray, l1: float = 1e-4, l2: float = 1e-6
     return rows.weights(w, 1 << BITS), cuts
 
 
-def score_texts(texts: list[str], weights: np.ndarray) -> np.ndarray:
+def score_texts(texts: list[str], weights: WordWeights) -> np.ndarray:
     """Mean weight over all words of each text."""
+    repeated = weights.weights.get(REPEATED, 0.0)
     out = np.zeros(len(texts))
     for a, b, words, which, at in batch_words(texts, False):
-        own = np.fromiter((weights[features(w)].sum() for w in words), np.float64, len(words))
+        own = weights.of(words)
         each = own[which]
         if len(each):
             same = np.append(False, which[1:] == which[:-1])
             same[at[:-1][at[:-1] < len(which)]] = False
-            each = each + weights[REPEATED] * same
+            each = each + repeated * same
         out[a:b] = sum_by_text(each, at) / np.maximum(1, np.diff(at))
     return out
 
@@ -106,8 +107,9 @@ def grade(docs: DataFrame, graded: DataFrame, at_least: int = 1, sample_rows: in
         index, value, thresholds = model.value
         w = np.zeros(1 << BITS)
         w[index] = value
+        by_word = WordWeights(w, features)
         for batch in text_batches(batches):
-            score = score_texts(batch["text"].to_pylist(), w)
+            score = score_texts(batch["text"].to_pylist(), by_word)
             tails = sigmoid(score[:, None] - thresholds[None, :])
             none = np.full(len(score), not len(thresholds))
             tail = tails[:, at_least - 1] if len(thresholds) >= at_least else np.zeros(len(score))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_text, text_batches
-from tidemark.llm.linear import batch_words, bucket, fista, sigmoid, text_rows, word_features
+from tidemark.llm.linear import WordWeights, batch_words, bucket, fista, sigmoid, text_rows, word_features
 
 BITS = 18
 SAMPLE_ROWS = 2000
@@ -191,11 +191,11 @@ def fit(texts: list[str], known: np.ndarray) -> tuple[np.ndarray, float]:
     return fit_linear(texts, posterior)
 
 
-def score_texts(texts: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
+def score_texts(texts: list[str], weights: WordWeights, bias: float) -> np.ndarray:
     """Score of each text from 0 to 1, over all its words."""
     out = np.zeros(len(texts))
     for a, b, words, which, at in batch_words(texts, True):
-        own = np.fromiter((weights[features(w)].sum() for w in words), np.float64, len(words))
+        own = weights.of(words)
         hit = np.flatnonzero(own[which])
         text = np.searchsorted(at, hit, "right") - 1
         once = np.unique(text * len(words) + which[hit])         # equal words of a text count once
@@ -229,8 +229,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         index, value, offset = model.value
         w = np.zeros(1 << BITS)
         w[index] = value
+        by_word = WordWeights(w, features)
         for batch in text_batches(batches):
-            score = score_texts(batch["text"].to_pylist(), w, offset)
+            score = score_texts(batch["text"].to_pylist(), by_word, offset)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                                              ["doc_id", "held_out", "score", "predicted"])
 
