@@ -53,7 +53,7 @@ class WordTokenizer:
     tokenizer of any other make always does.
     """
 
-    def __init__(self, path: str, cache_words: int = 300_000):
+    def __init__(self, path: str, cache_words: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         with open(path, encoding="utf-8") as f:
@@ -164,7 +164,7 @@ def byte_alphabet() -> dict[int, str]:
 _TOKENIZERS: dict[tuple, WordTokenizer] = {}
 
 
-def word_tokenizer(path: str, cache_words: int = 300_000) -> WordTokenizer:
+def word_tokenizer(path: str, cache_words: int = 150_000) -> WordTokenizer:
     """One tokenizer and cache for each path and Python worker."""
     key = (path, cache_words)
     if key not in _TOKENIZERS:
