@@ -62,6 +62,13 @@ def test_held_out_labels_do_not_count(spark):
     assert a[0] == b[0] and a[1].tolist() == b[1].tolist()
 
 
+def test_fit_takes_3000_rows_of_each_kind(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(tx, "fit", lambda texts, known: seen.update(known=known) or (np.zeros(1 << tx.BITS), 0.0))
+    tx.toxicity(table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels"))
+    assert (seen["known"] >= 0).sum() == 3000 and (seen["known"] < 0).sum() == 3000
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     schema = "doc_id long, toxic int, quality int"
     labels = spark.createDataFrame([(1, 0, 1), (2, 1, 1), (6, None, 1), (None, 1, 1), (9, 0, 1), (77, 1, 0)], schema)

@@ -33,7 +33,7 @@ from tidemark.llm.common import id_text, text_batches
 from tidemark.llm.linear import WordWeights, batch_words, bucket, fista, sigmoid, text_rows, word_features
 
 BITS = 18
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 3000
 PREFIXES = (4, 5)
 LEAST_ROWS = 4          # rows of the sample that a feature must occur in
 LEXICON = ["idiot", "idiots", "moron", "morons", "stupid", "dumb", "loser", "losers", "scum", "trash", "garbage", "pathetic", "worthless",
