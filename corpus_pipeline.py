@@ -27,7 +27,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.keep_clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemark.llm.decontaminate import ItemIndex, Searcher, keep_clean, leaks, question_answer, shingles, words_of
+from tidemark.llm.decontaminate import ItemIndex, Searcher, keep_clean, keep_clean_rows, leaks, question_answer, shingles, words_of
 
 rnd = random.Random(7)
 WORDS = [f"w{k}" for k in range(400)] + ["the", "of", "and"] * 30
@@ -109,3 +109,15 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert leaks(edge_docs, items.limit(0)).count() == 0 and keep_clean(edge_docs, items.limit(0)).count() == edge_docs.count()
 
 
+
+
+@pytest.mark.parametrize("index_bytes", [1 << 22, 100])
+def test_each_row_is_decided_by_itself(spark, edge_docs, no_docs, index_bytes):
+    leak, clean = ITEMS[5][1], "nothing of the benchmark stands here at all"
+    items = spark.createDataFrame(ITEMS[4:8], "item_id long, text string")
+    rows = [(None, leak, 1), (None, clean, 2), (None, None, 3), (7, leak, 4), (7, clean, 5), (8, ITEMS[6][1], 6), (9, clean, None)]
+    out = keep_clean_rows(spark.createDataFrame(rows, "doc_id long, text string, n long"), items, index_bytes=index_bytes)
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [(None, clean, 2), (None, None, 3), (7, clean, 5), (9, clean, None)]))
+    assert keep_clean_rows(edge_docs, items, index_bytes=index_bytes).schema == edge_docs.schema
+    assert keep_clean_rows(edge_docs, items).count() == edge_docs.count() and keep_clean_rows(no_docs, items).count() == 0
+    assert keep_clean_rows(edge_docs, items.limit(0)).count() == edge_docs.count()

@@ -69,3 +69,15 @@ def test_edge_rows(spark, edge_docs, no_docs):
     none = quality.select(edge_docs, graded.limit(0)).collect()       # no model: all stay
     assert all(r["kept"] and r["expected_grade"] is None for r in none) and quality.keep_good(edge_docs, graded.limit(0)).count() == edge_docs.count()
     assert quality.select(edge_docs, graded.where("grade = 2")).where("kept").count() == edge_docs.count()
+
+
+def test_each_row_is_decided_by_itself(spark):
+    docs, graded = table(spark, SF, "documents").select("doc_id", "text"), quality.ratings(table(spark, SF, "labels"))
+    judged = {r["doc_id"]: r["kept"] for r in quality.select(docs, graded).collect()}
+    good, bad = (sorted(d for d, k in judged.items() if k is kept)[0] for kept in (True, False))
+    extra = docs.where(F.col("doc_id").isin(good, bad))
+    shared = [extra.select(F.lit(i).cast("long").alias("doc_id"), "text") for i in (None, -5)]
+    got = quality.keep_good(docs.unionByName(shared[0]).unionByName(shared[1]), graded).collect()
+    text = docs.where(F.col("doc_id") == good).first()["text"]
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] not in (None, -5)) == sorted(d for d, k in judged.items() if k)
+    assert [r["text"] for r in got if r["doc_id"] is None] == [text] and [r["text"] for r in got if r["doc_id"] == -5] == [text]

@@ -93,3 +93,13 @@ def test_one_document_of_a_group_stays(edge_docs, no_docs):
     ids = [r["doc_id"] for r in out.collect()]
     assert 1 in ids and 2 not in ids and 3 in ids and 4 not in ids and 5 not in ids
     assert keep_first(no_docs).count() == 0 and simhash_groups(no_docs).count() == 0
+
+
+def test_each_row_is_decided_by_itself(spark):
+    near = "one two three four five six seven eight"
+    other = "quite another text about ships and the sea in winter"
+    rows = [(None, near), (None, near.upper()), (None, other), (1, other), (1, near + " "), (2, "a third text on its own here"), (2, other), (3, None), (3, None)]
+    got = sorted(map(str, ((r["doc_id"], (r["text"] or "").lower().strip()) for r in keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
+    assert got == sorted(map(str, [(1, other), (1, near), (2, "a third text on its own here"), (3, "")]))
+    alone = keep_first(spark.createDataFrame([(None, near), (None, near.upper()), (None, near + "\n"), (None, other)], "doc_id long, text string")).collect()
+    assert sorted(r["text"].lower().strip() for r in alone) == sorted([near, other])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +87,7 @@ def binary_array(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
                                             [None, pa.py_buffer(ends), pa.py_buffer(values)]).cast(pa.binary())
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], limit: int = TEXT_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterator[pa.RecordBatch], limit: int = TEXT_BYTES, column: str | int = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text (one row at
     least), so a task's memory does not follow the length of the texts."""
     for batch in batches:
@@ -100,6 +100,20 @@ def text_batches(batches: Iterator[pa.RecordBatch], limit: int = TEXT_BYTES, col
         pa.default_memory_pool().release_unused()
 
 
+def filter_texts(docs: DataFrame, judge: Callable[[], Callable[[list[str]], np.ndarray]]) -> DataFrame:
+    """The rows of ``docs`` whose text is accepted, with all their columns: each row
+    is decided by itself, in one pass and without its id. ``judge`` is called once
+    in a task and gives a function from texts to booleans; a null text is empty."""
+    at = [c.lower() for c in docs.columns].index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        accept = judge()
+        for batch in text_batches(batches, column=at):
+            yield batch.filter(pa.array(accept(pc.fill_null(batch[at], "").to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def batches_of(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
     """Index ranges of ``texts`` with about ``limit`` characters each (one text at least)."""
     start, size = 0, 0

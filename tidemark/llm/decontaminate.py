@@ -17,13 +17,14 @@ document frequencies of all items.
 Defined results: a null or empty item never matches; a null or empty document
 has no passages; null ids are kept as they are; repeated documents are each
 reported; of items with equal text each is reported; an empty table gives no
-rows; further columns are ignored by ``leaks`` and kept by ``keep_clean``.
+rows; further columns are ignored by ``leaks`` and kept by ``keep_clean`` and
+``keep_clean_rows``.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -32,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, id_text, ragged_gather, runs, stored, text_batches, text_or_empty
+from tidemark.llm.common import batches_of, filter_texts, id_text, ragged_gather, runs, stored, text_batches, text_or_empty
 
 K1, B = 1.2, 0.75
 ITEM_BLOCK = 2          # items under one upper bound, more if there are over MAX_BLOCKS of them
@@ -251,6 +252,32 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: fl
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
+    """The rows of ``docs`` whose doc_id (null equal to null) has no row that holds
+    an item, with all their columns; ``keep_clean_rows`` decides each row by itself."""
     found = stored(leaks(docs, items, **options).select(F.col("doc_id").alias("__leak_id")).distinct(), "op7-leaks", "snappy")
     return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak_id")), "left_anti")
+
+
+def keep_clean_rows(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: float = 0.8, shingle: int = 5, index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns; each row is
+    decided by itself. Between the passes of several indexes the rows are stored,
+    so a task holds one index."""
+
+    def clean(rows: DataFrame, index: ItemIndex) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def judge() -> Callable[[list[str]], np.ndarray]:
+            searcher = Searcher(shared.value, shingle)
+
+            def accept(texts: list[str]) -> np.ndarray:
+                keep = np.ones(len(texts), bool)
+                keep[[r[0] for r in searcher.leaks(texts, threshold, overlap)]] = False
+                return keep
+
+            return accept
+
+        return filter_texts(rows, judge)
+
+    for k, index in enumerate(item_indexes(items, shingle, index_bytes)):
+        docs = clean(stored(docs, "op7-clean", "snappy") if k else docs, index)
+    return docs

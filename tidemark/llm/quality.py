@@ -19,14 +19,15 @@ by ``keep_good``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, stored, text_batches
+from tidemark.llm.common import filter_texts, id_text, text_batches
 from tidemark.llm.linear import WordWeights, batch_words, bucket, fista, shape, sigmoid, sum_by_text, text_rows, word_features
 
 BITS = 18
@@ -94,25 +95,39 @@ def rated_sample(docs: DataFrame, graded: DataFrame, sample_rows: int) -> tuple[
     return [r["text"] for r in rows], np.array([r["grade"] for r in rows], np.int64)
 
 
-def grade(docs: DataFrame, graded: DataFrame, at_least: int = 1, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, score, expected_grade, tail_probability) of each row of ``docs``
-    (doc_id, text); the tail is P(grade >= ``at_least``). ``graded``: (doc_id, grade)."""
+def fitted_model(docs: DataFrame, graded: DataFrame, sample_rows: int) -> Broadcast:
+    """(used buckets, their weights, thresholds), no thresholds without rated rows of two grades."""
     texts, grades = rated_sample(docs, graded, sample_rows)
     fitted = len(set(grades.tolist())) > 1
     weights, cuts = fit(texts, grades) if fitted else (np.zeros(1 << BITS), np.zeros(0))
     used = np.flatnonzero(weights)
-    model = docs.sparkSession.sparkContext.broadcast((used, weights[used], cuts))
+    return docs.sparkSession.sparkContext.broadcast((used, weights[used], cuts))
+
+
+def word_weights(index: np.ndarray, value: np.ndarray) -> WordWeights:
+    w = np.zeros(1 << BITS)
+    w[index] = value
+    return WordWeights(w, features)
+
+
+def tail_probability(tails: np.ndarray, at_least: int) -> np.ndarray:
+    """P(grade >= ``at_least``), 0 above the highest grade."""
+    return tails[:, at_least - 1] if tails.shape[1] >= at_least else np.zeros(len(tails))
+
+
+def grade(docs: DataFrame, graded: DataFrame, at_least: int = 1, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, score, expected_grade, tail_probability) of each row of ``docs``
+    (doc_id, text); the tail is P(grade >= ``at_least``). ``graded``: (doc_id, grade)."""
+    model = fitted_model(docs, graded, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, value, thresholds = model.value
-        w = np.zeros(1 << BITS)
-        w[index] = value
-        by_word = WordWeights(w, features)
+        by_word = word_weights(index, value)
         for batch in text_batches(batches):
             score = score_texts(batch["text"].to_pylist(), by_word)
             tails = sigmoid(score[:, None] - thresholds[None, :])
             none = np.full(len(score), not len(thresholds))
-            tail = tails[:, at_least - 1] if len(thresholds) >= at_least else np.zeros(len(score))
+            tail = tail_probability(tails, at_least)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(score), pa.array(tails.sum(axis=1), mask=none), pa.array(tail, mask=none)],
                                              ["doc_id", "score", "expected_grade", "tail_probability"])
 
@@ -125,10 +140,17 @@ def select(docs: DataFrame, graded: DataFrame, at_least: int = 1, least_tail: fl
 
 
 def keep_good(docs: DataFrame, graded: DataFrame, at_least: int = 1, least_tail: float = 0.6, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs`` that ``select`` keeps, with all their columns.
+    """The rows of ``docs`` that ``select`` keeps, with all their columns; each row is decided by itself."""
+    model = fitted_model(docs, graded, sample_rows)
+
+    def judge() -> Callable[[list[str]], np.ndarray]:
+        index, value, thresholds = model.value
+        by_word = word_weights(index, value)
+
+        def accept(texts: list[str]) -> np.ndarray:
+            tails = sigmoid(score_texts(texts, by_word)[:, None] - thresholds[None, :])
+            return tail_probability(tails, at_least) >= least_tail if len(thresholds) else np.ones(len(texts), bool)
+
+        return accept
 
-    Rows of one doc_id with different texts share the decision of the best."""
-    rejected = (select(docs, graded, at_least, least_tail, sample_rows).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-                .where("not kept").select(F.col("doc_id").alias("__reject_id")))
-    rejected = stored(rejected, "op3-rejected", "snappy")
-    return docs.join(rejected, F.col("doc_id").cast("long").eqNullSafe(F.col("__reject_id")), "left_anti")
+    return filter_texts(docs, judge)

@@ -16,7 +16,8 @@ components of the full link graph is lost by that.
 Defined results: a null or wordless text has fingerprint zero and links like
 any other; fewer words than a shingle hash as one sequence; a null doc_id is
 kept (its component is that of its links, null if they have no id); repeated
-rows are kept; an empty table gives no rows; further columns are ignored.
+rows each have their group; an empty table gives no rows; further columns are
+ignored by ``simhash_groups`` and kept by ``keep_first``.
 """
 
 from __future__ import annotations
@@ -27,11 +28,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_text, stored, text_batches
 from tidemark.llm.components import components
+from tidemark.llm.exact_dedup import digest
 
 HASHES = 1 << 18        # shingle hashes counted at once
 VARIANTS = 1 << 22      # variants sorted at once
@@ -62,13 +64,19 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, fp) of ``docs`` (doc_id, text), fp the 64 bits as a signed long."""
+    return with_fingerprints(id_text(docs), shingle)
+
+
+def with_fingerprints(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows`` with the fingerprint fp instead of their text."""
+    others = [f for f in rows.schema if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             fps = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in others), pa.array(fps.view(np.int64))], [*(f.name for f in others), "fp"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in others), "fp long"]))
 
 
 def flips(first: int, last: int, radius: int) -> np.ndarray:
@@ -178,23 +186,37 @@ def links(distinct: DataFrame, max_bits: int = 4, lead: int | None = None) -> Da
             .groupBy("bucket").applyInArrow(meet, "a long, b long").distinct())
 
 
+def least_by_component(rows: DataFrame, value: Column, max_bits: int) -> DataFrame:
+    """(fp, least): the least ``value`` of all ``rows`` (fp, ...) in the component of each fingerprint."""
+    classes = stored(rows.groupBy("fp").agg(F.min(value).alias("first")), "op6-classes", "snappy")
+    found = components(links(classes, max_bits))
+    linked = classes.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = linked.groupBy("root").agg(F.min("first").alias("least"))
+    return stored(linked.join(least, "root").select("fp", "least"), "op6-components", "snappy")
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable
     over links of at most ``max_bits`` differing bits."""
     rows = stored(fingerprints(docs, shingle), "op6-fingerprints", "snappy")
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "op6-classes", "snappy")
-    found = components(links(classes, max_bits))
-    linked = classes.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stored(linked.join(least, "root").select("fp", "component_id"), "op6-components", "snappy")
-    return rows.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
+    named = least_by_component(rows, F.col("doc_id"), max_bits)
+    return rows.join(named.hint("merge"), "fp").select("doc_id", "fp", F.col("least").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component, with all their
-    columns (ids that leave are few, so Spark may broadcast them below its size
-    limit instead of shuffling the texts)."""
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    groups = simhash_groups(docs, shingle, max_bits).groupBy("doc_id").agg(F.max(stays).alias("stays"))
-    gone = stored(groups.where("not stays").select(F.col("doc_id").alias("__gone_id")), "op6-gone", "snappy")
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")), "left_anti")
+    """One row of ``docs`` for each component, with all its columns: the one of the
+    smallest doc_id (null last), then of the smallest digest of the text. Rows that
+    leave are named by doc_id and digest (they are few, so Spark may broadcast them
+    below its size limit instead of shuffling the texts)."""
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    rows = stored(with_fingerprints(id_text(docs).withColumn("digest", digest()), shingle), "op6-fingerprints", "snappy")
+    named = least_by_component(rows, key, max_bits)
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("digest") == F.col("least.digest"))
+    judged = stored(rows.join(named.hint("merge"), "fp").groupBy("doc_id", "digest", stays.alias("stays")).count(), "op6-judged", "snappy")
+    gone = judged.where("not stays").select(F.col("doc_id").alias("__gone_id"), F.col("digest").alias("__gone_digest"))
+    gone = stored(gone, "op6-gone", "snappy")
+    out = docs.withColumn("__digest", digest()).join(
+        gone, (F.col("__digest") == F.col("__gone_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")), "left_anti")
+    if not judged.where("stays and count > 1").isEmpty():            # exact copies under one id
+        out = out.dropDuplicates(["doc_id", "__digest"])
+    return out.drop("__digest")
