@@ -1,4 +1,4 @@
-from conftest import bar_rows
+from bar_frames import bar_rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import clean_bars, drop_null_columns, kept_columns

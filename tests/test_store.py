@@ -40,7 +40,7 @@ def test_store_without_calendar_columns_fails_early(spark):
 
 
 def test_one_whole_row_per_key(spark):
-    from conftest import bar_rows
+    from bar_frames import bar_rows
     b = bar_rows(spark, [("a", 0, 10.0), ("a", 1, 20.0)])
     later = b.where("datetime = 0").withColumn("close", F.lit(9.0)).withColumn("high", F.lit(1.0)).withColumn("nbr_trades", F.lit(4).cast("long"))
     got = {r["datetime"]: (r["close"], r["high"], r["nbr_trades"]) for r in store.unique_bars(b.unionByName(later).unionByName(b)).collect()}
