@@ -6,10 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from public_tokenizers import path as tokenizer_file
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, huffman, packing, quality, simhash, token_counts, toxicity, url_filter, warc
+from tidemark.llm import decontaminate, exact_dedup, huffman, merkle, packing, quality, simhash, token_counts, toxicity, url_filter, warc
 from tidemark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; those whose crc32 of the id is divisible by 7 are checked with n_chars + 1."""
+    def tampered(fields: dict[str, Column]) -> dict[str, Column]:
+        more = fields["n_chars"].cast("decimal(20,0)") + 1
+        return {**fields, "n_chars": F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, more).otherwise(fields["n_chars"])}
+
+    return merkle.verified(merkle.manifest(table(spark, sf_dir, "documents"), tampered))
+
+
 QUERIES: dict[str, Query] = {
     "op1_huffman_ids": op1_huffman_ids,
     "op2_exact_dedup": op2_exact_dedup,
@@ -84,8 +93,16 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
+# unsigned crc32 of a number's decimal text
+CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({} AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+# a row's fields with their lengths
+LEAF = " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", "text"))
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
@@ -124,4 +141,30 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND nth > 1 THEN first_id END AS refers_to
 FROM n
 """,
+    "op12_merkle_manifest": """
+WITH RECURSIVE f AS (SELECT *, """ + CRC32.format("doc_id") + """ % 7 = 0 AS tampered FROM documents),
+d AS (SELECT doc_id, lang, sha256({own}) AS leaf, CASE WHEN tampered THEN sha256({other}) END AS other FROM f),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM d),
+t AS (SELECT lang, 0 AS level, idx, n, leaf AS digest FROM o
+      UNION ALL SELECT lang, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM t WHERE n > 1 GROUP BY lang, level, idx // 2, n),
+s AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS level, idx, n, subroot AS digest FROM s
+      UNION ALL SELECT level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM u WHERE n > 1 GROUP BY level, idx // 2, n),
+r AS (SELECT digest AS root FROM u WHERE n = 1),
+steps AS (SELECT o.doc_id, o.leaf, t.level, t.digest AS sibling, t.idx % 2 = 0 AS on_left
+          FROM o JOIN t ON t.lang IS NOT DISTINCT FROM o.lang AND t.n > 1 AND t.idx = xor(o.idx >> t.level, 1)
+          UNION ALL SELECT o.doc_id, o.leaf, 100 + u.level, u.digest, u.idx % 2 = 0
+          FROM o JOIN s ON s.lang IS NOT DISTINCT FROM o.lang JOIN u ON u.n > 1 AND u.idx = xor(s.idx >> u.level, 1)),
+levels AS (SELECT DISTINCT lang, level FROM t WHERE n > 1),
+path AS (SELECT o.doc_id, o.leaf, l.level FROM o JOIN levels l ON l.lang IS NOT DISTINCT FROM o.lang
+         UNION ALL SELECT o.doc_id, o.leaf, 100 + level FROM o, (SELECT DISTINCT level FROM u WHERE n > 1)),
+whole AS (SELECT p.doc_id, p.leaf, p.level, s.sibling, s.on_left FROM path p
+          LEFT JOIN steps s ON s.doc_id IS NOT DISTINCT FROM p.doc_id AND s.leaf = p.leaf AND s.level = p.level),
+way AS (SELECT doc_id, leaf, list(struct_pack(sibling := sibling, on_left := on_left) ORDER BY level) AS up, coalesce(string_agg(sibling, '' ORDER BY level), '') AS proof
+        FROM whole GROUP BY doc_id, leaf),
+v AS (SELECT o.doc_id, o.leaf, s.subroot, r.root, coalesce(w.proof, '') AS proof, list_reduce(list_prepend(struct_pack(sibling := coalesce(o.other, o.leaf), on_left := true), coalesce(w.up, [])),
+        lambda a, b: struct_pack(sibling := sha256(CASE WHEN b.sibling IS NULL THEN a.sibling WHEN b.on_left THEN b.sibling || a.sibling ELSE a.sibling || b.sibling END), on_left := true)).sibling AS folded
+      FROM o JOIN s ON s.lang IS NOT DISTINCT FROM o.lang CROSS JOIN r LEFT JOIN way w ON w.doc_id IS NOT DISTINCT FROM o.doc_id AND w.leaf = o.leaf)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM v
+""".replace("{own}", LEAF).replace("{other}", LEAF.replace("CAST(n_chars AS VARCHAR)", "CAST(n_chars::HUGEINT + 1 AS VARCHAR)")),
 }
