@@ -9,7 +9,7 @@ from public_tokenizers import path as tokenizer_file
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, huffman, merkle, packing, quality, simhash, token_counts, toxicity, url_filter, warc
+from tidemark.llm import decontaminate, exact_dedup, huffman, license_scan, merkle, packing, prefix_trie, quality, simhash, token_counts, toxicity, url_filter, warc
 from tidemark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    turns, convs = prefix_trie.rebuilt(prefix_trie.turns_of(table(spark, sf_dir, "conversations")), block=20, most=4)
+    return prefix_trie.trie(turns, convs)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents; those whose crc32 of the id is divisible by 7 are checked with n_chars + 1."""
     def tampered(fields: dict[str, Column]) -> dict[str, Column]:
@@ -82,6 +88,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(merkle.manifest(table(spark, sf_dir, "documents"), tampered))
 
 
+LICENSE_PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), LICENSE_PHRASES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_huffman_ids": op1_huffman_ids,
     "op2_exact_dedup": op2_exact_dedup,
@@ -93,7 +106,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_license_scan": op13_license_scan,
 }
 
 # unsigned crc32 of a number's decimal text
@@ -103,6 +118,11 @@ CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
 # a row's fields with their lengths
 LEAF = " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", "text"))
 
+# the templates of the license scan: text, label, whether a phrase
+TEMPLATES = ", ".join("('{}', '{}', {})".format(text.replace("'", "''"), label, phrase) for phrase, pairs in
+                      ((True, LICENSE_PHRASES), (False, [(t, name) for name, t in license_scan.LICENSES])) for text, label in pairs)
+LICENSE_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
@@ -140,6 +160,24 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND nth > 1 AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND nth > 1 THEN first_id END AS refers_to
 FROM n
+""",
+    "op11_prefix_trie": """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) - 1 AS place FROM t),
+c AS (SELECT conv_id, coalesce(""" + CRC32.format("conv_id") + """ % 4, 0) AS h, conv_id - conv_id % 20 AS base FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS own, o.place, o.role, o.text FROM c JOIN o ON o.conv_id = c.base AND o.place < c.h
+      UNION ALL SELECT c.conv_id, 1, o.place, o.role, o.text FROM c JOIN o ON o.conv_id IS NOT DISTINCT FROM c.conv_id AND o.place >= c.h),
+s AS (SELECT c.conv_id, coalesce(list(struct_pack(role := r.role, text := r.text) ORDER BY own, place) FILTER (WHERE r.place IS NOT NULL), []) AS turns
+      FROM c LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id),
+m AS (SELECT conv_id, d, turns[1:d] AS node, d = len(turns) AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM s)),
+n AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends FROM m GROUP BY node, d),
+k AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+u AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+             CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(node[d].text, '[^\x20\x09-\x0D]+')) END AS save FROM n LEFT JOIN k USING (node)),
+b AS (SELECT node[1:j] AS node, CAST(count_if(n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(save) AS BIGINT) AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM u) GROUP BY 1)
+SELECT u.conv_id, u.d AS depth, p.conv_id AS parent_conv_id, u.n_convs, u.n_children, b.n_leaves, b.saved_tokens, sha256(u.ends) AS ends_sha256
+FROM u JOIN b USING (node) LEFT JOIN n p ON u.d > 0 AND p.node = u.node[1:u.d - 1]
 """,
     "op12_merkle_manifest": """
 WITH RECURSIVE f AS (SELECT *, """ + CRC32.format("doc_id") + """ % 7 = 0 AS tampered FROM documents),
@@ -167,4 +205,23 @@ v AS (SELECT o.doc_id, o.leaf, s.subroot, r.root, coalesce(w.proof, '') AS proof
       FROM o JOIN s ON s.lang IS NOT DISTINCT FROM o.lang CROSS JOIN r LEFT JOIN way w ON w.doc_id IS NOT DISTINCT FROM o.doc_id AND w.leaf = o.leaf)
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM v
 """.replace("{own}", LEAF).replace("{other}", LEAF.replace("CAST(n_chars AS VARCHAR)", "CAST(n_chars::HUGEINT + 1 AS VARCHAR)")),
+    "op13_license_scan": f"""
+WITH f AS (SELECT row_number() OVER () AS t, label, phrase, CASE WHEN phrase THEN 2 ELSE 5 END AS k, {LICENSE_WORDS} AS ws FROM (VALUES {TEMPLATES}) AS v(text, label, phrase)),
+tg AS (SELECT t, k, p - 1 AS position, list_aggregate(ws[p:p + k - 1], 'string_agg', ' ') AS gram FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS p FROM f)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {LICENSE_WORDS} AS ws FROM documents),
+w AS (SELECT r, p - 1 AS word, ws[p] AS a, ws[p + 1] AS b, ws[p + 2] AS c, ws[p + 3] AS e, ws[p + 4] AS g FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS p FROM d)),
+h AS (SELECT r, t, word - position AS start, position FROM w JOIN tg ON k = 2 AND gram = a || ' ' || b
+      UNION ALL SELECT r, t, word - position, position FROM w JOIN tg ON k = 5 AND gram = a || ' ' || b || ' ' || c || ' ' || e || ' ' || g),
+v AS (SELECT r, t, start, list(DISTINCT position) AS positions FROM h GROUP BY r, t, start),
+places AS (SELECT r, label, true AS phrase, start, 1.0::DOUBLE AS share FROM v JOIN f USING (t) WHERE phrase AND len(positions) = len(ws) - 1),
+texts AS (SELECT x.r, label, false AS phrase, x.start, len(list_distinct(flatten(list_transform(flatten(list(y.positions)), lambda p: range(p, p + 5))))) / len(any_value(ws)) AS share
+          FROM v x JOIN f ON f.t = x.t AND NOT phrase JOIN v y ON y.r = x.r AND y.t = x.t AND abs(y.start - x.start) <= {license_scan.SLACK} GROUP BY x.r, x.t, label, x.start),
+s AS (SELECT * FROM places UNION ALL SELECT * FROM texts),
+g AS (SELECT r, count_if(phrase) AS n_base, min(start) FILTER (WHERE phrase) AS first_word, max(start) FILTER (WHERE phrase) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE phrase) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE phrase OR share >= {license_scan.LEAST_SHARE}) AS labels, max(share) AS score FROM s GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN g USING (r)
+""",
 }
