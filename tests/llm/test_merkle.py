@@ -67,11 +67,11 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-def found(spark, rows):
+def found(spark, rows, **how):
     def tampered(fields):
         return {**fields, "n_chars": F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, fields["n_chars"].cast("decimal(20,0)") + 1).otherwise(fields["n_chars"])}
     df = spark.createDataFrame([(*r, *"abcdef") for r in rows], SCHEMA).repartition(5)
-    return sorted((tuple(r) for r in merkle.verified(merkle.manifest(df, tampered)).collect()), key=str)
+    return sorted((tuple(r) for r in merkle.verified(merkle.manifest(df, tampered, **how)).collect()), key=str)
 
 
 def rows_of(n, langs, seed):
@@ -90,10 +90,9 @@ def test_equals_brute_force(spark, rows):
     assert found(spark, rows) == brute(rows)
 
 
-def test_blocks_of_more_than_one_round(spark, monkeypatch):
-    monkeypatch.setattr(merkle, "LEVELS", 2)
+def test_blocks_of_more_than_one_round(spark):
     rows = rows_of(150, ["en"] * 8 + ["de", "xx"], 3)
-    assert found(spark, rows) == brute(rows)
+    assert found(spark, rows, levels=2) == brute(rows)
 
 
 def test_tampering_is_found_and_only_that(spark):

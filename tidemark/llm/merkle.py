@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -80,12 +81,12 @@ def siblings(proof: bytes) -> bytes:
     return b"".join(out)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _blocks(batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[tuple]:
     """(group, level, first index, nodes of the level, digests) of blocks of sorted rows."""
     current, digests = None, []
     for batch in batches:
         for g, level, idx, n, digest in zip(*(batch[c].to_pylist() for c in ("g", "level", "idx", "n", "data"))):
-            key = (g, level, idx >> LEVELS << LEVELS, n)
+            key = (g, level, idx >> levels << levels, n)
             if key != current:
                 if digests:
                     yield *current, digests
@@ -95,11 +96,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield *current, digests
 
 
-def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of the next LEVELS levels, and the nodes that stand above them."""
+def _grow(batches: Iterator[pa.RecordBatch], levels: int) -> Iterator[pa.RecordBatch]:
+    """Edges of the next ``levels`` levels, and the nodes that stand above them."""
     rows: list[tuple] = []
-    for g, level, first, n, digests in _blocks(batches):
-        top = level + LEVELS
+    for g, level, first, n, digests in _blocks(batches, levels):
+        top = level + levels
         while n > 1 and level < top:
             above = []
             for k in range(0, len(digests), 2):
@@ -121,14 +122,14 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [f.split()[0] for f in _NODES.split(", ")])
 
 
-def tree(leaves: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+def tree(leaves: DataFrame, name: str, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
     """``leaves`` (g, idx, n, data: digest; n the leaves of group g) → edges (g,
     level, idx, data: segment towards the parent) and roots (g, data: digest)."""
     nodes, edges, roots = leaves.withColumn("level", F.lit(0)), None, None
     while True:
         made = stored(nodes.select("g", "level", "idx", "n", "data")
-                      .repartition(shuffle_count(leaves.sparkSession), "g", F.shiftright("idx", LEVELS))
-                      .sortWithinPartitions("g", "idx").mapInArrow(_grow, _NODES), name)
+                      .repartition(shuffle_count(leaves.sparkSession), "g", F.shiftright("idx", levels))
+                      .sortWithinPartitions("g", "idx").mapInArrow(partial(_grow, levels=levels), _NODES), name)
         own_edges, own_roots = made.where(f"kind = {_EDGE}").select("g", "level", "idx", "data"), made.where(f"kind = {_ROOT}").select("g", "data")
         edges = own_edges if edges is None else edges.union(own_edges)
         roots = own_roots if roots is None else roots.union(own_roots)
@@ -154,7 +155,7 @@ def jump(edges: DataFrame, depth: int) -> DataFrame:
 
 
 def manifest(docs: DataFrame, tampered: Callable[[dict[str, Column]], dict[str, Column]] | None = None, fields: tuple[str, ...] = FIELDS,
-             id_col: str = "doc_id", group_col: str = "lang") -> DataFrame:
+             id_col: str = "doc_id", group_col: str = "lang", levels: int = LEVELS) -> DataFrame:
     """A row for each row of ``docs``: (doc_id, leaf, other, subroot, root, proof),
     digests of 32 bytes, ``proof`` for ``fold``.
 
@@ -175,8 +176,8 @@ def manifest(docs: DataFrame, tampered: Callable[[dict[str, Column]], dict[str,
         return spark.createDataFrame([], "doc_id long, leaf binary, other binary, subroot binary, root binary, proof binary")
     leaves = stored(placed.join(groups, F.col("part").eqNullSafe(F.col("g_part"))).select("g", F.col("place").alias("idx"), "n", "doc_id", "leaf", "other"),
                     "op12-placed", "snappy")
-    edges, subroots = tree(leaves.select("g", "idx", "n", F.col("leaf").alias("data")), "op12-tree")
-    top_edges, top_roots = tree(subroots.select(F.lit(TOP).cast("long").alias("g"), F.col("g").alias("idx"), F.lit(most["groups"]).cast("long").alias("n"), "data"), "op12-top")
+    edges, subroots = tree(leaves.select("g", "idx", "n", F.col("leaf").alias("data")), "op12-tree", levels)
+    top_edges, top_roots = tree(subroots.select(F.lit(TOP).cast("long").alias("g"), F.col("g").alias("idx"), F.lit(most["groups"]).cast("long").alias("n"), "data"), "op12-top", levels)
     root = bytes(top_roots.first()["data"])                    # one row
 
     # every subroot stands at the level of the highest tree: lower trees reach it by empty segments

@@ -79,10 +79,10 @@ def _part(start: int) -> Column:
     return F.conv(F.substring(keyed, start, 15), 16, 10).cast("long")
 
 
-def prefixes(turns: DataFrame, convs: DataFrame) -> DataFrame:
+def prefixes(turns: DataFrame, convs: DataFrame, band: int = BAND) -> DataFrame:
     """A row for each conversation and prefix of one turn or more: (conv_id, band,
     depth, hi, lo, p_hi, p_lo, words, ends: the whole conversation, closes: the last row of its band)."""
-    rows = stored(turns.select("conv_id", F.floor(F.col("place") / BAND).alias("band"), "place", "words", _part(1).alias("a"), _part(16).alias("b")), "op11-parts", "snappy")
+    rows = stored(turns.select("conv_id", F.floor(F.col("place") / band).alias("band"), "place", "words", _part(1).alias("a"), _part(16).alias("b")), "op11-parts", "snappy")
     totals = rows.groupBy("conv_id", "band").agg(F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
     before = Window.partitionBy("conv_id").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)        # a row for each band
     carried = (totals.select(F.col("conv_id").alias("c"), F.col("band").alias("c_band"), F.bit_xor("a").over(before).alias("c_a"), F.bit_xor("b").over(before).alias("c_b"))
@@ -95,7 +95,7 @@ def prefixes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     hi, lo = (F.col(f"r_{x}").bitwiseXOR(F.coalesce(f"c_{x}", F.lit(0))) for x in "ab")
     ends = F.col("place") == F.col("n_turns") - 1
     return met.select("conv_id", "band", (F.col("place") + 1).alias("depth"), hi.alias("hi"), lo.alias("lo"), hi.bitwiseXOR(F.col("a")).alias("p_hi"),
-                      lo.bitwiseXOR(F.col("b")).alias("p_lo"), "words", ends.alias("ends"), (ends | (F.col("place") % BAND == BAND - 1)).alias("closes"))
+                      lo.bitwiseXOR(F.col("b")).alias("p_lo"), "words", ends.alias("ends"), (ends | (F.col("place") % band == band - 1)).alias("closes"))
 
 
 class SlotTable:
@@ -139,7 +139,7 @@ class SlotTable:
 class Shard:
     """Node table over rows of prefixes; ``add`` scatters, ``upwards`` accumulates."""
 
-    def __init__(self, depth: np.ndarray, hi: np.ndarray, lo: np.ndarray, p_hi: np.ndarray, p_lo: np.ndarray, words: np.ndarray):
+    def __init__(self, depth: np.ndarray, hi: np.ndarray, lo: np.ndarray, p_hi: np.ndarray, p_lo: np.ndarray, words: np.ndarray, band: int):
         root = (depth == 1).any()                         # the root has no row of its own
         hi, lo = (np.append(x, np.zeros(int(root), np.int64)) for x in (hi, lo))
         order = np.lexsort((lo, hi))
@@ -156,7 +156,7 @@ class Shard:
             own[self.row_slot] = values
         self.parent = self.table.slots(self.p_hi, self.p_lo)
         # the root has no parent; the first level of a later band gets to the band before through ``closes``
-        self.parent[(self.depth != 1) & ((self.depth - 1) % BAND == 0) | (self.depth == 0)] = -1
+        self.parent[(self.depth != 1) & ((self.depth - 1) % band == 0) | (self.depth == 0)] = -1
         by_depth = np.argsort(-self.depth, kind="stable")
         cuts = np.flatnonzero(np.diff(self.depth[by_depth])) + 1
         self.levels = [x[self.parent[x] >= 0] for x in np.split(by_depth, cuts)]
@@ -199,18 +199,18 @@ def _by_band(rows: DataFrame) -> DataFrame:
     return rows.repartition(shuffle_count(rows.sparkSession), "conv_id", "band").sortWithinPartitions("conv_id", "band", "depth")
 
 
-def _shard_of(part: pa.Table) -> Shard:
-    return Shard(*(part[c].to_numpy() for c in ("depth", "hi", "lo", "p_hi", "p_lo", "words")))
+def _shard_of(part: pa.Table, band: int) -> Shard:
+    return Shard(*(part[c].to_numpy() for c in ("depth", "hi", "lo", "p_hi", "p_lo", "words")), band)
 
 
 KEY = "depth long, hi long, lo long"
 
 
-def members(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def members(rows: DataFrame, shard_rows: int = SHARD_ROWS, band: int = BAND) -> DataFrame:
     """(depth, hi, lo, p_hi, p_lo, words, n_convs, n_known, conv_id) of all nodes with a turn, and of the root if a conversation has one."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _shards(batches, shard_rows):
-            shard = _shard_of(part)
+            shard = _shard_of(part, band)
             last = np.flatnonzero(part["closes"].to_numpy())           # one row for each band of a conversation
             ids = part["conv_id"].combine_chunks().take(pa.array(last))
             known = ids.is_valid().to_numpy(zero_copy_only=False)
@@ -225,7 +225,7 @@ def members(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
                  F.sum("n_known").alias("n_known"), F.min("conv_id").alias("conv_id")))
 
 
-def subtree_sums(rows: DataFrame, own: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def subtree_sums(rows: DataFrame, own: DataFrame, shard_rows: int = SHARD_ROWS, band: int = BAND) -> DataFrame:
     """(depth, hi, lo, leaves, saved) summed over the subtrees of all nodes with a
     turn and of the root; ``own`` (c, c_depth, leaf, save) has what a node has by
     itself, at the row of its smallest member."""
@@ -241,7 +241,7 @@ def subtree_sums(rows: DataFrame, own: DataFrame, shard_rows: int = SHARD_ROWS)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _shards(batches, shard_rows):
-            shard = _shard_of(part)
+            shard = _shard_of(part, band)
             every = np.arange(part.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (shard.depth, shard.table.hi, shard.table.lo, shard.add(every, part["leaf"].to_numpy()),
                                                                     shard.add(every, part["save"].to_numpy()))], ["depth", "hi", "lo", "leaves", "saved"])
@@ -299,17 +299,17 @@ def end_digests(ends: DataFrame) -> DataFrame:
     return pieces.repartition(n, "depth", "hi", "lo").sortWithinPartitions("depth", "hi", "lo", "first").mapInArrow(digest, f"{KEY}, ends_sha256 string")
 
 
-def trie(turns: DataFrame, convs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def trie(turns: DataFrame, convs: DataFrame, shard_rows: int = SHARD_ROWS, band: int = BAND) -> DataFrame:
     """Nodes of the trie of conversations ``convs`` (conv_id, n_turns; also those
     without turns) with ``turns`` (conv_id, place, turn_hash, words): conv_id,
     depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     convs = stored(convs, "op11-lengths", "snappy")
-    rows = stored(prefixes(turns, convs), "op11-prefixes", "snappy")
+    rows = stored(prefixes(turns, convs, band), "op11-prefixes", "snappy")
     zero = F.lit(0).cast("long")
     silent = convs.where("n_turns = 0").select("conv_id")
     root = silent.groupBy().agg(F.count(F.lit(1)).alias("n_convs"), F.count("conv_id").alias("n_known"), F.coalesce(F.min("conv_id"), F.lit(NO_ID)).alias("conv_id")).where("n_convs > 0")
     root = root.select(*[zero.alias(c) for c in ("depth", "hi", "lo", "p_hi", "p_lo", "words")], "n_convs", "n_known", "conv_id")
-    merged = (members(rows, shard_rows).unionByName(root).groupBy("depth", "hi", "lo")
+    merged = (members(rows, shard_rows, band).unionByName(root).groupBy("depth", "hi", "lo")
               .agg(*[F.min(c).alias(c) for c in ("p_hi", "p_lo", "words")], F.sum("n_convs").alias("n_convs"), F.sum("n_known").alias("n_known"), F.min("conv_id").alias("conv_id")))
     nodes = stored(merged.withColumn("conv_id", F.when(F.col("n_known") > 0, F.col("conv_id"))).drop("n_known"), "op11-nodes", "snappy")
     children = nodes.where("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("p_hi").alias("hi"), F.col("p_lo").alias("lo")).agg(F.count(F.lit(1)).alias("n_children"))
@@ -317,7 +317,7 @@ def trie(turns: DataFrame, convs: DataFrame, shard_rows: int = SHARD_ROWS) -> Da
     nodes = stored(nodes.join(children, key, "left").withColumn("n_children", F.coalesce("n_children", zero)), "op11-children", "snappy")
     own = (nodes.where("depth > 0").select(F.col("conv_id").alias("c"), F.col("depth").alias("c_depth"), (F.col("n_children") == 0).cast("long").alias("leaf"),
                                            ((F.col("n_convs") - 1) * F.col("words")).alias("save")).where("leaf + save > 0"))
-    sums = subtree_sums(rows, own, shard_rows)
+    sums = subtree_sums(rows, own, shard_rows, band)
     ends = rows.where("ends").select(*key, "conv_id").unionByName(silent.select(*[zero.alias(c) for c in key], "conv_id"))
     parents = nodes.select((F.col("depth") + 1).alias("depth"), F.col("hi").alias("p_hi"), F.col("lo").alias("p_lo"), F.col("conv_id").alias("parent_conv_id"))
     nothing = hashlib.sha256(b"").hexdigest()
