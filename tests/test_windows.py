@@ -1,6 +1,7 @@
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.operators.windows import (point_mean, trailing_mean_range, trailing_mean_range_plain,
                                         trailing_mean_rows, trailing_mean_rows_plain)
@@ -118,3 +119,27 @@ def test_auto_chunk_width_follows_the_densest_key(spark):
     c = as_dict(trailing_mean_range(df, "k", "t", "v", 15, "avg", chunk_width="auto"), "avg")
     d = as_dict(trailing_mean_range_plain(df, "k", "t", "v", 15, "avg"), "avg")
     assert c == d
+
+
+def test_narrow_range_chunks_split_a_hot_key(spark):
+    """Prefix sums on two levels: equal to the single window, and a key with a third of the rows spreads over the tasks."""
+    length, rows = 5000, []
+    for k in range(30_000):
+        key = "hot" if k % 3 == 0 else f"k{k % 20}"
+        rows.append((key, (k * 7919) % 60_000, float(k % 101)))
+    df = make(spark, rows)
+    narrow = trailing_mean_range(df, "k", "t", "v", length, "avg", chunk_width=length // 50)
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedpreceding" in plan.lower()
+    per_task = sorted(r["n"] for r in narrow.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    assert per_task[-1] <= 2 * per_task[len(per_task) // 2]
+    plain = trailing_mean_range_plain(df, "k", "t", "v", length, "avg")
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_narrow_range_chunks_with_null_keys_orders_and_values(spark):
+    rows = [(None, 5, 1.0), (None, 7, 3.0), ("a", None, 2.0), ("a", None, 4.0), ("a", 0, None), ("a", 3, 1.0), ("a", 40, None), ("a", 41, 8.0), ("a", -9, 2.0)]
+    df = make(spark, rows)
+    for width in (1, 3, 10, 100):
+        got = trailing_mean_range(df, "k", "t", "v", 10, "avg", chunk_width=width)
+        assert sorted(map(str, got.collect())) == sorted(map(str, trailing_mean_range_plain(df, "k", "t", "v", 10, "avg").collect()))

@@ -39,6 +39,7 @@ from tidemark.schemas import PRICE_DECIMAL
 DEFAULT_CHUNK_MS = 7 * MS_PER_DAY
 RANGE_CHUNK_FACTOR = 4
 _OWN, _CHUNK, _POS = "_tm_own", "_tm_chunk", "_tm_pos"
+RUNNING_DECIMAL = "decimal(38,8)"      # running sums over all rows of a key
 _ENTRIES = f"array<struct<chunk:bigint,at:bigint,v:{PRICE_DECIMAL},n:bigint,own:boolean>>"
 
 
@@ -103,37 +104,51 @@ def trailing_mean_rows(df: DataFrame, key: str, order: str, value: str, rows: in
 def trailing_mean_range(df: DataFrame, key: str, order: str, value: str, length: int,
                         out: str, chunk_width: int | str | None = None) -> DataFrame:
     """``avg(value) OVER (PARTITION BY key ORDER BY order RANGE length PRECEDING)``,
-    ``order`` numeric (epoch ms); peers with equal ``order`` are included."""
+    ``order`` numeric (epoch ms); peers with equal ``order`` are included.
+
+    ``chunk_width``: by default 4 × the frame; ``"auto"`` follows the densest key.
+    Chunks no wider than the frame take prefix sums on two levels."""
     if chunk_width is None:
         chunk_width = max(1, RANGE_CHUNK_FACTOR * length)
-    elif chunk_width == "auto":
-        # dense keys get narrower chunks, but never narrower than the frame:
-        # below that every row would be copied into several chunks
-        chunk_width = max(length, _resolve(df, key, order, "auto"), 1)
-    width, t, v = F.lit(int(chunk_width)), F.col(order).cast("long"), F.col(value).cast(PRICE_DECIMAL)
-    own, last = floor_div(order, chunk_width), floor_div(F.col(order) + F.lit(length), chunk_width)
-    leaves = t + F.lit(length + 1)
+    width = max(1, _resolve(df, key, order, chunk_width))
+    narrow = width <= length
+    t, v = F.col(order).cast("long"), F.col(value).cast(PRICE_DECIMAL)
+    own, leaves = floor_div(order, width), t + F.lit(length + 1)
+    # in wide chunks an entry leaves in the chunk its frame ends in; if t + R + 1 is the next chunk's start it leaves nothing there
+    last = floor_div(F.col(order) + F.lit(length + 1 if narrow else length), width)
 
     def entry(chunk, at, sign, owner: bool):
         return F.struct(chunk.cast("long").alias("chunk"), at.alias("at"), (v * F.lit(sign).cast("decimal(1,0)")).cast(PRICE_DECIMAL).alias("v"),
                         F.when(v.isNull(), 0).otherwise(sign).cast("long").alias("n"), F.lit(owner).alias("own"))
 
+    none = F.array().cast(_ENTRIES)
     # a row without ``order`` has only its own entry: its frame is its peers
-    later = F.coalesce(F.when(last > own, F.sequence(own + 1, last)), F.array().cast("array<long>"))
-    entries = F.concat(F.array(entry(own, t, 1, True)),
-                       F.transform(later, lambda c: entry(c, c * width - F.lit(1), 1, False)),
-                       F.coalesce(F.when(t.isNotNull(), F.array(entry(last, leaves, -1, False))), F.array().cast(_ENTRIES)))
-    # an entry leaves in the chunk its frame ends in; if t + R + 1 is the next chunk's start it leaves nothing there
-    exploded = df.select("*", F.explode(entries).alias("_tm_e"))
-    kept = exploded.select(key, *[F.when(F.col("_tm_e.own"), F.col(c)).alias(c) for c in df.columns if c != key],
-                           F.col("_tm_e.chunk").alias(_CHUNK), F.col("_tm_e.at").alias(_POS), F.col("_tm_e.v").alias("_tm_v"),
-                           F.col("_tm_e.n").alias("_tm_n"), F.col("_tm_e.own").alias(_OWN))
+    parts = [F.array(entry(own, t, 1, True)), F.coalesce(F.when(t.isNotNull(), F.array(entry(last, leaves, -1, False))), none)]
+    if not narrow:
+        later = F.coalesce(F.when(last > own, F.sequence(own + 1, last)), F.array().cast("array<long>"))
+        parts.insert(1, F.transform(later, lambda c: entry(c, c * F.lit(width) - F.lit(1), 1, False)))
+    exploded = df.select("*", F.explode(F.concat(*parts)).alias("_tm_e"))
+    fields = [F.col("_tm_e.chunk").alias(_CHUNK), F.col("_tm_e.at").alias(_POS), F.col("_tm_e.v").cast(RUNNING_DECIMAL).alias("_tm_v"),
+              F.col("_tm_e.n").alias("_tm_n"), F.col("_tm_e.own").alias(_OWN)]
+    kept = exploded.select(key, *[F.when(F.col("_tm_e.own"), F.col(c)).alias(c) for c in df.columns if c != key], *fields)
+    if narrow:
+        kept = kept.unionByName(_chunk_bases(exploded.select(key, *fields), key, width), allowMissingColumns=True)
     w = Window.partitionBy(key, _CHUNK).orderBy(_POS).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     total, count = F.sum("_tm_v").over(w), F.sum("_tm_n").over(w)
     return (kept.withColumn(out, F.when(count > 0, total.cast("double") / count))
             .filter(F.col(_OWN)).select(*[c for c in df.columns if c != out], out))
 
 
+def _chunk_bases(entries: DataFrame, key: str, width: int) -> DataFrame:
+    """One entry for each (key, chunk), before the chunk's first row: the sum of
+    all entries of the key's earlier chunks. The running sum is over chunks, not
+    rows: as many as the key's time span has chunks that hold something."""
+    totals = entries.filter(F.col(_CHUNK).isNotNull()).groupBy(key, _CHUNK).agg(F.sum("_tm_v").alias("_tm_v"), F.sum("_tm_n").alias("_tm_n"))
+    before = Window.partitionBy(key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(key, _CHUNK, (F.col(_CHUNK) * F.lit(width) - F.lit(1)).alias(_POS), F.sum("_tm_v").over(before).cast(RUNNING_DECIMAL).alias("_tm_v"),
+                         F.sum("_tm_n").over(before).alias("_tm_n"), F.lit(False).alias(_OWN))
+
+
 def _window_and_keep(base: DataFrame, halo: DataFrame, key: str, order: str, value: str,
                      out: str, w) -> DataFrame:
     halo_full = halo
