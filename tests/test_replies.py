@@ -99,3 +99,30 @@ def test_trades_reply_decode(spark):
         (339393, 27496.98, 0.01, 274.9698), (340144, 28206.43, 0.001, 28.20643)]
     assert rows[0]["is_buyer"] and not rows[0]["is_maker"] and rows[0]["commission_asset"] == "BTC"
     assert str(rows[1]["trade_time"]) == "2023-10-09 15:47:45.324000"
+
+
+def tagged(spark, texts, tag, **kw):
+    """(reason, raw) of the rejects and the number of decoded rows."""
+    good, bad = rp.split(tag(spark.createDataFrame([(t,) for t in texts], "reply string"), **kw))
+    return sorted((r["reason"], r["raw"]) for r in bad.collect()), good.count()
+
+
+def test_rejected_messages_keep_their_text_and_reason(spark):
+    good = '{"E":1,"s":"X","k":{"t":1}}'
+    texts = [good, good[:12], '{"s":"X","k":{}}', '{"E":"soon","k":{}}', '{"E":1}', '{"E":1,"k":"none"}', "", None, "[]"]
+    bad, n = tagged(spark, texts, rp.tag_kline_messages, text_col="reply")
+    assert n == 1 and len(bad) == len(texts) - 1
+    assert dict((raw, reason) for reason, raw in bad if raw) == {
+        good[:12]: "unreadable", '{"s":"X","k":{}}': "E missing", '{"E":"soon","k":{}}': "E of wrong type", '{"E":1}': "k missing",
+        '{"E":1,"k":"none"}': "field of wrong type", "[]": dict((raw, reason) for reason, raw in bad)["[]"]}
+    assert ("no text", "") in bad
+
+
+def test_rejected_trades_market_lists_and_balances(spark):
+    trade = '{"symbol":"A","id":1,"time":5,"price":"1.5"}'
+    bad, n = tagged(spark, [f"[{trade},{trade}]", "[]", '{"code":-1121,"msg":"no"}', f"[{trade}", f'[{trade},{{"symbol":"B"}}]', None], rp.tag_trades)
+    assert n == 3 and [r for r, _ in bad] == ["id or time missing", "no list", "no text", "unreadable"]
+    bad, n = tagged(spark, ['{"serverTime":5,"symbols":[{"symbol":"A"},{"status":"x"}]}', '{"serverTime":5,"symbols":[]}', '{"symbols":[]}', '{"serverTime":5}', "{", None], rp.tag_market_list)
+    assert n == 1 and [r for r, _ in bad] == ["no text", "serverTime missing", "symbol missing", "symbols missing", "unreadable"]
+    bad, n = tagged(spark, ['{"account":1,"balances":[{"asset":"A","free":"1"},{"free":"2"}]}', '{"account":"x","balances":[]}', '{"code":1}', "x"], rp.tag_balances)
+    assert n == 1 and [r for r, _ in bad] == ["account missing", "account of wrong type", "asset missing", "unreadable"]

@@ -36,6 +36,31 @@ def _json_num(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("null"))
 
 
+# --- rejects (F9, S7) --------------------------------------------------------
+
+def _why(text: Column, required: dict[str, str | None]) -> Column:
+    """Reason why a JSON object cannot be decoded: ``required`` fields must be
+    there and, where a type is given, be of it. Evaluated for bad text only."""
+    probe = F.from_json(text, ", ".join(f"{f} string" for f in (*required, "_corrupt_record")))
+    why = F.when(text.isNull(), "no text").when(probe.isNull() | probe["_corrupt_record"].isNotNull(), "unreadable")
+    for name, kind in required.items():
+        why = why.when(probe[name].isNull(), f"{name} missing")
+        if kind:
+            why = why.when(probe[name].try_cast(kind).isNull(), f"{name} of wrong type")
+    return why.otherwise("field of wrong type")
+
+
+def tagged(parsed: DataFrame, good: Column, why: Column, text: str) -> DataFrame:
+    """``parsed`` with ``reason`` and ``raw`` (the text as it came), both null where ``good``."""
+    ok = F.coalesce(good, F.lit(False))
+    return parsed.withColumns({"reason": F.when(~ok, why), "raw": F.when(~ok, F.coalesce(F.col(text), F.lit("")))})
+
+
+def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tagged rows → (decoded rows, rejects (reason, raw))."""
+    return rows.filter(F.col("reason").isNull()).drop("reason", "raw"), rows.filter(F.col("reason").isNotNull()).select("reason", "raw")
+
+
 # --- kline arrays (S1, P1-P3, F9) --------------------------------------------
 
 def kline_array_replies(bars: DataFrame, bar_ms: int = MS_PER_HOUR,
@@ -101,10 +126,28 @@ def market_list_replies(events: DataFrame) -> DataFrame:
     return per_day.groupBy("server_time").agg(F.to_json(body).alias("reply"))
 
 
+def tag_market_list(replies: DataFrame) -> DataFrame:
+    """(server_time, symbol, reason, raw): a row for each listed symbol, and one for each reply that lists none it can read."""
+    r = replies.withColumn("_r", F.from_json("reply", MARKET_LIST_SCHEMA))
+    r = tagged(r, F.col("_r.serverTime").isNotNull() & F.col("_r.symbols").isNotNull(), _why(F.col("reply"), {"serverTime": "bigint", "symbols": None}), "reply")
+    each = r.select("reply", "reason", "raw", F.col("_r.serverTime").alias("server_time"), F.explode(_one_or_all("_r.symbols")).alias("s"))
+    return (_tag_items(each, F.col("s.symbol").isNotNull(), "symbol missing")
+            .select("server_time", F.col("s.symbol").alias("symbol"), "reason", "raw"))
+
+
+def _one_or_all(items: str) -> Column:
+    """The items of a reply; one null item for a rejected reply, none for an empty list."""
+    return F.when(F.col("reason").isNull(), F.col(items)).otherwise(F.array(F.lit(None)))
+
+
+def _tag_items(each: DataFrame, good: Column, why: str) -> DataFrame:
+    """Items of accepted replies that lack what they need are rejected with the reply's text."""
+    bad = F.col("reason").isNull() & ~F.coalesce(good, F.lit(False))
+    return each.withColumns({"raw": F.when(bad, F.col("reply")).otherwise(F.col("raw")), "reason": F.when(bad, F.lit(why)).otherwise(F.col("reason"))})
+
+
 def decode_market_list(replies: DataFrame) -> DataFrame:
-    r = replies.select(F.from_json("reply", MARKET_LIST_SCHEMA).alias("r"))
-    return r.select(F.col("r.serverTime").alias("server_time"),
-                    F.explode("r.symbols").alias("s")).select("server_time", F.col("s.symbol").alias("symbol"))
+    return split(tag_market_list(replies))[0]
 
 
 def symbols_with_prefix(symbols: DataFrame, money: str, col: str = "symbol") -> DataFrame:
@@ -126,13 +169,14 @@ def kline_messages(bars: DataFrame, interval: str = "1h") -> DataFrame:
     return bars.select(F.to_json(msg).alias("value"))
 
 
-def decode_kline_messages(messages: DataFrame, zone: str = "UTC", text_col: str = "value") -> DataFrame:
-    """Message text → rows of the long ``market`` table. ``k`` is read as a
-    string map, so t/T, v/V, q/Q stay distinct under any case setting; values
-    use ``try_cast`` so a dirty field becomes NULL instead of failing."""
-    # PERMISSIVE parsing turns unreadable text into a struct of NULLs: drop those
-    m = (messages.select(F.from_json(text_col, KLINE_MESSAGE_SCHEMA).alias("m"))
-         .filter(F.col("m.E").isNotNull() & F.col("m.k").isNotNull()))
+def tag_kline_messages(messages: DataFrame, zone: str = "UTC", text_col: str = "value") -> DataFrame:
+    """Message text → columns of the long ``market`` table, ``reason`` and ``raw``:
+    one parse tells a row from a reject. ``k`` is read as a string map, so t/T,
+    v/V, q/Q stay distinct under any case setting; values use ``try_cast`` so a
+    dirty field becomes NULL instead of failing."""
+    # PERMISSIVE parsing turns unreadable text into a struct of NULLs
+    m = messages.select(F.col(text_col).alias("_text"), F.from_json(text_col, KLINE_MESSAGE_SCHEMA).alias("m"))
+    m = tagged(m, F.col("m.E").isNotNull() & F.col("m.k").isNotNull(), _why(F.col("_text"), {"E": "bigint", "k": None}), "_text")
     k = F.col("m.k")
 
     def num(key, t="double"):
@@ -143,8 +187,13 @@ def decode_kline_messages(messages: DataFrame, zone: str = "UTC", text_col: str
         num("v").alias("volume"), num("t", "bigint").alias("start_timestamp"),
         num("T", "bigint").alias("close_timestamp"), num("q").alias("qav"),
         num("n", "int").alias("nbr_trades"), num("V").alias("taker_base_vol"),
-        num("Q").alias("taker_quote_vol"), F.col("m.s").alias("symbol"))
-    return out.select(*[f.name for f in MARKET_TABLE_SCHEMA.fields])
+        num("Q").alias("taker_quote_vol"), F.col("m.s").alias("symbol"), "reason", "raw")
+    return out.select(*[f.name for f in MARKET_TABLE_SCHEMA.fields], "reason", "raw")
+
+
+def decode_kline_messages(messages: DataFrame, zone: str = "UTC", text_col: str = "value") -> DataFrame:
+    """The rows of ``tag_kline_messages`` that could be decoded."""
+    return split(tag_kline_messages(messages, zone, text_col))[0]
 
 
 # --- price snapshots (S15, D5) -----------------------------------------------
@@ -185,19 +234,28 @@ def balance_replies(events: DataFrame) -> DataFrame:
                                     F.collect_list(bal).alias("balances"))).alias("reply")))
 
 
+def tag_balances(replies: DataFrame) -> DataFrame:
+    """(account, asset, free, locked, reason, raw) of every balance of every account reply."""
+    r = replies.withColumn("_r", F.from_json("reply", BALANCE_REPLY_SCHEMA))
+    r = tagged(r, F.col("_r.account").isNotNull() & F.col("_r.balances").isNotNull(), _why(F.col("reply"), {"account": "bigint", "balances": None}), "reply")
+    each = r.select("reply", "reason", "raw", F.col("_r.account").alias("account"), F.explode(_one_or_all("_r.balances")).alias("b"))
+    return _tag_items(each, F.col("b.asset").isNotNull(), "asset missing").select(
+        "account", F.col("b.asset").alias("asset"), F.col("b.free").try_cast("double").alias("free"), F.col("b.locked").try_cast("double").alias("locked"), "reason", "raw")
+
+
 def balances_for_assets(replies: DataFrame, assets: list[str]) -> DataFrame:
-    r = replies.select(F.from_json("reply", BALANCE_REPLY_SCHEMA).alias("r"))
-    b = r.select(F.col("r.account").alias("account"), F.explode("r.balances").alias("b"))
-    return (b.filter(F.col("b.asset").isin(assets))
-            .select("account", F.col("b.asset").alias("asset"),
-                    F.col("b.free").try_cast("double").alias("free"),
-                    F.col("b.locked").try_cast("double").alias("locked")))
+    return split(tag_balances(replies))[0].filter(F.col("asset").isin(assets))
 
 
-def decode_trades(replies: DataFrame, zone: str = "UTC") -> DataFrame:
+def tag_trades(replies: DataFrame, zone: str = "UTC") -> DataFrame:
     """Account trade list replies (JSON arrays of trade objects) → one typed row
-    per trade; decimal strings become doubles, ``time`` also a timestamp."""
-    t = replies.select(F.explode(F.from_json("reply", TRADES_REPLY_SCHEMA)).alias("t"))
+    per trade, or a reject; decimal strings become doubles, ``time`` also a timestamp."""
+    r = replies.withColumn("_r", F.from_json("reply", TRADES_REPLY_SCHEMA))
+    # an error object would parse as a list of one trade without fields
+    r = tagged(r, F.col("_r").isNotNull() & F.startswith(F.ltrim("reply"), F.lit("[")),
+               F.when(F.col("reply").isNull(), "no text").when(F.startswith(F.ltrim("reply"), F.lit("{")), "no list").otherwise("unreadable"), "reply")
+    each = r.select("reply", "reason", "raw", F.explode(_one_or_all("_r")).alias("t"))
+    t = _tag_items(each, F.col("t.id").isNotNull() & F.col("t.time").isNotNull(), "id or time missing")
     return t.select(
         F.col("t.symbol").alias("symbol"), F.col("t.id").alias("trade_id"),
         F.col("t.orderId").alias("order_id"),
@@ -206,4 +264,8 @@ def decode_trades(replies: DataFrame, zone: str = "UTC") -> DataFrame:
         F.col("t.commissionAsset").alias("commission_asset"), F.col("t.time").alias("time"),
         ms_to_ntz(F.col("t.time"), zone).alias("trade_time"),
         F.col("t.isBuyer").alias("is_buyer"), F.col("t.isMaker").alias("is_maker"),
-        F.col("t.isBestMatch").alias("is_best_match"))
+        F.col("t.isBestMatch").alias("is_best_match"), "reason", "raw")
+
+
+def decode_trades(replies: DataFrame, zone: str = "UTC") -> DataFrame:
+    return split(tag_trades(replies, zone))[0]
