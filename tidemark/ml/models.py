@@ -14,26 +14,27 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorIndexer
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.ml.boosting import HistogramBoosting
 from tidemark.ml.features import CALENDAR, OneHotVector, PopStandardScaler, continuous_columns
-from tidemark.session import materialize
+from tidemark.session import materialize, scratch_path
 
 # Candidate models and their default parameters. Trees grow until their leaves
-# are pure or MLlib's deepest level (30); forests look at every feature; boosting
-# runs 100 rounds of depth 6 with rate 0.3.
+# are pure or MLlib's deepest level (30); forests look at every feature; boosting is
+# second-order, 100 rounds of depth 6 with rate 0.3.
 DEFAULTS: dict[str, dict] = {
     "Linear_Regression": {"solver": "normal"},
     "Decision_Tree": {"maxDepth": 30},
     "Random_Forest": {"maxDepth": 30, "numTrees": 100, "featureSubsetStrategy": "all"},
-    "Gradient_Boosted_Trees": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.3},
+    "Gradient_Boosted_Trees": {"rounds": 100, "depth": 6, "rate": 0.3},
 }
 MODEL_NAMES = list(DEFAULTS)
 _CLASSES = {"Linear_Regression": LinearRegression, "Decision_Tree": DecisionTreeRegressor,
-            "Random_Forest": RandomForestRegressor, "Gradient_Boosted_Trees": GBTRegressor}
+            "Random_Forest": RandomForestRegressor, "Gradient_Boosted_Trees": HistogramBoosting}
+_SEEDED = ("Decision_Tree", "Random_Forest")
 
 
 def regressor(name: str, label: str = "label", seed: int = 42, features: str = "features", **params):
@@ -41,15 +42,15 @@ def regressor(name: str, label: str = "label", seed: int = 42, features: str = "
     if name not in DEFAULTS:
         raise ValueError(f"unsupported model {name!r}")
     own = {**DEFAULTS[name], **params}
-    if name != "Linear_Regression":
+    if name in _SEEDED:
         own.setdefault("seed", seed)
     return _CLASSES[name](featuresCol=features, labelCol=label, **own)
 
 
 def model_stages(name: str, label: str = "label", seed: int = 42, **params) -> list:
-    """Estimators after the shared features. Tree models first index vector slots
-    with at most 4 distinct values as categorical (ML6) — the one-hot slots."""
-    if name == "Linear_Regression":
+    """Estimators after the shared features. MLlib's tree models first index vector
+    slots with at most 4 distinct values as categorical (ML6) — the one-hot slots."""
+    if name not in _SEEDED:
         return [regressor(name, label, seed, **params)]
     return [VectorIndexer(inputCol="features", outputCol="features_idx", maxCategories=4,
                           handleInvalid="keep"),
@@ -107,7 +108,7 @@ class PreparedSplit:
         self.features = Pipeline(stages=feature_stages(matrix.columns, target, key)).fit(train)
         keep = [key, "label", "features"]
         self.train = self.features.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-        self.test = self.features.transform(self.data.filter(~F.col("is_train"))).select(*keep)
+        self.test = self.features.transform(self.data.filter(~F.col("is_train"))).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(self, name: str, **params) -> tuple[PipelineModel, DataFrame]:
         """The fitted pipeline and its scores of the test rows."""
@@ -117,6 +118,7 @@ class PreparedSplit:
 
     def close(self) -> None:
         self.train.unpersist()
+        self.test.unpersist()
 
 
 def fit_and_score(matrix: DataFrame, name: str, target: str, **params) -> tuple[PipelineModel, DataFrame]:
@@ -141,30 +143,49 @@ def metrics(scored: DataFrame) -> dict[str, float]:
 
 def compare_models(spark: SparkSession, matrix: DataFrame, target: str,
                    names: list[str] = MODEL_NAMES, parallelism: int = 4,
-                   fitted: dict | None = None, params: dict[str, dict] | None = None) -> DataFrame:
+                   fitted: dict | None = None, params: dict[str, dict] | None = None,
+                   scores_path: str | None = None) -> DataFrame:
     """Train every model on the same featurized split; one metrics row per model
     and the arg-min of RMSE flagged. Only the metrics reach the driver.
 
     Fits are submitted from ``parallelism`` driver threads (as MLlib's tuning
-    estimators do), so the jobs of different models share the executors. Pass a
-    dict as ``fitted`` to receive the fitted pipeline of every model by name, and
+    estimators do), so the jobs of different models share the executors. Each
+    model's scores of the test rows are written once, as partition ``model`` of the
+    table (model, key, label, prediction) under ``scores_path`` (default: the shared
+    folder), and the metrics are an aggregate of that table. Pass a dict as
+    ``fitted`` to receive the fitted pipeline of every model by name, and
     ``params`` to override a model's DEFAULTS."""
     prep = PreparedSplit(matrix, target)
+    path = scores_path or scratch_path(spark, "scores")
 
     def one(n: str):
         model, scored = prep.fit(n, **(params or {}).get(n, {}))
         if fitted is not None:
             fitted[n] = model
-        m = metrics(scored)
-        return (n, float(m["rmse"]), float(m["r2"]))
+        scored.select(F.col(prep.key).alias("key"), "label", "prediction").write.parquet(f"{path}/model={n}")
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(one, names))
+            list(pool.map(one, names))
     finally:
         prep.close()
-    best = min(rows, key=lambda r: (math.isnan(r[1]), r[1]))[0]      # NaN last, as min_by ranks it
-    return spark.createDataFrame([(n, r, q, n == best) for n, r, q in rows],
-                                 "model string, rmse double, r2 double, is_best boolean")
+    return model_metrics(read_scores(spark, path))
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """(model, key, label, prediction) of every candidate's test rows."""
+    return spark.read.parquet(path).select("model", "key", "label", "prediction")
+
+
+def model_metrics(scores: DataFrame) -> DataFrame:
+    """(model, rmse, r2, is_best) from a table of scores: one partial aggregate; the
+    least RMSE is the best, ties go to the first name."""
+    y, e = F.col("label"), F.col("label") - F.col("prediction")
+    per = scores.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.var_pop(y).alias("var"))
+    per = per.select("model", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"), (1 - F.try_divide(F.col("sse"), F.col("var") * F.col("n"))).alias("r2"))
+    rows = [(r["model"], r["rmse"], float("nan") if r["r2"] is None else r["r2"]) for r in per.collect()]      # a row per model
+    best = min(rows, key=lambda r: (math.isnan(r[1]), r[1], r[0]))[0] if rows else None      # NaN last, as min_by ranks it
+    return scores.sparkSession.createDataFrame([(n, r, q, n == best) for n, r, q in rows],
+                                               "model string, rmse double, r2 double, is_best boolean")
 
 
 def select_best(scores: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from tidemark.functions.timecols import (calendar_columns, day_of_week, epoch_ms
                                         floor_div, ms_to_ntz)
 from tidemark.ml import features as mf
 from tidemark.ml import models as mm
+from tidemark.ml import splits as sp
+from tidemark.ml.boosting import HistogramBoosting
 from tidemark.operators import chunks as ch
 from tidemark.operators import cleaning as cl
 from tidemark.operators import explore as ex
@@ -30,6 +34,7 @@ from tidemark.sources import replies as rp
 from tidemark.sources import store
 from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
 from tidemark.sources.tables import read_with_schema, table
+from tidemark.streaming import finalize as fin
 from tidemark.streaming import klines as sk
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,7 +118,8 @@ def q_trailing_avg_range7d(spark, sf_dir):
 def q_tick_avg_range7d(spark, sf_dir):
     """W3 on raw ticks: frames of thousands of rows."""
     ev = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("market"), epoch_ms("ts").alias("t_ms"), "value")
-    return trailing_mean_range(ev, "market", "t_ms", "value", WEEK_MS, "avg_range7d")
+    # chunks far narrower than the frame: a hot market spreads over many tasks
+    return trailing_mean_range(ev, "market", "t_ms", "value", WEEK_MS, "avg_range7d", WEEK_MS // 50)
 
 
 @register("point_avg")
@@ -286,6 +292,32 @@ def q_kline_message_decode(spark, sf_dir):
     return rp.decode_kline_messages(rp.kline_messages(bars(spark, sf_dir, stored=True)))
 
 
+def damaged_messages(spark, sf_dir) -> DataFrame:
+    """The stream's messages with some of them damaged, by the hour of their bar: cut off, without or with a wrong event time, without or with a wrong body."""
+    b = bars(spark, sf_dir, stored=True)
+    text, hour = F.col("value"), F.pmod(floor_div(F.get_json_object("value", "$.k.t").cast("long"), 3_600_000), F.lit(24))
+    damaged = (F.when(hour == 1, F.substring(text, 1, 60)).when(hour == 2, F.regexp_replace(text, '"E":[0-9]+', '"E":"soon"')).when(hour == 3, F.regexp_replace(text, '"E":[0-9]+,', ""))
+               .when(hour == 4, F.regexp_replace(text, '"k":\\{.*\\}\\}', '"x":1}')).when(hour == 5, F.regexp_replace(text, '"k":\\{.*\\}\\}', '"k":"none"}')).otherwise(text))
+    return rp.kline_messages(b).select(damaged.alias("value"))
+
+
+@register("message_rejects")
+def q_message_rejects(spark, sf_dir):
+    """Messages by what became of them; decoded and rejected ones are all there are."""
+    tagged = rp.tag_kline_messages(damaged_messages(spark, sf_dir))
+    return tagged.groupBy(F.coalesce("reason", F.lit("decoded")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("raw").isNotNull()).alias("n_raw"))
+
+
+@register("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    """S7/F9 on the stream: the side table that the append query writes with each batch."""
+    paths = sk.new_paths(spark, "stream-rejects")
+    sk.land_messages(damaged_messages(spark, sf_dir), paths.landing)
+    sk.run_until_done(sk.append_market_query(spark, paths, files_per_trigger=max(1, spark.sparkContext.defaultParallelism // 2)))
+    kept = sk.read_market(spark, paths).agg(F.lit("decoded").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(sk.read_rejects(spark, paths).groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("json_field")
 def q_json_field(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
@@ -493,19 +525,94 @@ def q_train_gbt(spark, sf_dir):
 
 @register("best_model")
 def q_best_model(spark, sf_dir):
-    """The model of least RMSE among all candidates, and that RMSE recomputed from its test scores."""
-    matrix = materialize(split_matrix(spark, sf_dir))
-    fitted: dict = {}
-    scores = mm.compare_models(spark, matrix, TARGET_COL, fitted=fitted)
+    """The model of least RMSE among all candidates, checked against the stored scores of all of them."""
+    path = scratch_path(spark, "scores")
+    scores = mm.compare_models(spark, split_matrix(spark, sf_dir), TARGET_COL, scores_path=path)
     best = mm.select_best(scores).first()
-    test = mm.labelled(matrix, TARGET_COL).filter(~F.col("is_train"))
-    again = {name: mm.metrics(model.transform(test))["rmse"] for name, model in fitted.items()}
-    least = min(again.values())
+    error = F.col("label") - F.col("prediction")
+    again = mm.read_scores(spark, path).groupBy("model").agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+    least = again.agg(F.min("rmse").alias("least"), F.min_by("model", "rmse").alias("name")).first()
     return scores.agg(F.count(F.lit(1)).alias("candidates"),
-                      F.lit(bool(abs(best["best_rmse"] - least) <= 1e-6 * least and again[best["best_model"]] == least)).alias("best_has_least_rmse"),
+                      F.lit(bool(abs(best["best_rmse"] - least["least"]) <= 1e-6 * least["least"] and least["name"] == best["best_model"])).alias("best_has_least_rmse"),
                       F.count_if("is_best").alias("chosen"))
 
 
+# --- models whose fit SQL can restate (ML8-ML10, A8, ML14) --------------------
+
+CALENDAR_FEATURES = ["day", "month", "day_of_week"]           # few distinct values
+ROLLING_FEATURES = [f"{m}_rolling_avg_7d" for m in FEATURE_MARKETS]
+FIRST_BINS, FIRST_DEPTH, RATE, PENALTY = 16, 2, 0.3, 1.0
+
+
+def _labelled_split(spark, sf_dir):
+    m = materialize(mm.labelled(split_matrix(spark, sf_dir), TARGET_COL))
+    return m, m.filter("is_train"), m.filter(~F.col("is_train"))
+
+
+def _shallow_tree(train):
+    return Pipeline(stages=[VectorAssembler(inputCols=CALENDAR_FEATURES, outputCol="features"), DecisionTreeRegressor(maxDepth=FIRST_DEPTH, maxBins=64)]).fit(train)
+
+
+def _fitted_splits(node, at=1):
+    """(node, feature, threshold) of an MLlib tree; node k has children 2k and 2k + 1."""
+    if node.subtreeDepth() == 0:
+        return []
+    split = node.split()
+    return [(at, CALENDAR_FEATURES[split.featureIndex()], split.threshold()), *_fitted_splits(node.leftChild(), 2 * at), *_fitted_splits(node.rightChild(), 2 * at + 1)]
+
+
+@register("tree_splits")
+def q_tree_splits(spark, sf_dir):
+    """ML8: the exact splits of a tree of two levels, and whether MLlib's fitted tree has the same."""
+    _, train, _ = _labelled_split(spark, sf_dir)
+    exact = sp.grow(train, CALENDAR_FEATURES, "label", FIRST_DEPTH)
+    fitted = set(_fitted_splits(_shallow_tree(train).stages[-1]._call_java("rootNode")))
+    rows = [(s["node"], s["feature"], s["threshold"], s["n_left"], s["n_right"], round(s["gain"], 4), (s["node"], s["feature"], s["threshold"]) in fitted) for s in exact]
+    return spark.createDataFrame(rows, "node int, feature string, threshold double, n_left long, n_right long, gain double, fitted boolean")
+
+
+def _first_tree(train):
+    """Second-order boosting of one round over the rolling averages."""
+    assembler = VectorAssembler(inputCols=ROLLING_FEATURES, outputCol="features")
+    return Pipeline(stages=[assembler, HistogramBoosting(rounds=1, depth=FIRST_DEPTH, rate=RATE, penalty=PENALTY, bins=FIRST_BINS)]).fit(train)
+
+
+@register("boosting_first_tree")
+def q_boosting_first_tree(spark, sf_dir):
+    """ML10: splits (feature, upper end of the left bins) and weights of the first tree, node 0 its root."""
+    _, train, _ = _labelled_split(spark, sf_dir)
+    _, cuts, trees = _first_tree(train).stages[-1].parsed()
+    tree, rows = trees[0], []
+    for k in range(len(tree.feature)):
+        if k == 0 or tree.feature[(k - 1) // 2] >= 0:
+            f = int(tree.feature[k])
+            rows.append((k, ROLLING_FEATURES[f] if f >= 0 else None, round(cuts[f][tree.bin[k]], 6) if f >= 0 else None, round(float(tree.weight[k]), 6)))
+    return spark.createDataFrame(rows, "node int, feature string, cut double, weight double")
+
+
+def _candidates(spark, sf_dir):
+    """(model, key, label, prediction): linear on the rolling averages, a tree of two levels on the calendar, one round of boosting."""
+    _, train, test = _labelled_split(spark, sf_dir)
+    linear = Pipeline(stages=[VectorAssembler(inputCols=ROLLING_FEATURES, outputCol="features"), LinearRegression(solver="normal")])
+    scored = [model.transform(test).select(F.lit(name).alias("model"), F.col("datetime").alias("key"), "label", "prediction")
+              for name, model in (("linear", linear.fit(train)), ("tree", _shallow_tree(train)), ("boosting", _first_tree(train)))]
+    path = scratch_path(spark, "candidates")
+    ex.union_all(scored).write.partitionBy("model").parquet(path)
+    return mm.read_scores(spark, path)
+
+
+@register("candidate_scores")
+def q_candidate_scores(spark, sf_dir):
+    """ML14: predictions of every candidate for every test row, as the selection stores them."""
+    return _candidates(spark, sf_dir).withColumn("prediction", F.round("prediction", 4))
+
+
+@register("best_candidate")
+def q_best_candidate(spark, sf_dir):
+    """RMSE of every candidate from the stored scores, the least flagged."""
+    return mm.model_metrics(_candidates(spark, sf_dir)).select("model", F.round("rmse", 4).alias("rmse"), "is_best")
+
+
 def _fitted_linear(spark, sf_dir):
     """Linear pipeline fitted on the persisted, featurized train split."""
     prep = mm.PreparedSplit(split_matrix(spark, sf_dir), TARGET_COL)
@@ -586,10 +693,47 @@ def _wide_stream(spark, sf_dir):
 @register("stream_trailing_avg")
 def q_stream_trailing_avg(spark, sf_dir):
     paths = _wide_stream(spark, sf_dir)
-    return spark.read.parquet(paths.averages).select("symbol", "event_timestamp", "close", "rolling_avg_7d")
+    return sk.read_averages(spark, paths).select("symbol", "event_timestamp", "close", "rolling_avg_7d")
 
 
 @register("stream_wide_upsert")
 def q_stream_wide_upsert(spark, sf_dir):
     paths = _wide_stream(spark, sf_dir)
-    return spark.read.parquet(paths.wide).drop("event_day")
+    return sk.read_wide(spark, paths, WIDE_DRIVER, WIDE_OTHERS).drop("event_day")
+
+
+def _late_rule():
+    """Bars of one market, every sixth hour of the first half of all times, come at the end of the stream."""
+    return (F.col("market") == WIDE_OTHERS[0]) & (F.pmod(floor_div("datetime", 3_600_000), F.lit(6)) == 5)
+
+
+def _finalised(spark, sf_dir):
+    """The stream in four files by time, then the late messages, then a message that flushes the state."""
+    paths = sk.new_paths(spark, "stream-final")
+    b = bars(spark, sf_dir, stored=True).filter(F.col("market").isin(FEATURE_MARKETS))
+    span = b.agg(F.min("datetime").alias("lo"), F.max("datetime").alias("hi")).first()
+    width = (span["hi"] - span["lo"]) // 4 + 1
+    part = floor_div(F.col("datetime") - F.lit(span["lo"]), width)
+    late = _late_rule() & (part < 2)
+    flush = spark.createDataFrame([(fin.flush_message(span["hi"] + 100 * WEEK_MS),)], "value string")
+    files = [rp.kline_messages(b.filter((part == k) & ~late)) for k in range(4)] + [rp.kline_messages(b.filter(late)), flush]
+    for messages in files:
+        sk.land_messages(messages, paths.landing, files=1, mode="append")
+    sk.run_until_done(fin.final_query(spark, paths, FEATURE_MARKETS, "1 hour"))
+    sk.run_until_done(sk.append_market_query(spark, paths, files_per_trigger=len(files)))
+    final = fin.read_final(spark, paths, FEATURE_MARKETS)
+    return final, fin.late_rows(sk.read_market(spark, paths), final)
+
+
+@register("stream_final_wide")
+def q_stream_final_wide(spark, sf_dir):
+    """K4 with state and watermark: final rows and the late ones beside them give the whole wide table."""
+    return fin.wide_rows(fin.complete(*_finalised(spark, sf_dir)), WIDE_DRIVER, WIDE_OTHERS)
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """K4: messages by market and side; each is in a final row or among the late ones."""
+    final, late = _finalised(spark, sf_dir)
+    return (final.select("market", F.lit("final").alias("side")).unionByName(late.select("market", F.lit("late").alias("side")))
+            .groupBy("market", "side").agg(F.count(F.lit(1)).alias("n")))

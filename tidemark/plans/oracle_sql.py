@@ -212,6 +212,10 @@ def _reply_queries() -> dict[str, str]:
         "SELECT close_time AS event_timestamp, epoch_ms(close_time) AS event_date, open, high, low, close, "
         "volume, datetime AS start_timestamp, close_time AS close_timestamp, qav, "
         "CAST(nbr_trades AS INTEGER) AS nbr_trades, taker_base_vol, taker_quote_vol, market AS symbol FROM bars")
+    what = ("CASE (datetime // 3600000) % 24 WHEN 1 THEN 'unreadable' WHEN 2 THEN 'E of wrong type' WHEN 3 THEN 'E missing' "
+            "WHEN 4 THEN 'k missing' WHEN 5 THEN 'field of wrong type' ELSE 'decoded' END")
+    q["message_rejects"] = with_bars(f"SELECT {what} AS outcome, count(*) AS n, CASE WHEN {what} = 'decoded' THEN 0 ELSE count(*) END AS n_raw FROM bars GROUP BY 1")
+    q["stream_rejects"] = with_bars(f"SELECT {what} AS outcome, count(*) AS n FROM bars GROUP BY 1")
     q["json_field"] = "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
     q["price_snapshot"] = (
         "SELECT event_id, event_type AS currency, strftime(ts, '%Y-%m-%d') AS snapshot_date, "
@@ -310,6 +314,7 @@ def _ml_queries(base: dict[str, str]) -> dict[str, str]:
     for name, flag in [("train_linear", "normal_equations"), ("train_decision_tree", "within_train_labels"), ("train_random_forest", "within_train_labels"),
                        ("train_gbt", "beats_the_mean"), ("model_roundtrip_score", "loaded_equals_saved")]:
         q[name] = test.format(flag)
+    q.update(_small_model_sql(mtx, split))
     q["best_model"] = "SELECT CAST(4 AS BIGINT) AS candidates, true AS best_has_least_rmse, CAST(1 AS BIGINT) AS chosen"
     q["close_time_linear"] = _least_squares_sql(base["close_time_matrix"])
     close = [f"{m}_close" for m in FEATURE_MARKETS]
@@ -334,20 +339,96 @@ SELECT end_day * 86400000 AS request_day_ms, accepted, accepted AS answered FROM
     return q
 
 
+def _split_sql(src: str, name: str, features: list[str]) -> str:
+    """CTE ``name``: the best exact split of each node of ``src`` (node, y, features)."""
+    pairs = " UNION ALL ".join(f"SELECT node, {k} AS fi, '{f}' AS feature, CAST({f} AS DOUBLE) AS v, CAST(y AS {DEC}) AS y FROM {src}" for k, f in enumerate(features))
+    return f"""{name}_v AS (SELECT node, fi, feature, v, count(*) AS n, sum(y) AS s FROM ({pairs}) GROUP BY ALL),
+{name}_r AS (SELECT node, fi, feature, v, lead(v) OVER o AS nv, sum(n) OVER o AS nl, CAST(sum(s) OVER o AS DOUBLE) AS sl, sum(n) OVER w AS n, CAST(sum(s) OVER w AS DOUBLE) AS s
+  FROM {name}_v WINDOW o AS (PARTITION BY node, fi ORDER BY v), w AS (PARTITION BY node, fi)),
+{name}_g AS (SELECT *, (v + nv) / 2 AS threshold, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM {name}_r WHERE nv IS NOT NULL),
+{name} AS (SELECT node, feature, threshold, CAST(nl AS BIGINT) AS n_left, CAST(n - nl AS BIGINT) AS n_right, sl / nl AS mean_left, (s - sl) / (n - nl) AS mean_right, gain
+  FROM {name}_g WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, fi, threshold) = 1)"""
+
+
+def _below(src: str, splits: str, features: list[str], children: tuple[str, str]) -> str:
+    """Rows of ``src`` at the child they fall to, rows of nodes without a split left out."""
+    value = "CASE b.feature " + " ".join(f"WHEN '{f}' THEN CAST(a.{f} AS DOUBLE)" for f in features) + " END"
+    left, right = (c.format("b.node") for c in children)
+    return f"SELECT a.* EXCLUDE (node), CASE WHEN {value} > b.threshold THEN {right} ELSE {left} END AS node FROM {src} a JOIN {splits} b ON a.node = b.node"
+
+
+def _bins_sql(src: str, name: str, features: list[str], penalty: float, least_gain: float) -> str:
+    """CTE ``name``: the best second-order split of each node of ``src`` (node, y, bin of each feature as b0, b1, …); start in ``base``."""
+    pairs = " UNION ALL ".join(f"SELECT node, {k} AS fi, b{k} AS bin, y - m AS e FROM {src}, base" for k in range(len(features)))
+    return f"""{name}_v AS (SELECT node, fi, bin, count(*) AS n, -sum(e) AS g FROM ({pairs}) GROUP BY ALL),
+{name}_r AS (SELECT node, fi, bin, sum(n) OVER o AS hl, sum(g) OVER o AS gl, sum(n) OVER w AS h, sum(g) OVER w AS g FROM {name}_v WINDOW o AS (PARTITION BY node, fi ORDER BY bin), w AS (PARTITION BY node, fi)),
+{name} AS (SELECT *, gl * gl / (hl + {penalty}) + (g - gl) * (g - gl) / (h - hl + {penalty}) - g * g / (h + {penalty}) AS gain FROM {name}_r WHERE hl < h
+  QUALIFY gain > {least_gain} AND row_number() OVER (PARTITION BY node ORDER BY round(gain, 6) DESC, fi, bin) = 1)"""
+
+
+def _small_model_sql(mtx: str, split: str) -> dict[str, str]:
+    """Tree of two levels, first boosting tree, linear model: fitted in SQL."""
+    cal, roll = ["day", "month", "day_of_week"], [f"{m}_rolling_avg_7d" for m in FEATURE_MARKETS]
+    label = f"{TARGET_MARKET}_close"
+    base = f"m AS ({mtx}), s AS ({split}), d AS (SELECT datetime, {label} AS y, {', '.join(cal + roll)}, is_train FROM s)"
+    heap = ("2 * {}", "2 * {} + 1")
+    # every row walks down, splits come from the train rows
+    tree = (f"{base}, t1 AS (SELECT *, 1 AS node FROM d), f1 AS (SELECT * FROM t1 WHERE is_train), {_split_sql('f1', 's1', cal)}, "
+            f"t2 AS ({_below('t1', 's1', cal, heap)}), f2 AS (SELECT * FROM t2 WHERE is_train), {_split_sql('f2', 's2', cal)}, "
+            "sp AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2)")
+    out = {"tree_splits": f"WITH {tree} SELECT node, feature, threshold, n_left, n_right, round(gain, 4) AS gain, true AS fitted FROM sp"}
+    last = f"t3 AS ({_below('t2', 's2', cal, heap)} UNION ALL SELECT * EXCLUDE (node), node FROM t2 WHERE node NOT IN (SELECT node FROM s2))"
+    leaves = ("lv AS (SELECT 2 * node AS leaf, mean_left AS v FROM sp UNION ALL SELECT 2 * node + 1, mean_right FROM sp)")
+    tree_scores = f"{tree}, {last}, {leaves}, tree_out AS (SELECT 'tree' AS model, datetime AS key, y AS label, v AS prediction FROM t3 JOIN lv ON lv.leaf = t3.node WHERE NOT is_train)"
+    # boosting: bins end at quantiles of the train rows
+    cuts = ", ".join(f"list_sort(list_distinct([{', '.join(f'quantile_disc({f}, {k / 16!r})' for k in range(1, 16))}])) AS q{j}, max({f}) AS x{j}" for j, f in enumerate(roll))
+    kept = ", ".join(f"list_filter(q{j}, lambda q: q < x{j}) AS c{j}" for j in range(len(roll)))
+    bins = ", ".join(f"len(list_filter(c{j}, lambda q: q < {f})) AS b{j}" for j, f in enumerate(roll))
+    down = ("2 * {} + 1", "2 * {} + 2")
+    step = lambda src, best: (f"SELECT a.* EXCLUDE (node), CASE WHEN CASE b.fi {' '.join(f'WHEN {j} THEN a.b{j}' for j in range(len(roll)))} END > b.bin "
+                              f"THEN {down[1].format('b.node')} ELSE {down[0].format('b.node')} END AS node FROM {src} a JOIN {best} b ON a.node = b.node")
+    boost = (f"{base}, base AS (SELECT avg(y) AS m FROM d WHERE is_train), q AS (SELECT {cuts} FROM d WHERE is_train), c AS (SELECT {kept} FROM q), "
+             f"u1 AS (SELECT d.*, {bins}, 0 AS node FROM d, c), e1 AS (SELECT * FROM u1 WHERE is_train), {_bins_sql('e1', 'g1', roll, 1.0, 1e-9)}, "
+             f"u2 AS ({step('u1', 'g1')}), e2 AS (SELECT * FROM u2 WHERE is_train), {_bins_sql('e2', 'g2', roll, 1.0, 1e-9)}, "
+             "bs AS (SELECT * FROM g1 UNION ALL SELECT * FROM g2), "
+             "bw AS (SELECT 0 AS node, -0.3 * sum(m - y) / (count(*) + 1.0) AS weight FROM e1, base UNION ALL "
+             "SELECT 2 * node + 1, -0.3 * gl / (hl + 1.0) FROM bs UNION ALL SELECT 2 * node + 2, -0.3 * (g - gl) / (h - hl + 1.0) FROM bs)")
+    name = "CASE fi " + " ".join(f"WHEN {j} THEN '{f}'" for j, f in enumerate(roll)) + " END"
+    cut = "CASE fi " + " ".join(f"WHEN {j} THEN c{j}[bin + 1]" for j in range(len(roll))) + " END"
+    out["boosting_first_tree"] = f"WITH {boost} SELECT CAST(bw.node AS INTEGER) AS node, {name} AS feature, round({cut}, 6) AS cut, round(weight, 6) AS weight FROM bw LEFT JOIN bs ON bs.node = bw.node, c"
+    boost_scores = (f"{boost}, u3 AS ({step('u2', 'g2')} UNION ALL SELECT * FROM u2 WHERE node NOT IN (SELECT node FROM g2)), "
+                    "boost_out AS (SELECT 'boosting' AS model, datetime AS key, y AS label, m + weight AS prediction FROM u3 JOIN bw ON bw.node = u3.node, base WHERE NOT is_train)")
+    # linear: least squares by taking the features out of each other
+    xs = ", ".join(f"{f} AS x{k}" for k, f in enumerate(roll, 1))
+    linear = f"{base}, d_ AS (SELECT datetime AS close_time, y, {xs}, is_train FROM d), {_orthogonal_sql('d_', len(roll))}"
+    linear_scores = f"WITH {linear} SELECT 'linear' AS model, close_time AS key, y AS label, y - e AS prediction FROM d{len(roll)} WHERE NOT is_train"
+    union = (f"SELECT * FROM ({linear_scores}) UNION ALL SELECT * FROM (WITH {tree_scores} SELECT model, key, label, prediction FROM tree_out) "
+             f"UNION ALL SELECT * FROM (WITH {boost_scores} SELECT model, key, label, prediction FROM boost_out)")
+    out["candidate_scores"] = f"SELECT model, key, label, round(prediction, 4) AS prediction FROM ({union})"
+    out["best_candidate"] = (f"WITH r AS (SELECT model, sqrt(avg((label - prediction) * (label - prediction))) AS rmse FROM ({union}) GROUP BY model) "
+                             "SELECT model, round(rmse, 4) AS rmse, rmse = min(rmse) OVER () AS is_best FROM r")
+    return out
+
+
 def _least_squares_sql(matrix: str) -> str:
     """Least squares by orthogonalising the features one after the other over the train rows."""
     order = [FEATURE_MARKETS[0], FEATURE_MARKETS[3], FEATURE_MARKETS[1], FEATURE_MARKETS[2]]
     xs = ", ".join(f"{m}_average AS x{k}" for k, m in enumerate(order, 1))
     bucket = "CAST((('0x' || substr(md5(CAST(close_time AS VARCHAR)), 1, 8))::BIGINT) % 100 AS INTEGER)"
-    sql = (f"WITH m AS ({matrix}), d AS (SELECT close_time, {TARGET_MARKET}_close_price AS y, {xs}, {bucket} < 80 AS is_train FROM m), "
-           "c0 AS (SELECT avg(y) AS my, " + ", ".join(f"avg(x{k}) AS m{k}" for k in range(1, 5)) + " FROM d WHERE is_train), "
-           "d0 AS (SELECT close_time, y, is_train, y - my AS e, my, " + ", ".join(f"x{k} - m{k} AS x{k}" for k in range(1, 5)) + " FROM d, c0)")
-    for k in range(1, 5):      # take x_k out of y and of the features after it
-        rest = range(k + 1, 5)
+    data = f"WITH m AS ({matrix}), d AS (SELECT close_time, {TARGET_MARKET}_close_price AS y, {xs}, {bucket} < 80 AS is_train FROM m), "
+    return data + _orthogonal_sql("d", 4) + " SELECT close_time, y AS label, round(y - e, 4) AS prediction FROM d4 WHERE NOT is_train"
+
+
+def _orthogonal_sql(src: str, n: int) -> str:
+    """CTEs up to ``d<n>``: what is left of y (e) when the features x1 … xn of ``src`` are taken out one after the other."""
+    sql = (f"c0 AS (SELECT avg(y) AS my, " + ", ".join(f"avg(x{k}) AS m{k}" for k in range(1, n + 1)) + f" FROM {src} WHERE is_train), "
+           "d0 AS (SELECT close_time, y, is_train, y - my AS e, my, " + ", ".join(f"x{k} - m{k} AS x{k}" for k in range(1, n + 1)) + f" FROM {src}, c0)")
+    for k in range(1, n + 1):      # take x_k out of y and of the features after it
+        rest = range(k + 1, n + 1)
         slopes = [f"sum(e * x{k}) / sum(x{k} * x{k}) AS b"] + [f"sum(x{j} * x{k}) / sum(x{k} * x{k}) AS b{j}" for j in rest]
         sql += (f", c{k} AS (SELECT {', '.join(slopes)} FROM d{k - 1} WHERE is_train), d{k} AS (SELECT close_time, y, is_train, my, "
                 f"e - b * x{k} AS e" + "".join(f", x{j} - b{j} * x{k} AS x{j}" for j in rest) + f" FROM d{k - 1}, c{k})")
-    return sql + " SELECT close_time, y AS label, round(y - e, 4) AS prediction FROM d4 WHERE NOT is_train"
+    return sql
 
 
 def _stream_queries(base: dict[str, str]) -> dict[str, str]:
@@ -376,4 +457,9 @@ def _stream_queries(base: dict[str, str]) -> dict[str, str]:
     q["stream_wide_upsert"] = with_bars(
         f"SELECT {', '.join(sel)} FROM (SELECT * FROM rolled WHERE market = {_q(drv)}) d\n" + "\n".join(joins),
         extra=rolled)
+    q["stream_final_wide"] = q["stream_wide_upsert"]
+    late = (f"market = {_q(others[0])} AND (datetime // 3600000) % 6 = 5 AND (datetime - min(datetime) OVER ()) // "
+            "((max(datetime) OVER () - min(datetime) OVER ()) // 4 + 1) < 2")
+    q["stream_late_rows"] = with_bars(f"SELECT market, CASE WHEN {late} THEN 'late' ELSE 'final' END AS side, 1 AS one FROM bars WHERE market IN ({FEATS_IN})")
+    q["stream_late_rows"] = f"SELECT market, side, count(*) AS n FROM ({q['stream_late_rows']}) GROUP BY 1, 2"
     return q
