@@ -54,3 +54,27 @@ def test_merging_overlapping_pairs_from_the_left():
     ranks = PairRanks(np.array([1, 2, 2]), np.array([1, 2, 1]), np.array([2, 3, 4]))      # aa, (aa)(aa), (aa)a
     symbols = np.ones(1 + 2 + 3 + 4 + 5 + 7)
     assert merge_counts(symbols, np.cumsum([0, 1, 2, 3, 4, 5, 7]), ranks).tolist() == [1, 1, 1, 1, 2, 2]
+
+
+def test_hash_index_finds_what_was_added_and_nothing_else():
+    import numpy as np
+
+    from tidemark.llm.hashing import HashIndex
+    rng = np.random.default_rng(1)
+    first = rng.integers(0, 1 << 63, 30_000).astype(np.uint64)
+    first[1::2] = first[::2]                                  # pairs that share the first hash
+    second = np.arange(30_000, dtype=np.uint64)
+    index = HashIndex()
+    for a in range(0, 30_000, 7000):
+        index.add(first[a:a + 7000], second[a:a + 7000])
+    assert index.find(first, second).tolist() == list(range(30_000))
+    assert (index.find(first, second + np.uint64(30_000)) == -1).all() and len(index.find(first[:0], second[:0])) == 0
+
+
+def test_words_that_share_a_hash_keep_their_ids(monkeypatch):
+    import numpy as np
+
+    tokenizer = WordTokenizer(path("word_bpe_49k.json"))
+    monkeypatch.setattr(tokenizer.hasher, "hashes", lambda data, starts, ends: [np.zeros(len(starts), np.uint64), np.array([hash(data[a:b].tobytes()) & (1 << 63) - 1 for a, b in zip(starts, ends)], np.uint64)])
+    for text in ("one two three one", "two four"):
+        assert tokenizer.encode([text])[0].tolist() == tokenizer.library.encode(text, add_special_tokens=False).ids

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_text, runs, stored, text_batches
+from tidemark.llm.hashing import BASES, RunHasher, mixed
 
 TEXT_GRAM, PHRASE_GRAM = 5, 2
 SLACK = 8
@@ -67,32 +68,11 @@ LICENSES = [
 _LOWER = np.zeros(256, np.uint8)
 _LOWER[48:58], _LOWER[97:123], _LOWER[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
 _LOWER[65:91] = np.arange(97, 123)
-# odd multipliers of the two hash families, their inverses, and the final mixing
-_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
-class Hasher:
+class Hasher(RunHasher):
     """Hashes of all words of a batch of texts, from the bytes."""
 
-    def __init__(self) -> None:
-        self.powers = [np.ones(1, np.uint64) for _ in _BASES]
-        self.inverses = [np.ones(1, np.uint64) for _ in _BASES]
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers[0]) < n:
-            for k, base in enumerate(_BASES):
-                for own, step in ((self.powers, base), (self.inverses, pow(base, -1, 1 << 64))):
-                    factors = np.full(n, np.uint64(step))
-                    factors[0] = 1
-                    own[k] = np.cumprod(factors, dtype=np.uint64)
-
     def words(self, data: np.ndarray, at: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Two hashes of every word of texts ``data[at[i]:at[i+1]]``, and the words' offsets by text."""
         low = _LOWER[data]
@@ -103,30 +83,18 @@ class Hasher:
         start[1:] &= ~inside[:-1] | edge[1:-1]
         end = inside.copy()
         end[:-1] &= ~inside[1:] | edge[1:-1]
-        starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-        out = [np.zeros(len(starts), np.uint64) for _ in _BASES]
-        a = 0
-        while a < len(starts):
-            b = max(a + 1, int(np.searchsorted(ends, starts[a] + BATCH_BYTES, "right")))
-            base = starts[a]
-            piece = low[base:ends[b - 1]].astype(np.uint64)
-            self._grow(len(piece) + 1)
-            for k in range(len(_BASES)):
-                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(piece * self.powers[k][:len(piece)], dtype=np.uint64)))
-                own = (sums[ends[a:b] - base] - sums[starts[a:b] - base]) * self.inverses[k][starts[a:b] - base]
-                out[k][a:b] = _mixed(own + (ends[a:b] - starts[a:b]).astype(np.uint64))
-            a = b
-        return out, np.searchsorted(starts, at)
+        starts = np.flatnonzero(start)
+        return self.hashes(low, starts, np.flatnonzero(end) + 1, BATCH_BYTES), np.searchsorted(starts, at)
 
     def grams(self, words: list[np.ndarray], k: int) -> list[np.ndarray]:
         """Two hashes of the k words from each word on (rolling over all texts: the caller leaves out those that cross an end)."""
         n = max(0, len(words[0]) - k + 1)
         out = []
-        for family, base in zip(words, _BASES):
+        for family, base in zip(words, BASES):
             total = np.full(n, np.uint64(k))
             for j in range(k):
                 total = total * np.uint64(base) + family[j:j + n]
-            out.append(_mixed(total).view(np.int64))
+            out.append(mixed(total).view(np.int64))
         return out
 
 
