@@ -74,3 +74,37 @@ def test_files_outside_the_manifest_do_not_count(spark, pages):
 def test_empty_table(spark, pages):
     out = scratch_path(spark, "test-warc")
     assert write_warc(pages.limit(0), out).count() == 0 and read_warc(spark, out).count() == 0
+
+
+def written(spark, pages, **how):
+    """Name, records and SHA-256 of every archive."""
+    out = scratch_path(spark, "test-warc")
+    return out, [(r["path"].rsplit("/", 1)[1], r["records"], r["sha256"]) for r in write_warc(pages, out, **how).orderBy("part", "piece").collect()]
+
+
+def test_the_given_pages_give_the_same_archives_however_partitioned(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    first, again, dealt = (written(spark, p, ranges=4)[1] for p in (pages, pages, pages.repartition(7, "url")))
+    assert first == again == dealt and len(first) == 4
+    sizes = [n for _, n, _ in first]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_null_and_repeated_ids_are_cut_like_others(spark):
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"u{k}", f"payload {k // 2} " * 20) for k in range(300)]
+    rows += [(5, "same", "s" * 200)] * 150                                   # copies of one row
+    frame = spark.createDataFrame([(*r, "p", "d") for r in rows], "page_id long, url string, html string, payload string, digest string")
+    out, files = written(spark, frame.repartition(6), ranges=9)
+    sizes = sorted(n for _, n, _ in files)
+    assert len(files) == 9 and sizes[-1] <= 1.5 * sizes[4] and sizes[-1] - sizes[0] <= 1
+    assert files == written(spark, frame.repartition(2), ranges=9)[1]
+    got = read_warc(spark, out).collect()
+    assert sorted(((str(r["page_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got), key=str) == expected(rows)
+
+
+@pytest.mark.parametrize("ranges", [1, 40])
+def test_any_number_of_shards_holds_all_records(spark, pages, ranges):
+    out, files = written(spark, pages, ranges=ranges)
+    assert sum(n for _, n, _ in files) == len(ROWS)
+    rows = read_warc(spark, out).collect()
+    assert sorted(((str(r["page_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in rows), key=str) == expected(ROWS)
