@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemark.llm.decontaminate import ItemIndex, Searcher, keep_clean, keep_clean_rows, leaks, question_answer, shingles, words_of
+from tidemark.llm.decontaminate import ItemIndex, Searcher, keep_clean_rows, leaks, question_answer, shingles, words_of
 
 rnd = random.Random(7)
 WORDS = [f"w{k}" for k in range(400)] + ["the", "of", "and"] * 30
@@ -95,7 +95,7 @@ def test_leaks_equal_brute_force(spark):
     assert len(got) == len({(r["doc_id"], r["item_id"]) for r in got}) and {(r["doc_id"], r["item_id"]) for r in got} == expected
     split = leaks(documents, items, index_bytes=2000).collect()      # several indexes, the same statistics
     assert sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in split) == sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in got)
-    assert sorted(r["doc_id"] for r in keep_clean(documents, items).collect()) == sorted({d for d, _ in docs} - {d for d, _ in expected})
+    assert sorted(r["doc_id"] for r in keep_clean_rows(documents, items).collect()) == sorted({d for d, _ in docs} - {d for d, _ in expected})
 
 
 def test_edge_rows(spark, edge_docs, no_docs):
@@ -103,12 +103,10 @@ def test_edge_rows(spark, edge_docs, no_docs):
                                    (4, "alpha beta gamma delta alpha beta gamma delta")], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in leaks(edge_docs, items).collect()}
     assert got == {(d, i) for d in (1, 2, None) for i in (1, None)} | {(6, 4), (7, 4)}
-    clean = keep_clean(edge_docs, items)
-    assert clean.columns == edge_docs.columns and sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(["3", "4", "5", "8", "9", "9", "10"])
+    clean = keep_clean_rows(edge_docs, items)
+    assert clean.columns == edge_docs.columns and sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(["3", "4", "5", "8", "9", "9", "10", "None"])
     assert leaks(no_docs, items).count() == 0
-    assert leaks(edge_docs, items.limit(0)).count() == 0 and keep_clean(edge_docs, items.limit(0)).count() == edge_docs.count()
-
-
+    assert leaks(edge_docs, items.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("index_bytes", [1 << 22, 100])
@@ -121,3 +119,34 @@ def test_each_row_is_decided_by_itself(spark, edge_docs, no_docs, index_bytes):
     assert keep_clean_rows(edge_docs, items, index_bytes=index_bytes).schema == edge_docs.schema
     assert keep_clean_rows(edge_docs, items).count() == edge_docs.count() and keep_clean_rows(no_docs, items).count() == 0
     assert keep_clean_rows(edge_docs, items.limit(0)).count() == edge_docs.count()
+
+
+@pytest.mark.parametrize("inserted", [40])
+def test_inserted_words_hide_no_item_whatever_the_number_of_indexes(spark, inserted):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()][:200]
+    docs = []
+    for k, (_, text) in enumerate(items):
+        words = text.split()
+        half = len(words) // 2
+        spread = words[:half] + [f"x{rnd.randint(0, 10 ** 6)}" for _ in range(inserted)] + words[half:]
+        docs.append((k, " ".join([f"y{rnd.randint(0, 10 ** 6)}" for _ in range(rnd.randint(0, 150))] + spread + ["end"] * rnd.randint(0, 90))))
+    want = brute(docs, items)
+    documents, tests = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    size = sum(len(t.encode()) for _, t in items)
+    one, eight = ({(r["doc_id"], r["item_id"]) for r in leaks(documents, tests, index_bytes=b).collect()} for b in (1 << 22, size // 8 + 1))
+    assert len(want) > 100 and one == eight and one <= want and len(one) >= 0.99 * len(want)
+
+
+def test_copies_of_an_item_are_each_reported(spark):
+    items = spark.createDataFrame([(k, ITEMS[3][1]) for k in (5, 5, 9)] + [(None, ITEMS[3][1]), (7, ITEMS[8][1])], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so " + ITEMS[3][1]), (2, "nothing")], "doc_id long, text string")
+    assert sorted(str(r["item_id"]) for r in leaks(docs, items).collect()) == ["5", "5", "9", "None"]
+
+
+def test_question_and_answer_are_verified_together(spark):
+    question, answer = " ".join(f"q{k}" for k in range(20)) + "?", " ".join(f"a{k}" for k in range(20)) + "."
+    short = " ".join(f"s{k}" for k in range(30)) + "?"
+    items = spark.createDataFrame([(1, f"{question} {answer}"), (2, f"{short} yes.")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{question} {answer}"), (2, question), (3, answer), (4, short)], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["question_overlap"], r["answer_overlap"]) for r in leaks(docs, items).collect()}
+    assert got == {(1, 1): (1.0, 1.0), (4, 2): (1.0, 0.0)}            # half of the shingles do not suffice, nearly all do

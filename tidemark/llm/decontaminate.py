@@ -3,28 +3,33 @@
 Test items form an inverted index; its weights are BM25 contributions divided
 by the score of the item's own text, so a passage scores 1 where it holds all
 terms of an item. Every document is cut into overlapping passages of two blocks
-of words, a block at least as long as any item of the index, so each occurrence
-lies whole in some passage. Every passage is a query: all items that score
-``threshold`` or more are retrieved. Upper bounds of blocks of items, summed for
-all passages of a batch at once, skip most; the rest run block-max WAND, cursor
-by cursor. A retrieved item is a leak if ``overlap`` of the word shingles of its
-question and answer occur in the passage.
-
-An index holds at most ``index_bytes`` of item text and is broadcast; a larger
-test set is split into several, each queried with all passages, with the
-document frequencies of all items.
+of words, a block somewhat longer than the longest item of the whole benchmark.
+Every passage is a query: all items that score ``threshold`` or more are
+retrieved. Upper bounds of blocks of items, summed for all passages of a batch at
+once, skip most; the rest run block-max WAND, cursor by cursor. A retrieved item is
+verified in the passage and a block before and behind it, so an occurrence that
+inserted words stretch over two passages is counted whole.
+
+The rule: an item leaks if ``overlap`` of the word shingles of its question and of
+its answer, taken together, occur. Both parts' own shares are reported; one part
+alone suffices only if it holds so many of the shingles.
+
+Items of equal text are one item until they are reported. An index holds at most
+``index_bytes`` of item text and is broadcast; a larger test set is split into
+several, each queried with all passages, with the document frequencies, lengths
+and passages of the whole set, so the number of indexes changes no result.
 
 Defined results: a null or empty item never matches; a null or empty document
 has no passages; null ids are kept as they are; repeated documents are each
 reported; of items with equal text each is reported; an empty table gives no
-rows; further columns are ignored by ``leaks`` and kept by ``keep_clean`` and
-``keep_clean_rows``.
+rows; further columns are ignored by ``leaks`` and kept by ``keep_clean_rows``.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -157,11 +162,12 @@ class ItemIndex:
 
 
 class Searcher:
-    """Leaks of whole texts against one index."""
+    """Leaks of whole texts against one index of a benchmark whose longest item has ``longest`` words."""
 
-    def __init__(self, index: ItemIndex, shingle: int):
+    def __init__(self, index: ItemIndex, shingle: int, longest: int | None = None):
         self.index, self.shingle = index, shingle
-        self.size = max(LEAST_WORDS, index.longest + index.longest // 8)
+        longest = index.longest if longest is None else longest
+        self.size = max(LEAST_WORDS, longest + longest // 8)
 
     def terms(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Term ids (0: not in the index) of all words in order, and offsets by text."""
@@ -186,7 +192,7 @@ class Searcher:
                 if not hits:
                     continue
                 start = at[doc] + first
-                words = ids[start:min(start + 2 * self.size, at[doc + 1])].tolist()
+                words = ids[max(at[doc], start - self.size):min(start + 3 * self.size, at[doc + 1])].tolist()
                 grams: dict[int, set] = {}
                 for item, score in hits:
                     shared, total, each = 0, 0, []
@@ -203,40 +209,60 @@ class Searcher:
         return out
 
 
-def item_indexes(items: DataFrame, shingle: int, index_bytes: int = INDEX_BYTES) -> Iterator[ItemIndex]:
-    """Indexes over (item_id, text), each of about ``index_bytes`` of text at most."""
+@dataclass(frozen=True)
+class Benchmark:
+    """Distinct item texts (rep, text), the items that have them (item_id, rep), and the whole set's statistics."""
+    texts: DataFrame
+    owners: DataFrame
+    counted: DataFrame
+    n_items: int
+    mean_words: float
+    longest: int
+    index_bytes: int
+    shingle: int
+
+    def indexes(self) -> Iterator[ItemIndex]:
+        """Indexes over the distinct texts, each of about ``index_bytes`` at most."""
+        size = self.texts.agg(F.sum(F.octet_length("text"))).first()[0]
+        n_indexes = max(1, -(-size // self.index_bytes))
+        for k in range(n_indexes):
+            part = self.texts.where(F.pmod(F.xxhash64("text"), F.lit(n_indexes)) == k)
+            rows = [(r["rep"], r["text"]) for r in part.collect()]     # about index_bytes
+            own = part.mapInArrow(_terms, "term string, n long").select("term").distinct()
+            yield ItemIndex(rows, self.n_items, self.mean_words, {r["term"]: r["df"] for r in self.counted.join(own, "term", "left_semi").collect()}, self.shingle)
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct terms of each item, and a row with the empty term and its number of words."""
+    for batch in text_batches(batches):
+        for text in batch["text"].to_pylist():
+            words = words_of(text)
+            yield pa.RecordBatch.from_pydict({"term": sorted(set(words)) + [""], "n": [0] * len(set(words)) + [len(words)]},
+                                             pa.schema([("term", pa.string()), ("n", pa.int64())]))
+
+
+def benchmark(items: DataFrame, shingle: int, index_bytes: int = INDEX_BYTES) -> Benchmark | None:
+    """``items`` (item_id, text) prepared; None if they have no words."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty("text").alias("text"))
-
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
-            for text in batch["text"].to_pylist():
-                words = words_of(text)
-                yield pa.RecordBatch.from_pydict({"term": sorted(set(words)) + [""], "n": [0] * len(set(words)) + [len(words)]},
-                                                 pa.schema([("term", pa.string()), ("n", pa.int64())]))
-
-    counted = stored(items.mapInArrow(terms, "term string, n long").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("n")), "op7-terms")
-    total = counted.where("term = ''").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).first()
+    counted = stored(items.mapInArrow(_terms, "term string, n long").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("n"), F.max("n").alias("most")), "op7-terms")
+    total = counted.where("term = ''").agg(F.sum("df").alias("df"), F.sum("n").alias("n"), F.max("most").alias("most")).first()
     if not total["n"]:
-        return
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0]
-    n_indexes = -(-size // index_bytes)
-    for k in range(n_indexes):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_indexes)) == k)
-        rows = [(r["item_id"], r["text"]) for r in part.collect()]     # about index_bytes
-        own = part.mapInArrow(terms, "term string, n long").select("term").distinct()
-        yield ItemIndex(rows, total["df"], total["n"] / total["df"], {r["term"]: r["df"] for r in counted.join(own, "term", "left_semi").collect()}, shingle)
+        return None
+    texts = stored(items.select("text").distinct().withColumn("rep", F.monotonically_increasing_id()), "op7-texts")
+    owners = items.join(texts, "text").select("item_id", "rep")
+    return Benchmark(texts, owners, counted, total["df"], total["n"] / total["df"], total["most"], index_bytes, shingle)
 
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: float = 0.8, shingle: int = 5, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """Rows (doc_id, item_id, score, overlaps, first_word) for each document (doc_id,
     text) and item (item_id, text) that it holds, at the passage of most overlap."""
-    spark, found = docs.sparkSession, None
+    spark, found, marks = docs.sparkSession, None, benchmark(items, shingle, index_bytes)
 
-    def search(index: ItemIndex) -> DataFrame:
+    def search(index: ItemIndex, longest: int) -> DataFrame:
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(shared.value, shingle)
+            searcher = Searcher(shared.value, shingle, longest)
             for batch in text_batches(batches):
                 ids, rows = batch["doc_id"].to_pylist(), searcher.leaks(batch["text"].to_pylist(), threshold, overlap)
                 types = [pa.int64(), pa.int64(), *[pa.float64()] * 4, pa.int64()]
@@ -245,17 +271,13 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: fl
 
         return id_text(docs).mapInArrow(run, LEAKS)
 
-    for index in item_indexes(items, shingle, index_bytes):
-        part = search(index)
+    if marks is None:
+        return spark.createDataFrame([], LEAKS)
+    for index in marks.indexes():
+        part = search(index, marks.longest)
         found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], LEAKS)
-
-
-def keep_clean(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
-    """The rows of ``docs`` whose doc_id (null equal to null) has no row that holds
-    an item, with all their columns; ``keep_clean_rows`` decides each row by itself."""
-    found = stored(leaks(docs, items, **options).select(F.col("doc_id").alias("__leak_id")).distinct(), "op7-leaks", "snappy")
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak_id")), "left_anti")
+    names = [f.split()[0] for f in LEAKS.split(", ")]
+    return found.withColumnRenamed("item_id", "rep").join(marks.owners, "rep").select(*names)
 
 
 def keep_clean_rows(docs: DataFrame, items: DataFrame, threshold: float = 0.6, overlap: float = 0.8, shingle: int = 5, index_bytes: int = INDEX_BYTES) -> DataFrame:
@@ -263,11 +285,11 @@ def keep_clean_rows(docs: DataFrame, items: DataFrame, threshold: float = 0.6, o
     decided by itself. Between the passes of several indexes the rows are stored,
     so a task holds one index."""
 
-    def clean(rows: DataFrame, index: ItemIndex) -> DataFrame:
+    def clean(rows: DataFrame, index: ItemIndex, longest: int) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def judge() -> Callable[[list[str]], np.ndarray]:
-            searcher = Searcher(shared.value, shingle)
+            searcher = Searcher(shared.value, shingle, longest)
 
             def accept(texts: list[str]) -> np.ndarray:
                 keep = np.ones(len(texts), bool)
@@ -278,6 +300,7 @@ def keep_clean_rows(docs: DataFrame, items: DataFrame, threshold: float = 0.6, o
 
         return filter_texts(rows, judge)
 
-    for k, index in enumerate(item_indexes(items, shingle, index_bytes)):
-        docs = clean(stored(docs, "op7-clean", "snappy") if k else docs, index)
+    marks = benchmark(items, shingle, index_bytes)
+    for k, index in enumerate(marks.indexes() if marks else ()):
+        docs = clean(stored(docs, "op7-clean", "snappy") if k else docs, index, marks.longest)
     return docs
