@@ -6,7 +6,7 @@ import __spark_entry__ as se
 
 SF = "/root/testdata/sf0.01"
 # fits and streams run whole jobs while they are built; the training-data operators are tested in tests/llm
-HEAVY = ("train_", "best_model", "model_roundtrip", "close_time_linear", "score_requests", "stream_", "op", "pipeline")
+HEAVY = ("train_", "best_model", "model_roundtrip", "close_time_linear", "score_requests", "stream_", "op", "pipeline", "tree_splits", "boosting_", "candidate_", "best_candidate", "paged_stream")
 BATCH = sorted(k for k in se.queries() if not k.startswith(HEAVY))
 
 
@@ -57,3 +57,21 @@ def test_event_scans_are_pruned(spark):
     text = formatted(spark, se.queries()["point_avg"](spark, SF))
     read = [ln for ln in text.splitlines() if ln.startswith("ReadSchema")]
     assert read and all("props" not in ln and "user_id" not in ln for ln in read)
+
+
+def test_latest_bars_opens_the_files_of_the_index_only(spark):
+    from tidemark.plans import catalog as c
+    from tidemark.sources import store
+    newest = store.bar_stats(spark, c.bar_store_path(spark, SF)).latest("market", 1)
+    whole = c.bar_store(spark, SF)
+    assert 0 < len(newest.inputFiles()) < len(whole.inputFiles())
+
+
+def test_scaled_features_fit_reads_no_matrix(spark):
+    text = formatted(spark, se.queries()["scaled_features"](spark, SF))
+    assert text.split("\n\n")[0].count("Scan parquet") == 1 and "Aggregate" not in text.split("\n\n")[0]
+
+
+def test_narrow_range_chunks_sum_before_they_shuffle(spark):
+    tree = formatted(spark, se.queries()["tick_avg_range7d"](spark, SF)).split("\n\n")[0]
+    assert tree.count("HashAggregate") == 2 and tree.count("Scan parquet") == 2      # chunk totals: partial and final

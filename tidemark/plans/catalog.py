@@ -30,9 +30,11 @@ from tidemark.operators import serving as sv
 from tidemark.operators.windows import point_mean, trailing_mean_range, trailing_mean_rows
 from tidemark.schemas import BAR_COLUMNS, FEATURE_COLUMNS, require_columns
 from tidemark.session import materialize, scratch_path
+from tidemark.sources import paged as pg
 from tidemark.sources import replies as rp
-from tidemark.sources import store
+from tidemark.sources import stats, store
 from tidemark.sources.bars import FEATURE_MARKETS, TARGET_MARKET, bars_from_events, ticks_from_events
+from tidemark.sources.stats import StoreStats
 from tidemark.sources.tables import read_with_schema, table
 from tidemark.streaming import finalize as fin
 from tidemark.streaming import klines as sk
@@ -53,16 +55,27 @@ def register(name: str):
 _STORES: dict[tuple, str] = {}
 
 
-def bar_store(spark: SparkSession, sf_dir: str, bucket="hour") -> DataFrame:
-    """The bar store of a dataset: derived from events and written once per
-    session to the shared folder (the ingest step); later plans scan it."""
-    key = (spark.conf.get("spark.app.id", "app"), sf_dir.rstrip("/"), bucket)
-    path = _STORES.get(key)
-    if path is None:
-        path = scratch_path(spark, f"bars-{bucket}")
-        store.write_bars(bars_from_events(table(spark, sf_dir, "events"), bucket), path)
+def stored_once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], None]) -> str:
+    """Path of what ``write`` made of a dataset, once per session, in the shared folder."""
+    key = (spark.conf.get("spark.app.id", "app"), sf_dir.rstrip("/"), what)
+    if key not in _STORES:
+        path = scratch_path(spark, what)
+        write(path)
         _STORES[key] = path
-    return store.read_bars(spark, path)
+    return _STORES[key]
+
+
+def bar_store_path(spark: SparkSession, sf_dir: str, bucket="hour") -> str:
+    """The bar store of a dataset: derived from events and written once per session
+    to the shared folder (the ingest step), with its statistics; later plans scan it."""
+    def write(path: str) -> None:
+        store.write_bars(bars_from_events(table(spark, sf_dir, "events"), bucket), path)
+        store.bar_stats(spark, path).update()
+    return stored_once(spark, sf_dir, f"bars-{bucket}", write)
+
+
+def bar_store(spark: SparkSession, sf_dir: str, bucket="hour") -> DataFrame:
+    return store.read_bars(spark, bar_store_path(spark, sf_dir, bucket))
 
 
 def bars(spark: SparkSession, sf_dir: str, bucket="hour", stored: bool = False) -> DataFrame:
@@ -162,8 +175,9 @@ def q_first_bars(spark, sf_dir):
 
 @register("latest_bars")
 def q_latest_bars(spark, sf_dir):
-    return ex.latest_per_key(bars(spark, sf_dir).select("market", "datetime", "close", "nbr_trades"),
-                             "market", "datetime", 24)
+    """O3: the newest rows of each market, from the files that the store's index names."""
+    newest = store.bar_stats(spark, bar_store_path(spark, sf_dir)).latest("market", 24)
+    return ex.latest_per_key(newest.select("market", "datetime", "close", "nbr_trades"), "market", "datetime", 24)
 
 
 @register("first_close_time")
@@ -220,6 +234,13 @@ def q_epoch_roundtrip(spark, sf_dir):
 
 @register("feature_summary")
 def q_feature_summary(spark, sf_dir):
+    """A7 from the store's moments: a merge of a row for each market, column and month."""
+    return stats.summary(store.bar_stats(spark, bar_store_path(spark, sf_dir)).moments(), "market")
+
+
+@register("feature_summary_scan")
+def q_feature_summary_scan(spark, sf_dir):
+    """A7 by one aggregate over the rows."""
     return ex.summary(bars(spark, sf_dir), "market", ["close", "volume", "nbr_trades"])
 
 
@@ -270,6 +291,42 @@ def q_kline_array_decode(spark, sf_dir):
     return good
 
 
+def landed_pages(spark, sf_dir) -> str:
+    """Reply pages of the dataset, fetched in two runs: the markets one after the other."""
+    def write(root: str) -> None:
+        replies = rp.kline_array_replies(bars(spark, sf_dir, stored=True))
+        pg.land_pages(replies.filter(F.col("symbol") == TARGET_MARKET), root, 0)
+        pg.land_pages(replies.filter(F.col("symbol") != TARGET_MARKET), root, 1)
+    return stored_once(spark, sf_dir, "pages", write)
+
+
+@register("paged_replies")
+def q_paged_replies(spark, sf_dir):
+    """The landed pages through the data source, decoded."""
+    return rp.decode_kline_arrays(pg.read_replies(spark, landed_pages(spark, sf_dir)))[0]
+
+
+@register("paged_week")
+def q_paged_week(spark, sf_dir):
+    """The last 7 days from the pages that touch them."""
+    last = bars(spark, sf_dir, stored=True).agg(F.max("datetime").alias("m")).first()["m"]
+    return pg.bars_between(spark, landed_pages(spark, sf_dir), last - WEEK_MS, last)
+
+
+@register("paged_stream")
+def q_paged_stream(spark, sf_dir):
+    """K1: a stream over the pages that stops after the first landing and resumes at its offset."""
+    root, out = landed_pages(spark, sf_dir), scratch_path(spark, "paged-stream")
+    first = scratch_path(spark, "pages-arriving")
+    replies = pg.read_replies(spark, root)
+    for landing, own in ((0, F.col("symbol") == TARGET_MARKET), (1, F.col("symbol") != TARGET_MARKET)):
+        pg.land_pages(replies.filter(own), first, landing)
+        query = (pg.stream_replies(spark, first).writeStream.format("parquet").option("checkpointLocation", f"{out}-checkpoint")
+                 .trigger(availableNow=True).start(out))
+        sk.run_until_done(query)
+    return rp.decode_kline_arrays(spark.read.parquet(out))[0]
+
+
 @register("tolerant_decode")
 def q_tolerant_decode(spark, sf_dir):
     replies = rp.error_reply_for(rp.kline_array_replies(bars(spark, sf_dir, stored=True)), FAILING_SYMBOL)
@@ -422,8 +479,22 @@ def q_limit_price(spark, sf_dir):
 TARGET_COL = f"{TARGET_MARKET}_close"
 
 
+def matrix_stats(spark, sf_dir) -> StoreStats:
+    """The split matrix, written once per session by month with the moments of its continuous columns."""
+    def made() -> DataFrame:
+        return mf.with_split(q_market_feature_matrix(spark, sf_dir), "datetime", 75).withColumn(store.MONTH, store.month_of())
+
+    schema = made().schema
+    columns = mf.continuous_columns(schema.fieldNames(), exclude=(TARGET_COL, "datetime"))
+
+    def write(path: str) -> None:
+        made().repartition(store.MONTH).write.partitionBy(store.MONTH).parquet(path)
+        StoreStats(spark, path, schema, store.MONTH, ["is_train"], columns, "datetime").update()
+    return StoreStats(spark, stored_once(spark, sf_dir, "matrix", write), schema, store.MONTH, ["is_train"], columns, "datetime")
+
+
 def split_matrix(spark, sf_dir) -> DataFrame:
-    return mf.with_split(q_market_feature_matrix(spark, sf_dir), "datetime", 75)
+    return matrix_stats(spark, sf_dir).rows().drop(store.MONTH)
 
 
 @register("hash_split")
@@ -433,12 +504,10 @@ def q_hash_split(spark, sf_dir):
 
 @register("scaled_features")
 def q_scaled_features(spark, sf_dir):
-    # fit (statistics) and apply both read the matrix: compute it once
-    m = materialize(split_matrix(spark, sf_dir))
-    cont = mf.continuous_columns(m.columns, exclude=(TARGET_COL, "datetime"))
-    stats = mf.population_stats(m.filter("is_train"), cont)
-    z = mf.standardise(m, stats)
-    return z.select("datetime", *[F.round(c, 6).alias(c) for c in cont])
+    """ML4: the fit is a merge of the stored moments of the train rows, the matrix is read once."""
+    stored = matrix_stats(spark, sf_dir)
+    z = mf.standardise(stored.rows(), stats.population(stored.moments().filter("is_train")))
+    return z.select("datetime", *[F.round(c, 6).alias(c) for c in stored.columns])
 
 
 @register("one_hot_calendar")

@@ -169,7 +169,7 @@ def _explore_queries() -> dict[str, str]:
             f"CAST(sum(CAST({c} AS {DEC})) AS DOUBLE) / count({c}) AS mean, "
             f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, "
             f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM bars GROUP BY market")
-    q["feature_summary"] = with_bars("\nUNION ALL\n".join(summ))
+    q["feature_summary"] = q["feature_summary_scan"] = with_bars("\nUNION ALL\n".join(summ))
     # Driver rows left-joined with the other markets, absent values 0
     drv, others = FEATURE_MARKETS[0], FEATURE_MARKETS[1:]
     wr = "(PARTITION BY market ORDER BY datetime RANGE BETWEEN 604800000 PRECEDING AND CURRENT ROW)"
@@ -203,6 +203,8 @@ def _reply_queries() -> dict[str, str]:
     bar_cols = ("market, datetime, open, high, low, close, volume, close_time, qav, nbr_trades, "
                 "taker_base_vol, taker_quote_vol, date, year, month, day, day_of_week")
     q["kline_array_decode"] = with_bars(f"SELECT {bar_cols} FROM bars")
+    q["paged_replies"] = q["paged_stream"] = q["kline_array_decode"]
+    q["paged_week"] = with_bars(f"SELECT {bar_cols} FROM bars WHERE datetime >= (SELECT max(datetime) FROM bars) - 604800000")
     q["tolerant_decode"] = with_bars(f"SELECT {bar_cols} FROM bars WHERE market <> 'error'")
     day = "(epoch_us(ts) // 86400000000) * 86400000"
     q["symbol_list"] = f"SELECT DISTINCT {day} AS server_time, event_type AS symbol FROM events"

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import BAR_COLUMNS, BAR_SCHEMA, require_columns
+from tidemark.sources.stats import StoreStats
 
 MONTH = "bar_month"
+SUMMARY_COLUMNS = ["close", "volume", "nbr_trades"]
 STORED_SCHEMA = T.StructType([*BAR_SCHEMA.fields, T.StructField(MONTH, T.IntegerType())])
 
 
@@ -35,6 +37,11 @@ def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
      .write.mode(mode).partitionBy("market", MONTH).parquet(path))
 
 
+def bar_stats(spark: SparkSession, path: str) -> StoreStats:
+    """Moments and file index kept beside the store (``update`` after a write)."""
+    return StoreStats(spark, path, STORED_SCHEMA, MONTH, ["market"], SUMMARY_COLUMNS, "datetime")
+
+
 def unique_bars(bars: DataFrame) -> DataFrame:
     """One row per (market, datetime): of copies that differ the last closed one
     (``close_time``), then the one of the most trades, then of the greatest
@@ -67,6 +74,9 @@ def append_bars(bars: DataFrame, path: str) -> None:
         # the anti join reads the stored keys before the append commits
         new = new.join(have.select("market", "datetime"), on=["market", "datetime"], how="left_anti")
     write_bars(new, path, mode="append")
+    stats = bar_stats(bars.sparkSession, path)
+    if have is not None and stats.tables.versions():             # kept for this store: the batch's months change
+        stats.update([m for m in range(span["first"], span["last"] + 1) if 1 <= m % 100 <= 12])
 
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
