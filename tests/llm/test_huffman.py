@@ -91,3 +91,13 @@ def test_a_cut_file_is_refused(spark, edge_docs, tmp_path):
     with pytest.raises(ValueError):
         list(read_file(str(cut)))
     assert zlib.crc32(whole) == zlib.crc32(open(write_ids(edge_docs, f"{tmp_path}/again", TOKENIZER, files=1).first()["path"], "rb").read())
+
+
+def test_null_and_repeated_ids_are_cut_like_others(spark):
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else -k, "same text" if k % 2 else f"text {k}") for k in range(240)]
+    out = scratch_path(spark, "test-ids")
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sizes = sorted(r["n_docs"] for r in write_ids(frame, out, TOKENIZER, files=8).collect())
+    assert len(sizes) == 8 and sizes[0] == sizes[-1] == 30
+    got = [r["doc_id"] for r in read_ids(spark, out).orderBy("start").collect()]
+    assert got == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))

@@ -1,17 +1,20 @@
 """Registered queries on the given tables, against SQL or brute force, and the pipeline against its plain form."""
 
+import re
 import zlib
 from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, quality
+from tidemark.llm import decontaminate, quality, toxicity
 from tidemark.llm.linear import WordWeights
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 from tidemark.sources.tables import table
@@ -23,7 +26,7 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
@@ -143,9 +146,57 @@ def test_op10(spark, texts):
     assert sorted((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in got) == want
 
 
-@pytest.mark.parametrize("name", ["op3_quality", "op8_toxicity"])
-def test_every_document_is_scored(spark, texts, name):
-    assert sorted(r["doc_id"] for r in QUERIES[name](spark, SF).collect()) == sorted(texts)
+def plain_mean_weight(text, weights):
+    """A text's quality score, word by word: mean weight of its words, a repeated word adds its own feature."""
+    total = 0.0
+    words = [w for w in re.split("[\t\n\x0b\x0c\r ]+", text) if w]
+    for k, word in enumerate(words):
+        total += sum(weights[i] for i in quality.features(word))
+        if k and words[k - 1] == word:
+            total += weights[quality.REPEATED]
+    return total / max(1, len(words))
+
+
+def test_op3_equals_a_plain_refit(spark, texts):
+    docs = table(spark, SF, "documents")
+    sample, grades = quality.rated_sample(docs, quality.ratings(table(spark, SF, "labels")), quality.SAMPLE_ROWS)
+    weights, cuts = quality.fit(sample, grades)
+    got = {r["doc_id"]: r for r in QUERIES["op3_quality"](spark, SF).collect()}
+    assert sorted(got) == sorted(texts)
+    for d, t in texts.items():
+        score = plain_mean_weight(t, weights)
+        tails = [1 / (1 + np.exp(c - score)) for c in cuts]
+        r = got[d]
+        assert (r["score"], r["expected_grade"], r["tail_probability"]) == pytest.approx((score, sum(tails), tails[0]), abs=1e-6)
+        assert r["kept"] == (r["tail_probability"] >= 0.6)
+
+
+def test_op8_equals_a_plain_refit(spark, texts):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    weights, bias = toxicity.fit(*toxicity.training_sample(docs, labels, toxicity.SAMPLE_ROWS))
+    got = {r["doc_id"]: r for r in QUERIES["op8_toxicity"](spark, SF).collect()}
+    assert sorted(got) == sorted(texts)
+    for d, t in texts.items():
+        words = {w for w in re.split("[\t\n\x0b\x0c\r ]+", pc.utf8_lower(pa.scalar(t)).as_py()) if w}
+        score = 1 / (1 + np.exp(-bias - sum(weights[i] for w in words for i in toxicity.features(w))))
+        assert got[d]["score"] == pytest.approx(score, abs=1e-6)
+        assert got[d]["predicted"] == int(got[d]["score"] >= 0.5) and got[d]["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0)
+
+
+def test_the_fit_itself_is_that_of_its_loss():
+    """Cumulative-link weights: the loss that the fit reports no better than cannot be lowered by moving a threshold."""
+    rnd = np.random.default_rng(4)
+    sample = [" ".join(rnd.choice(["good", "fine", "bad", "awful", "the", "of"], 12, p=p)) for p in [[.4, .3, .05, .05, .1, .1]] * 60 + [[.05, .05, .4, .3, .1, .1]] * 60]
+    grades = np.array([2, 1] * 30 + [0, 0, 0, 1] * 15)
+    weights, cuts = quality.fit(sample, grades)
+    score = np.array([plain_mean_weight(t, weights) for t in sample])
+
+    def loss(cuts):
+        below = np.concatenate(([1.0 * np.ones(len(score))], 1 / (1 + np.exp(np.array(cuts)[:, None] - score)), [np.zeros(len(score))]))
+        return -np.log(np.maximum(1e-12, below[grades, np.arange(len(score))] - below[grades + 1, np.arange(len(score))])).mean()
+    best = loss(cuts)
+    assert cuts[0] < cuts[1] and score[grades == 2].mean() > score[grades == 0].mean()
+    assert all(loss(cuts + np.array(d)) > best - 1e-3 for d in [(0.3, 0), (-0.3, 0), (0, 0.3), (0, -0.3)])
 
 
 def test_pipeline_equals_its_plain_form(spark, duck, texts, word_ids):
@@ -182,3 +233,28 @@ def test_stages_return_the_columns_of_documents(spark):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns, name
         assert 0 < out.count() <= docs.count()
+
+
+def test_every_operator_is_registered():
+    import __spark_entry__ as entry
+    names = set(entry.queries())
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")} and "pipeline" in names
+
+
+@pytest.mark.parametrize("keep_rows", [True, False], ids=["edge", "empty"])
+def test_pipeline_on_edge_rows_and_on_none(spark, tmp_path, edge_docs, no_docs, keep_rows):
+    """Null and repeated ids, null, empty and long texts, clashing names: every stage keeps the columns, the last packs whole texts."""
+    docs = (edge_docs if keep_rows else no_docs).repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    rows = table(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, str(tmp_path))
+        assert out.columns == rows.columns, name
+        out.count()
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    library, whole = Tokenizer.from_file(path("word_bpe_49k.json")), {r["doc_id"]: r["text"] or "" for r in rows.collect()}
+    for r in pieces:
+        assert r["doc_tokens"] == len(library.encode(whole[r["doc_id"]], add_special_tokens=False).ids) + 1 or r["doc_id"] is None
+    assert bool(pieces) == keep_rows

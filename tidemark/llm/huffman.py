@@ -23,6 +23,7 @@ no rows; further columns are ignored.
 from __future__ import annotations
 
 import struct
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import binary_array, id_text, open_fs, runs, shuffle_count, stored, text_batches, write_file
+from tidemark.llm.ranks import ranked
 from tidemark.llm.tokens import word_tokenizer
 from tidemark.session import scratch_path
 
@@ -153,21 +155,36 @@ class Code:
 # ---- Spark ----------------------------------------------------------------
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> DataFrame:
-    """(doc_id, tie, n_ids, ids): ids as packed little-endian integers of
-    2 bytes (4 for a vocabulary over 65,536); tie orders rows of one doc_id."""
+    """(doc_id, tie, row, n_ids, ids): ids as packed little-endian integers of 2 bytes
+    (4 for a vocabulary over 65,536); tie orders rows of one doc_id, row is a number of its own."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(tokenizer_path)
-        width = id_type(tokenizer.vocab_size, end_id)
+        width, row = id_type(tokenizer.vocab_size, end_id), TaskContext.get().partitionId() << 40
         for batch in text_batches(batches):
+            numbers = row + np.arange(batch.num_rows)
+            row += batch.num_rows
             ids, at = tokenizer.encode(batch["text"].to_pylist())
             if end_id is not None:
                 ids, at = np.insert(ids, at[1:], end_id), at + np.arange(len(at))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tie"], pa.array(np.diff(at)), binary_array(ids.astype(width), at)],
-                                             ["doc_id", "tie", "n_ids", "ids"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tie"], pa.array(numbers), pa.array(np.diff(at)), binary_array(ids.astype(width), at)],
+                                             ["doc_id", "tie", "row", "n_ids", "ids"])
 
     return (id_text(docs).withColumn("tie", F.xxhash64("text"))
-            .mapInArrow(encode, "doc_id long, tie long, n_ids long, ids binary"))
+            .mapInArrow(encode, "doc_id long, tie long, row long, n_ids long, ids binary"))
+
+
+def part_starts(tokens: DataFrame, parts: int) -> list[tuple]:
+    """Keys of the rows at which parts of equal numbers of documents begin, exact places in
+    the order (doc_id null first, tie, row); ``parts - 1`` rows at most reach the driver."""
+    placed = ranked(tokens.select(F.lit(0).alias("all"), "doc_id", "tie", "row"), "all", ["doc_id", "tie", "row"], "op1-order")
+    part = lambda place: F.expr(f"(({place}) * {parts}L) div group_rows")
+    cuts = placed.where((F.col("place") > 0) & (part("place") != part("place - 1"))).select("doc_id", "tie", "row").collect()
+    return sorted(order_key(*r) for r in cuts)
+
+
+def order_key(doc_id: int | None, tie: int, row: int) -> tuple:
+    return doc_id is not None, doc_id or 0, tie, row
 
 
 def id_type(vocab_size: int, end_id: int | None) -> str:
@@ -196,8 +213,9 @@ def write_ids(docs: DataFrame, out: str, tokenizer_path: str, end_id: int | None
     """Write ``docs`` (doc_id, text) under ``out`` in ascending doc_id order; returns
     the manifest (part, piece, path, n_docs, n_ids, n_bytes), also stored there.
 
-    Ranges of ids follow the quantiles of doc_id, one task writes one range and
-    rolls its files by size. Only coded documents are shuffled.
+    Parts hold equal numbers of documents, cut at exact places of their order, so null
+    or repeated ids are cut too; one task writes one part and rolls its files by size.
+    Only coded documents are shuffled.
     """
     spark = docs.sparkSession
     parts = files or shuffle_count(spark)
@@ -205,8 +223,7 @@ def write_ids(docs: DataFrame, out: str, tokenizer_path: str, end_id: int | None
     size, width = max(tokenizer.vocab_size, (end_id or 0) + 1), id_type(tokenizer.vocab_size, end_id)
     tokens = stored(token_ids(docs, tokenizer_path, end_id), "op1-ids")
     lengths = spark.sparkContext.broadcast(code_lengths(id_counts(tokens, size, width), max_bits))  # one byte per vocabulary id
-    quantiles = tokens.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    bounds = np.unique(np.array(quantiles, np.float64))
+    starts = part_starts(tokens, parts)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(lengths.value)
@@ -217,11 +234,11 @@ def write_ids(docs: DataFrame, out: str, tokenizer_path: str, end_id: int | None
                 rows = batch.slice(a, b - a)
                 ids = np.frombuffer(b"".join(x.as_buffer() for x in rows["ids"]), width)
                 words, words_at, marks, marks_at = code.encode(ids, runs(n_ids[a:b]))
-                key = rows["doc_id"].fill_null(-1 << 63).to_numpy()
+                part = [bisect_right(starts, order_key(*key)) for key in zip(*(rows[c].to_pylist() for c in ("doc_id", "tie", "row")))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.searchsorted(bounds, key, "right").astype(np.int32)), rows["doc_id"], rows["tie"], rows["n_ids"],
+                    [pa.array(part, pa.int32()), rows["doc_id"], rows["tie"], rows["row"], rows["n_ids"],
                      binary_array(words, words_at), binary_array(marks, marks_at)],
-                    ["part", "doc_id", "tie", "n_ids", "code", "marks"])
+                    ["part", "doc_id", "tie", "row", "n_ids", "code", "marks"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -250,9 +267,9 @@ def write_ids(docs: DataFrame, out: str, tokenizer_path: str, end_id: int | None
                 (sum(i[1] for i in index), pa.int64()), (n_bytes, pa.int64()))],
                 ["part", "piece", "path", "n_docs", "n_ids", "n_bytes"])
 
-    (tokens.mapInArrow(encode, "part int, doc_id long, tie long, n_ids long, code binary, marks binary")
-     .repartitionById(len(bounds) + 1, F.col("part"))
-     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
+    (tokens.mapInArrow(encode, "part int, doc_id long, tie long, row long, n_ids long, code binary, marks binary")
+     .repartitionById(len(starts) + 1, F.col("part"))
+     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie", "row")
      .mapInArrow(write, "part long, piece long, path string, n_docs long, n_ids long, n_bytes long")
      .write.parquet(f"{out}/_manifest"))
     return spark.read.parquet(f"{out}/_manifest")

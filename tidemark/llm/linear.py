@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from tidemark.llm.common import batches_of, ragged_gather, runs
 
 BATCH_CHARS = 1 << 22
+SHAPE_CHARS = 16
 _UPPER, _LOWER, _DIGIT = re.compile(r"[A-Z\xc0-\xde]+"), re.compile(r"[a-z\xdf-\xff]+"), re.compile(r"[0-9]+")
 
 
@@ -25,8 +26,9 @@ def bucket(name: str, bits: int) -> int:
 
 
 def shape(word: str) -> str:
-    """Runs of capitals, small letters and digits as X, x and 9; other characters stay."""
-    return _DIGIT.sub("9", _LOWER.sub("x", _UPPER.sub("X", word)))[:16]
+    """Runs of capitals, small letters and digits as X, x and 9; other characters stay.
+    The feature is the first SHAPE_CHARS of it; the word itself is a feature whole."""
+    return _DIGIT.sub("9", _LOWER.sub("x", _UPPER.sub("X", word)))[:SHAPE_CHARS]
 
 
 def batch_words(texts: list[str], lower: bool) -> Iterator[tuple[int, int, list[str], np.ndarray, np.ndarray]]:
