@@ -10,7 +10,7 @@ LARGER = "/root/testdata/sf0.01"
 FITS = ["best_model", "close_time_linear", "model_roundtrip_score", "score_requests", "train_decision_tree", "train_gbt",
         "train_linear", "train_random_forest"]
 # fits that SQL restates by value, and a stream, on the larger table
-SMALL_FITS = ["close_time_linear", "tree_splits", "boosting_first_tree", "candidate_scores", "best_candidate", "stream_late_rows"]
+SMALL_FITS = ["close_time_linear", "tree_splits", "boosting_first_tree", "candidate_scores", "best_candidate", "request_predictions", "stream_late_rows"]
 # every SQL-checked query except the stream replays (covered by test_streaming) and the training-data operators (tests/llm)
 FAST = sorted(k for k in se.oracle_sql() if not k.startswith(("stream_", "op", "pipeline")) and k not in FITS + SMALL_FITS)
 

@@ -6,7 +6,7 @@ import __spark_entry__ as se
 
 SF = "/root/testdata/sf0.01"
 # fits and streams run whole jobs while they are built; the training-data operators are tested in tests/llm
-HEAVY = ("train_", "best_model", "model_roundtrip", "close_time_linear", "score_requests", "stream_", "op", "pipeline", "tree_splits", "boosting_", "candidate_", "best_candidate", "paged_stream")
+HEAVY = ("train_", "best_model", "model_roundtrip", "close_time_linear", "score_requests", "stream_", "op", "pipeline", "tree_splits", "boosting_", "candidate_", "best_candidate", "request_predictions", "paged_stream")
 BATCH = sorted(k for k in se.queries() if not k.startswith(HEAVY))
 
 

@@ -659,12 +659,15 @@ def q_boosting_first_tree(spark, sf_dir):
     return spark.createDataFrame(rows, "node int, feature string, cut double, weight double")
 
 
+def _linear_on_rolling():
+    return Pipeline(stages=[VectorAssembler(inputCols=ROLLING_FEATURES, outputCol="features"), LinearRegression(solver="normal")])
+
+
 def _candidates(spark, sf_dir):
     """(model, key, label, prediction): linear on the rolling averages, a tree of two levels on the calendar, one round of boosting."""
     _, train, test = _labelled_split(spark, sf_dir)
-    linear = Pipeline(stages=[VectorAssembler(inputCols=ROLLING_FEATURES, outputCol="features"), LinearRegression(solver="normal")])
     scored = [model.transform(test).select(F.lit(name).alias("model"), F.col("datetime").alias("key"), "label", "prediction")
-              for name, model in (("linear", linear.fit(train)), ("tree", _shallow_tree(train)), ("boosting", _first_tree(train)))]
+              for name, model in (("linear", _linear_on_rolling().fit(train)), ("tree", _shallow_tree(train)), ("boosting", _first_tree(train)))]
     path = scratch_path(spark, "candidates")
     ex.union_all(scored).write.partitionBy("model").parquet(path)
     return mm.read_scores(spark, path)
@@ -737,6 +740,18 @@ def q_score_requests(spark, sf_dir):
     return answers.select("request_day_ms", "accepted", (F.col("prediction").isNotNull() & F.col("buy").isNotNull()).alias("answered"))
 
 
+@register("request_predictions")
+def q_request_predictions(spark, sf_dir):
+    """ML12/S13: the linear model on the rolling averages, saved and loaded, scores every day's request."""
+    _, train, _ = _labelled_split(spark, sf_dir)
+    path = scratch_path(spark, "model-requests")
+    mm.save_model(_linear_on_rolling().fit(train), path)
+    req = sv.daily_requests(q_driver_left_enrich(spark, sf_dir), FEATURE_MARKETS)
+    require_columns(req, ROLLING_FEATURES, "scoring request")
+    scored = mm.load_model(path).transform(req.dropna(subset=ROLLING_FEATURES))
+    return scored.select("request_day_ms", F.round("prediction", 4).alias("prediction"), buy_signal("prediction", BUY_LIMIT).alias("buy"))
+
+
 # --- streaming (K1-K5, S7-S10) -----------------------------------------------
 
 def _landed(spark, sf_dir, name):

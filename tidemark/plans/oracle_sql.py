@@ -316,7 +316,7 @@ def _ml_queries(base: dict[str, str]) -> dict[str, str]:
     for name, flag in [("train_linear", "normal_equations"), ("train_decision_tree", "within_train_labels"), ("train_random_forest", "within_train_labels"),
                        ("train_gbt", "beats_the_mean"), ("model_roundtrip_score", "loaded_equals_saved")]:
         q[name] = test.format(flag)
-    q.update(_small_model_sql(mtx, split))
+    q.update(_small_model_sql(mtx, split, base["driver_left_enrich"]))
     q["best_model"] = "SELECT CAST(4 AS BIGINT) AS candidates, true AS best_has_least_rmse, CAST(1 AS BIGINT) AS chosen"
     q["close_time_linear"] = _least_squares_sql(base["close_time_matrix"])
     close = [f"{m}_close" for m in FEATURE_MARKETS]
@@ -368,7 +368,7 @@ def _bins_sql(src: str, name: str, features: list[str], penalty: float, least_ga
   QUALIFY gain > {least_gain} AND row_number() OVER (PARTITION BY node ORDER BY round(gain, 6) DESC, fi, bin) = 1)"""
 
 
-def _small_model_sql(mtx: str, split: str) -> dict[str, str]:
+def _small_model_sql(mtx: str, split: str, wide: str) -> dict[str, str]:
     """Tree of two levels, first boosting tree, linear model: fitted in SQL."""
     cal, roll = ["day", "month", "day_of_week"], [f"{m}_rolling_avg_7d" for m in FEATURE_MARKETS]
     label = f"{TARGET_MARKET}_close"
@@ -404,6 +404,13 @@ def _small_model_sql(mtx: str, split: str) -> dict[str, str]:
     xs = ", ".join(f"{f} AS x{k}" for k, f in enumerate(roll, 1))
     linear = f"{base}, d_ AS (SELECT datetime AS close_time, y, {xs}, is_train FROM d), {_orthogonal_sql('d_', len(roll))}"
     linear_scores = f"WITH {linear} SELECT 'linear' AS model, close_time AS key, y AS label, y - e AS prediction FROM d{len(roll)} WHERE NOT is_train"
+    # requests go through the same steps as further rows: their key is below 0, their label 0
+    means = ", ".join(f"CAST(sum(CAST({f} AS {DEC})) AS DOUBLE) / count({f}) AS x{k}" for k, f in enumerate(roll, 1))
+    traded = " OR ".join(f"{m}_close <> 0" for m in FEATURE_MARKETS)
+    requests = (f"w AS ({wide}), ex AS (SELECT *, unnest(range(CAST(ceil(datetime / 86400000.0) AS BIGINT), datetime // 86400000 + 7)) AS end_day FROM w WHERE {traded}), "
+                f"rq AS (SELECT -end_day - 1 AS close_time, 0.0::DOUBLE AS y, {means}, false AS is_train FROM ex GROUP BY end_day)")
+    out["request_predictions"] = (f"WITH {base}, {requests}, d_ AS (SELECT datetime AS close_time, y, {xs}, is_train FROM d UNION ALL SELECT * FROM rq), {_orthogonal_sql('d_', len(roll))} "
+                                  f"SELECT (-close_time - 1) * 86400000 AS request_day_ms, round(-e, 4) AS prediction, (-e < 50.0 AND e <> 0) AS buy FROM d{len(roll)} WHERE close_time < 0")
     union = (f"SELECT * FROM ({linear_scores}) UNION ALL SELECT * FROM (WITH {tree_scores} SELECT model, key, label, prediction FROM tree_out) "
              f"UNION ALL SELECT * FROM (WITH {boost_scores} SELECT model, key, label, prediction FROM boost_out)")
     out["candidate_scores"] = f"SELECT model, key, label, round(prediction, 4) AS prediction FROM ({union})"
