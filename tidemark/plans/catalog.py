@@ -7,6 +7,7 @@ Hourly bars are the default source; ``entry`` uses daily bars at sf0.001.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.pricing import buy_signal, limit_price
 from tidemark.functions.timecols import (calendar_columns, day_of_week, epoch_ms, epoch_us,
-                                        floor_div, ms_to_ntz)
+                                        floor_div, ms_to_ntz, serving_bounds)
 from tidemark.ml import features as mf
 from tidemark.ml import models as mm
 from tidemark.ml import splits as sp
@@ -447,16 +448,21 @@ BUY_LIMIT = 50.0
 TICK = 0.01
 
 
-def data_as_of(spark, sf_dir):
-    """The "today" of the data: the day of the last bar (a one-value aggregate
-    over the bar store, not a scan of every tick)."""
-    return bars(spark, sf_dir, stored=True).agg(F.max("date").alias("m")).first()["m"].date()
+def data_window(spark, sf_dir, days: int = 7) -> tuple[int, int, date]:
+    """(start_ms, end_ms, today) of the serving window at the data's "today", the day
+    of the last bar: one row from the store's file index, dates by Spark's own functions."""
+    last = store.bar_stats(spark, bar_store_path(spark, sf_dir)).files().agg(ms_to_ntz(F.max("hi")).alias("m"))
+    lo, hi, end = last.select(*serving_bounds("m", days)).first()
+    return lo, hi, end - timedelta(days=1)
+
+
+def data_as_of(spark, sf_dir) -> date:
+    return data_window(spark, sf_dir)[2]
 
 
 @register("serving_window_avg")
 def q_serving_window_avg(spark, sf_dir):
-    as_of = data_as_of(spark, sf_dir)
-    lo, hi, _ = sv.serving_window(as_of, 7)
+    lo, hi, as_of = data_window(spark, sf_dir, 7)
     wide = mx.wide_enrich(long_with_range_avg(spark, sf_dir, lo, hi), WIDE_DRIVER, WIDE_OTHERS)
     return sv.window_averages(wide, FEATURE_MARKETS, as_of, days=7)
 

@@ -39,7 +39,7 @@ from tidemark.operators.matrix import wide_enrich
 from tidemark.operators.windows import trailing_mean_range
 from tidemark.schemas import FEATURE_COLUMNS, MARKET_TABLE_SCHEMA
 from tidemark.session import scratch_path
-from tidemark.sources.replies import split, tag_kline_messages
+from tidemark.sources.replies import tag_kline_messages
 from tidemark.sources.versions import Folders, VersionedTables, dealt
 
 WEEK_MS = 7 * MS_PER_DAY
