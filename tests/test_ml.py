@@ -83,7 +83,8 @@ def test_defaults_are_parameters():
     assert regressor("Decision_Tree").getMaxDepth() == 30 and regressor("Decision_Tree", maxDepth=3).getMaxDepth() == 3
     forest = regressor("Random_Forest")
     assert forest.getFeatureSubsetStrategy() == "all" and forest.getMaxDepth() == 30
-    assert regressor("Gradient_Boosted_Trees").getMaxIter() == 100 and "XGBoost" not in DEFAULTS
+    boosting = regressor("Gradient_Boosted_Trees")
+    assert boosting.getOrDefault("rounds") == 100 and boosting.getOrDefault("depth") == 6 and "XGBoost" not in DEFAULTS
 
 
 def test_metrics_of_large_prices_do_not_cancel(spark):

@@ -59,14 +59,6 @@ def test_event_scans_are_pruned(spark):
     assert read and all("props" not in ln and "user_id" not in ln for ln in read)
 
 
-def test_latest_bars_opens_the_files_of_the_index_only(spark):
-    from tidemark.plans import catalog as c
-    from tidemark.sources import store
-    newest = store.bar_stats(spark, c.bar_store_path(spark, SF)).latest("market", 1)
-    whole = c.bar_store(spark, SF)
-    assert 0 < len(newest.inputFiles()) < len(whole.inputFiles())
-
-
 def test_scaled_features_fit_reads_no_matrix(spark):
     text = formatted(spark, se.queries()["scaled_features"](spark, SF))
     assert text.split("\n\n")[0].count("Scan parquet") == 1 and "Aggregate" not in text.split("\n\n")[0]
