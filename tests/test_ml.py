@@ -78,7 +78,7 @@ def test_the_same_model_at_any_input_partitioning(spark):
     assert sorted((r["datetime"], r["prediction"]) for r in a.collect()) == sorted((r["datetime"], r["prediction"]) for r in b.collect())
 
 
-def test_defaults_are_parameters():
+def test_defaults_are_parameters(spark):
     from tidemark.ml.models import DEFAULTS, regressor
     assert regressor("Decision_Tree").getMaxDepth() == 30 and regressor("Decision_Tree", maxDepth=3).getMaxDepth() == 3
     forest = regressor("Random_Forest")
